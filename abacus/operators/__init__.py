@@ -5,6 +5,7 @@ from abacus.operators.conditional import (conditional_columns, conditional_sums,
                                           when_else_zero)
 from abacus.operators.joins import bounded_broadcast, lookup, split_expand
 from abacus.operators.latest import latest_per_key
+from abacus.operators.positions import positions
 from abacus.operators.quality import (AuditFailure, assert_audits, audit_forall, grain_check,
                                       write_counted)
 from abacus.operators.reshape import to_series
@@ -16,6 +17,6 @@ __all__ = [
     "bounded_by_max", "conditional_columns", "conditional_sums", "sum_measures", "when_else_zero",
     "bounded_broadcast", "lookup", "split_expand", "latest_per_key", "AuditFailure",
     "assert_audits", "audit_forall", "grain_check", "write_counted", "to_series",
-    "nonfinite_to_null", "bounded_month_spine", "expand_months", "month_sequence",
+    "nonfinite_to_null", "positions", "bounded_month_spine", "expand_months", "month_sequence",
     "scalar_max", "scalar_min",
 ]

@@ -44,14 +44,11 @@ def ordered(df: DataFrame, model: str) -> DataFrame:
     return df.orderBy(*sort_columns(MODEL_ORDER[model]))
 
 
-def with_position(df: DataFrame, model: str, col: str = "position") -> DataFrame:
-    """Make the served order explicit as a 1-based column.
-
-    For small report tables (one row per year, label or group). The window has no
-    partition key, so it runs in one task: never use it on fact tables.
-    """
-    from pyspark.sql import Window
-    return df.withColumn(col, F.row_number().over(Window.orderBy(*sort_columns(MODEL_ORDER[model]))))
+def with_position(df: DataFrame, model: str, col: str = "position", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Make the served order explicit as a 1-based column (``tiebreak`` makes it total)."""
+    from abacus.operators import positions
+    order = sort_columns(list(MODEL_ORDER[model]) + [(c, "asc") for c in tiebreak])
+    return positions(df, order, col)
 
 
 def served(df: DataFrame, where: str | Column | None = None) -> DataFrame:
