@@ -13,8 +13,8 @@ it, reading whole tables:
 * ``events``   -> JSON documents, unit scaling, latest row per user
 
 ``oracle_sql()`` holds an independent DuckDB translation of each query over the same
-tables. Money leaves both sides as DOUBLE converted from exact decimals, so the
-results compare exactly.
+tables. Money leaves both sides as DOUBLE units converted from exact values (integer
+thousandths in Spark, decimals in DuckDB), so the results compare exactly.
 """
 
 from __future__ import annotations
@@ -26,10 +26,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from abacus.functions import (amount_from_text, clean_label, from_milli, group_mapping, iso_date,
-                              make_month, month_start, strip_emoji, subgroup, us_date)
+from abacus.functions import (clean_label, group_mapping, iso_date, make_month, month_start, strip_emoji,
+                              subgroup, to_units)
 from abacus.operators import (audit_forall, bounded_month_spine, grain_check, latest_per_key,
-                              nonfinite_to_null, split_expand, write_counted)
+                              nonfinite_to_null, split_expand, spread, write_counted)
 from abacus.plans import models as m
 from abacus.plans import serve
 from abacus.session import scratch_path
@@ -50,8 +50,13 @@ PAYCHECK_LABELS = [label for label, _ in m.PAYCHECK_LINES]
 
 # ------------------------------------------------------------------ helpers
 
+# Input tables whose rows get heavy per-row work (text building and parsing).
+SPREAD_TABLES = {"lineitem", "orders", "events"}
+
+
 def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
+    return spread(df) if name in SPREAD_TABLES else df
 
 
 def _milli(c: str | Column) -> Column:
@@ -66,8 +71,10 @@ def _case(col: Column, pairs, default) -> Column:
     return out.otherwise(default)
 
 
-def _out(df: DataFrame) -> DataFrame:
-    """Result types shared with the oracle: decimals -> double, small ints -> bigint."""
+def _out(df: DataFrame, money: bool = True) -> DataFrame:
+    """Result types shared with the oracle: money in DOUBLE units, small ints -> bigint."""
+    if money:
+        df = serve.in_units(df)
     fixes = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DecimalType) or isinstance(f.dataType, T.FloatType):
@@ -143,24 +150,34 @@ def landing_monthly_categories(spark, sf):
     )
 
 
-def _dec2(c: Column) -> Column:
-    return c.cast("decimal(18,2)")
+def _cents(c: Column) -> Column:
+    return F.round(c * 100).cast("bigint")
+
+
+def _cents_text(c: Column) -> Column:
+    """Integer cents -> ``'1234.50'``."""
+    a = F.abs(c)
+    return F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")),
+                    ((a - F.pmod(a, F.lit(100))) / F.lit(100)).cast("bigint").cast("string"), F.lit("."),
+                    F.lpad(F.pmod(a, F.lit(100)).cast("string"), 2, "0"))
 
 
 def landing_paystubs(spark, sf):
+    """The paystub sheet as text: one stub per line item; components add up to the totals
+    except where a total is blank or a bonus has a currency sign (the audits catch those)."""
     li = _t(spark, sf, "lineitem")
-    salary = _dec2(F.col("l_extendedprice"))
-    bonus = _dec2(F.col("l_quantity"))
-    reimbursed = _dec2(F.col("l_tax") * 100)
-    k401 = _dec2(F.col("l_discount") * 100)
-    hsa = _dec2(F.col("l_linenumber"))
-    federal = _dec2(F.col("l_quantity") * 2)
-    state = _dec2(F.col("l_linenumber"))
+    salary = _cents(F.col("l_extendedprice"))
+    bonus = _cents(F.col("l_quantity"))
+    reimbursed = _cents(F.col("l_tax") * 100)
+    k401 = _cents(F.col("l_discount") * 100)
+    hsa = _cents(F.col("l_linenumber"))
+    federal = _cents(F.col("l_quantity") * 2)
+    state = _cents(F.col("l_linenumber"))
     roth = reimbursed
     earnings = salary + bonus + reimbursed
     pre_tax, taxes, post_tax = k401 + hsa, federal + state, roth
     net = earnings - pre_tax - taxes - post_tax
-    txt = lambda c: c.cast("string")
+    txt = _cents_text
     day = F.to_date("l_shipdate")
     cells = {
         "file_name": F.concat(F.lit("stub-"), F.col("l_orderkey").cast("string"), F.lit("-"),
@@ -208,8 +225,16 @@ class Ledger:
     """
 
     _open: dict[tuple[str, str], "Ledger"] = {}
-    # Raw tables that are plain projections of one input table stay lazy.
-    LAZY = {"raw.transactions", "raw.subtransactions", "raw.accounts", "raw.category_groups", "raw.paystubs"}
+    # Models worth writing: aggregates, joins, row ids, the text parse, and reports with
+    # several consumers. Plain projections stay lazy and are folded into their readers' plans.
+    MATERIALIZED = {
+        "raw.monthly_categories", "raw.category_orders", "cleaned.categories", "cleaned.paystubs",
+        "combined.transactions", "combined.budgeted", "combined.record_spine", "dashboards.monthly_level",
+        "dashboards.yearly_level", "combined.yearly_budgeted", "dashboards.yearly_paychecks",
+    }
+    # Build order of every model (``plans.build`` order plus the raw layer first).
+    ORDER = ["raw.transactions", "raw.subtransactions", "raw.accounts", "raw.category_groups",
+             "raw.monthly_categories", "raw.paystubs", "raw.category_orders"]
 
     def __init__(self, spark: SparkSession, sf: str, materialize: bool = True):
         self.spark, self.sf, self.materialize, self._t = spark, sf, materialize, {}
@@ -224,13 +249,18 @@ class Ledger:
     def __getitem__(self, name):
         if name not in self._t:
             df = self._make(name)
-            if self.materialize and name not in self.LAZY:
+            if self.materialize and name in self.MATERIALIZED:
                 path = scratch_path(self.spark, "ledger/" + name.replace(".", "_"))
                 df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)
             self._t[name] = df
         return self._t[name]
 
+    @classmethod
+    def build_order(cls) -> list[str]:
+        from abacus.plans.build import model_steps
+        return cls.ORDER + [name for name, _ in model_steps(AS_OF)]
+
     def _make(self, name):
         s, sf, t = self.spark, self.sf, self
         raw = {
@@ -259,7 +289,7 @@ def q_scan_project(spark, sf):
 def q_unit_scale(spark, sf):
     e = _t(spark, sf, "events")
     milli = _milli("value")
-    return _out(e.select("event_id", milli.alias("value_milli"), from_milli(milli).alias("value_units")))
+    return e.select("event_id", milli.alias("value_milli"), to_units(milli).alias("value_units"))
 
 
 def q_json_flatten(spark, sf):
@@ -273,7 +303,7 @@ def q_json_flatten(spark, sf):
     ).alias("budget")).alias("data")))
     flat = flatten_entity(parse_budget_documents(e.select(doc.alias("doc")), "doc"), "transactions")
     k = F.from_json("import_id", "k int").getField("k")
-    return _out(flat.select("id", "date", "amount", "memo", "category_id", k.alias("k")))
+    return _out(flat.select("id", "date", "amount", "memo", "category_id", k.alias("k")), money=False)
 
 
 def q_json_two_level(spark, sf):
@@ -292,7 +322,7 @@ def q_json_two_level(spark, sf):
                     F.lit(0).cast("bigint"))).alias("categories"))
     doc = F.to_json(F.struct(F.struct(F.struct(F.array(first, second).alias("months")).alias("budget")).alias("data")))
     flat = flatten_monthly_categories(parse_budget_documents(o.select(doc.alias("doc")), "doc"))
-    return _out(flat.select("id", "category_group_id", "name", "budgeted", "month", "year"))
+    return _out(flat.select("id", "category_group_id", "name", "budgeted", "month", "year"), money=False)
 
 
 def q_row_ids(spark, sf):
@@ -301,7 +331,7 @@ def q_row_ids(spark, sf):
 
 
 def q_typed_from_text(spark, sf):
-    p = m.cleaned_paystubs(Ledger.of(spark, sf)["raw.paystubs"])
+    p = Ledger.of(spark, sf)["cleaned.paystubs"]
     return _out(p.select("file_name", "pay_period_start_date", "pay_period_end_date", "pay_date", "net_pay_total",
                          "earnings_total", "earnings_salary", "earnings_bonus", "pre_tax_401k", "taxes_federal"))
 
@@ -466,7 +496,7 @@ def q_ordered_serving(spark, sf):
 
 
 def q_audit_forall(spark, sf):
-    return audit_forall(m.cleaned_paystubs(Ledger.of(spark, sf)["raw.paystubs"]), m.paystub_audits())
+    return audit_forall(Ledger.of(spark, sf)["cleaned.paystubs"], m.paystub_audits())
 
 
 def q_grain_check(spark, sf):
@@ -489,7 +519,7 @@ def q_sink_count(spark, sf):
     write_counted(landing_transactions(spark, sf), path)
     back = spark.read.parquet(path)
     return _out(back.agg(F.count(F.lit(1)).alias("written_rows"),
-                         F.sum(from_milli("amount")).alias("written_amount")))
+                         to_units(F.sum("amount")).alias("written_amount")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

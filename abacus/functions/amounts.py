@@ -1,8 +1,12 @@
 """Money columns.
 
-Amounts are kept as ``decimal(18,3)`` inside the warehouse: sums are exact and do
-not depend on shuffle order, and half-way rounding is decimal, not binary. They
-become DOUBLE only at the serving edge (``to_serving``).
+Inside the warehouse every amount is an exact integer number of thousandths of a
+unit (``bigint`` "milli"), which is how the budget source delivers amounts. Sums
+and additions stay primitive 64-bit integer arithmetic inside whole-stage codegen
+(exact, independent of shuffle order, overflow-checked under ANSI), and rounding is
+exact half-away-from-zero integer arithmetic. Decimal arithmetic above 18 digits
+would fall back to ``BigDecimal`` objects, several times slower. Amounts become
+DOUBLE units only at the serving edge (``to_units``).
 """
 
 from __future__ import annotations
@@ -12,26 +16,41 @@ from pyspark.sql import functions as F
 
 from abacus.functions._col import as_col
 
-MONEY = "decimal(18,3)"
+MILLI = "bigint"
+# Text amounts are read as decimals with three places (more places round half up).
+TEXT_AMOUNT = "decimal(18,3)"
 
 
-def from_milli(c: Column | str) -> Column:
-    """Integer thousandths of a unit -> exact ``decimal(18,3)`` units."""
-    return (as_col(c).cast("decimal(18,0)") / F.lit(1000)).cast(MONEY)
+def milli(c: Column | str) -> Column:
+    """A source amount in thousandths, as the warehouse's money type."""
+    return as_col(c).cast(MILLI)
 
 
 def amount_from_text(c: Column | str) -> Column:
-    """Spreadsheet text -> amount; anything that is not a plain number becomes 0.
+    """Spreadsheet text -> milli; anything that is not a plain number becomes 0.
 
     ``''``, ``'$5'`` and ``'1,234.50'`` all give 0, as the reference's cast does.
     """
-    return F.coalesce(as_col(c).try_cast(MONEY), F.lit(0).cast(MONEY))
+    parsed = F.coalesce(as_col(c).try_cast(TEXT_AMOUNT), F.lit(0).cast(TEXT_AMOUNT))
+    return (parsed * F.lit(1000)).cast(MILLI)
 
 
-def money_sum(c: Column | str) -> Column:
-    """``sum`` of a money column, kept at three decimals."""
-    return F.sum(as_col(c)).cast("decimal(28,3)")
+def round_milli(c: Column | str, digits: int) -> Column:
+    """Round a milli amount to ``digits`` decimal places (0..3), half away from zero.
 
-
-def to_serving(c: Column | str) -> Column:
-    return as_col(c).cast("double")
+    The same rule as decimal ``round`` in Spark and in the reference's engine.
+    """
+    if not 0 <= digits <= 3:
+        raise ValueError("digits must be between 0 and 3")
+    step = 10 ** (3 - digits)
+    col = as_col(c)
+    if step == 1:
+        return col
+    shifted = F.abs(col) + F.lit(step // 2)
+    rounded = shifted - F.pmod(shifted, F.lit(step))
+    return F.when(col < 0, -rounded).otherwise(rounded)
+
+
+def to_units(c: Column | str) -> Column:
+    """Milli -> DOUBLE units (correctly rounded: exact integer divided by 1000)."""
+    return as_col(c).cast("double") / F.lit(1000.0)

@@ -10,6 +10,7 @@ from abacus.operators.quality import (AuditFailure, assert_audits, audit_forall,
                                       write_counted)
 from abacus.operators.reshape import to_series
 from abacus.operators.sanitize import nonfinite_to_null
+from abacus.operators.spread import spread
 from abacus.operators.spine import (bounded_month_spine, expand_months, month_sequence, scalar_max,
                                     scalar_min)
 
@@ -17,6 +18,6 @@ __all__ = [
     "bounded_by_max", "conditional_columns", "conditional_sums", "sum_measures", "when_else_zero",
     "bounded_broadcast", "lookup", "split_expand", "latest_per_key", "AuditFailure",
     "assert_audits", "audit_forall", "grain_check", "write_counted", "to_series",
-    "nonfinite_to_null", "positions", "bounded_month_spine", "expand_months", "month_sequence",
+    "nonfinite_to_null", "positions", "spread", "bounded_month_spine", "expand_months", "month_sequence",
     "scalar_max", "scalar_min",
 ]

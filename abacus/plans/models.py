@@ -14,12 +14,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from abacus import schemas
-from abacus.functions import (amount_from_text, clean_label, from_milli, group_mapping, iso_date,
-                              make_month, month_start, subgroup, us_date, year_of)
+from abacus.functions import (amount_from_text, clean_label, group_mapping, iso_date, make_month, milli,
+                              month_start, round_milli, subgroup, us_date, year_of)
 from abacus.operators import (bounded_by_max, bounded_month_spine, conditional_columns,
                               conditional_sums, expand_months, latest_per_key, lookup,
                               scalar_min, split_expand, sum_measures, to_series)
 
+# ---------------------------------------------------------------- money columns
+
+def money_columns() -> frozenset[str]:
+    """Names of the columns that hold money (integer thousandths) in any model."""
+    return frozenset(
+        ["amount", "balance", "cleared_balance", "uncleared_balance", "budgeted", "activity", "spend",
+         "assigned", "paycheck_value", "net_pay_total", "earnings_total", "pre_tax_deductions_total",
+         "taxes_total", "post_tax_deductions_total", "earnings_custom_calc", "bonus_custom_calc",
+         "pre_tax_deductions_custom_calc", "retirement_fund_custom_calc", "taxes_custom_calc",
+         "post_tax_deductions_custom_calc", "deductions_custom_calc", "net_pay_custom_calc"]
+        + PAYSTUB_COMPONENTS + [n for n, _, _ in BUDGET_GROUP_COLUMNS] + TRANSACTION_MEASURES
+        + PAY_MEASURES + LEVEL_MEASURES)
+
+
 # ---------------------------------------------------------------- raw layer
 
 RAW_COLUMNS = {
@@ -68,9 +82,9 @@ def cleaned_accounts(raw: DataFrame) -> DataFrame:
     return raw.select(
         "id", "name", "type",
         F.col("on_budget").alias("is_on_budget"), F.col("closed").alias("is_closed"), "note",
-        from_milli("balance").alias("balance"),
-        from_milli("cleared_balance").alias("cleared_balance"),
-        from_milli("uncleared_balance").alias("uncleared_balance"),
+        milli("balance").alias("balance"),
+        milli("cleared_balance").alias("cleared_balance"),
+        milli("uncleared_balance").alias("uncleared_balance"),
         "transfer_payee_id", "last_reconciled_at",
     )
 
@@ -84,7 +98,7 @@ def cleaned_category_groups(raw: DataFrame) -> DataFrame:
 
 
 def cleaned_sub_transactions(raw: DataFrame) -> DataFrame:
-    return raw.select("id", "transaction_id", "category_id", from_milli("amount").alias("amount"), "memo")
+    return raw.select("id", "transaction_id", "category_id", milli("amount").alias("amount"), "memo")
 
 
 def cleaned_transactions(raw: DataFrame) -> DataFrame:
@@ -92,7 +106,7 @@ def cleaned_transactions(raw: DataFrame) -> DataFrame:
     return raw.where(F.col("category_id").isNotNull()).select(
         "id", "account_id", "category_id",
         iso_date("date").alias("transaction_date"),
-        from_milli("amount").alias("amount"),
+        milli("amount").alias("amount"),
         "memo",
         F.col("import_payee_name").alias("payee_name"),
         "flag_color",
@@ -105,9 +119,9 @@ def cleaned_monthly_categories(raw: DataFrame) -> DataFrame:
         "id", "category_group_id",
         clean_label("name", keep_plus=False).alias("category_name"),
         make_month("year", "month").alias("budget_month"),
-        from_milli("budgeted").alias("budgeted"),
-        from_milli("balance").alias("balance"),
-        from_milli("activity").alias("activity"),
+        milli("budgeted").alias("budgeted"),
+        milli("balance").alias("balance"),
+        milli("activity").alias("activity"),
     )
 
 
@@ -173,21 +187,21 @@ def cleaned_paystubs(raw: DataFrame) -> DataFrame:
     c = F.col
     # Order matters: deductions reuse the retirement figure computed just before.
     return (typed
-            .withColumn("earnings_custom_calc", F.round(_add(["earnings_salary", "earnings_bonus",
-                                                              "earnings_pto_payout", "earnings_severance"]), 2))
-            .withColumn("bonus_custom_calc", F.round(_add(["earnings_bonus", "earnings_pto_payout",
-                                                           "earnings_severance"]), 2))
-            .withColumn("pre_tax_deductions_custom_calc", -F.round(_add(["pre_tax_fsa", "pre_tax_medical"]), 2))
-            .withColumn("retirement_fund_custom_calc", -F.round(_add(["post_tax_roth", "pre_tax_401k"]), 2))
-            .withColumn("taxes_custom_calc", -F.round(_add(TAXES), 2))
+            .withColumn("earnings_custom_calc", round_milli(_add(["earnings_salary", "earnings_bonus",
+                                                                  "earnings_pto_payout", "earnings_severance"]), 2))
+            .withColumn("bonus_custom_calc", round_milli(_add(["earnings_bonus", "earnings_pto_payout",
+                                                               "earnings_severance"]), 2))
+            .withColumn("pre_tax_deductions_custom_calc", -round_milli(_add(["pre_tax_fsa", "pre_tax_medical"]), 2))
+            .withColumn("retirement_fund_custom_calc", -round_milli(_add(["post_tax_roth", "pre_tax_401k"]), 2))
+            .withColumn("taxes_custom_calc", -round_milli(_add(TAXES), 2))
             .withColumn("post_tax_deductions_custom_calc",
-                        -F.round(_add(["post_tax_critical_illness", "post_tax_ad_d",
-                                       "post_tax_long_term_disability"]), 2))
+                        -round_milli(_add(["post_tax_critical_illness", "post_tax_ad_d",
+                                           "post_tax_long_term_disability"]), 2))
             .withColumn("deductions_custom_calc",
-                        F.round(c("pre_tax_deductions_total") + c("retirement_fund_custom_calc")
-                                + c("pre_tax_hsa") + c("taxes_total") + c("post_tax_deductions_total"), 2))
+                        round_milli(c("pre_tax_deductions_total") + c("retirement_fund_custom_calc")
+                                    + c("pre_tax_hsa") + c("taxes_total") + c("post_tax_deductions_total"), 2))
             .withColumn("net_pay_custom_calc",
-                        F.round(c("net_pay_total") - c("earnings_expense_reimbursement"), 0)))
+                        round_milli(c("net_pay_total") - c("earnings_expense_reimbursement"), 0)))
 
 
 # ---------------------------------------------------------------- combined layer
@@ -225,7 +239,7 @@ def combined_budgeted(monthly_categories: DataFrame, category_groups: DataFrame)
 
 
 def combined_paystubs(paystubs: DataFrame) -> DataFrame:
-    r = lambda c: F.round(F.col(c), 2)
+    r = lambda c: round_milli(c, 2)
     return paystubs.select(
         "pay_date",
         r("earnings_custom_calc").alias("earnings_actual"),
@@ -412,7 +426,7 @@ def dashboards_monthly_level(transactions: DataFrame, budgeted: DataFrame, payst
         z("investments_assigned").alias("investments_saved"),
         z("emergency_fund_in_hsa").alias("emergency_fund_in_hsa"),
         spent.alias("spent"),
-        F.round(total_income + z("spent"), 2).alias("difference"),
+        round_milli(total_income + z("spent"), 2).alias("difference"),
     )
 
 
@@ -461,7 +475,7 @@ PAYCHECK_LINES = [
 
 
 def dashboards_yearly_paychecks(yearly_level: DataFrame, category_orders: DataFrame,
-                                value_type: str = "decimal(38,3)") -> DataFrame:
+                                value_type: str = "bigint") -> DataFrame:
     """Fifteen labelled paycheck lines per year, with the order id of the sheet's matching label."""
     lines = to_series(yearly_level, ["budget_year"], [(label, F.col(c)) for label, c in PAYCHECK_LINES],
                       "paycheck_column", "paycheck_value", value_type)

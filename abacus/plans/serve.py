@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abacus.functions import month_label, strip_emoji
+from abacus.functions import month_label, strip_emoji, to_units
 from abacus.operators import nonfinite_to_null, to_series
 
 # Stored order of each model, applied when it is served. Ascending keys put NULLs
@@ -51,11 +51,21 @@ def with_position(df: DataFrame, model: str, col: str = "position", tiebreak: Se
     return positions(df, order, col)
 
 
+def in_units(df: DataFrame) -> DataFrame:
+    """Money columns (integer thousandths) -> DOUBLE units; everything else unchanged."""
+    from pyspark.sql.types import IntegralType
+    from abacus.plans.models import money_columns
+    money = money_columns()
+    fixes = {f.name: to_units(F.col(f"`{f.name}`")) for f in df.schema.fields
+             if f.name in money and isinstance(f.dataType, IntegralType)}
+    return df.withColumns(fixes) if fixes else df
+
+
 def served(df: DataFrame, where: str | Column | None = None) -> DataFrame:
-    """What a report reads: optional predicate, non-finite numbers as NULL."""
+    """What a report reads: optional predicate, money in units, non-finite numbers as NULL."""
     if where is not None and not (isinstance(where, str) and where == ""):
         df = df.where(where)
-    return nonfinite_to_null(df)
+    return nonfinite_to_null(in_units(df))
 
 
 def clean_category_names(df: DataFrame, col: str = "category_name") -> DataFrame:
@@ -79,7 +89,7 @@ def overview_labels(level: DataFrame, grain: str) -> DataFrame:
     label = "Month" if grain == "monthly" else "Year"
     first = month_label(key) if grain == "monthly" else F.col(key)
     return level.select(first.alias(label),
-                        *[F.col(m).alias(t) for m, t in zip(LEVEL_MEASURES, OVERVIEW_TITLES)])
+                        *[to_units(m).alias(t) for m, t in zip(LEVEL_MEASURES, OVERVIEW_TITLES)])
 
 
 # Columns of the chart extracts (salary and bonus included: the monthly income chart uses them).
@@ -93,7 +103,7 @@ EXTRACT_MEASURES = [
 
 
 def dashboard_extract(level: DataFrame, key: str) -> DataFrame:
-    return level.select(key, *[F.col(m).cast("double").alias(m) for m in EXTRACT_MEASURES])
+    return level.select(key, *[to_units(m).alias(m) for m in EXTRACT_MEASURES])
 
 
 def _c(name: str) -> Column:
@@ -142,7 +152,7 @@ PAGE_SERIES = {
 def chart_series(level: DataFrame, key: str, series: str) -> DataFrame:
     """One chart's long-form data: a single unpivot scan instead of a UNION ALL per label."""
     label_col, value_col, spec = CHART_SERIES[series]
-    return to_series(level, [key], [(label, make()) for label, make in spec], label_col, value_col)
+    return to_series(level, [key], [(label, to_units(make())) for label, make in spec], label_col, value_col)
 
 
 # Per-year category report: block -> (source model, [(column, title)]).
@@ -168,8 +178,7 @@ def year_block(model_df: DataFrame, block: str, year: int | None = None) -> Data
     """One block of the per-year report for all years (or one ``year``), titles as column names."""
     _, cols = YEAR_BLOCKS[block]
     df = served(model_df, None if year is None else F.col("budget_year") == F.lit(year))
-    return df.select("budget_year", *[F.col(c).cast("double").alias(t) if c in ("spend", "assigned", "paycheck_value")
-                                      else F.col(c).alias(t) for c, t in cols])
+    return df.select("budget_year", *[F.col(c).alias(t) for c, t in cols])
 
 
 def write_year_blocks(models: dict[str, DataFrame], out_root: str, fmt: str = "parquet") -> dict[str, str]:

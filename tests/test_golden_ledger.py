@@ -45,7 +45,7 @@ def test_group_mapping(models):
 
 
 def test_paystub_measures(models):
-    (r,) = models["cleaned.paystubs"].collect()
+    (r,) = serve.in_units(models["cleaned.paystubs"]).collect()
     assert r["pay_period_end_date"] is None
     got = {k: float(r[k]) for k in ["earnings_custom_calc", "bonus_custom_calc", "pre_tax_deductions_custom_calc",
                                      "retirement_fund_custom_calc", "taxes_custom_calc",
@@ -60,7 +60,7 @@ def test_paystub_measures(models):
 def test_split_expansion(models):
     tx = models["combined.transactions"]
     assert tx.count() == 7
-    t2 = sorted(rows(tx.where("id = 'T2'"), "category_id", "amount", "memo"))
+    t2 = sorted(rows(serve.in_units(tx).where("id = 'T2'"), "category_id", "amount", "memo"))
     assert [(c, float(a), m) for c, a, m in t2] == [("C2", -150.0, "mall"), ("C5", -40.0, "clinic")]
     assert tx.where("id = 'T6'").count() == 0
 
@@ -87,21 +87,21 @@ EXPECTED_MONTHLY = {
 
 def test_monthly_level(models):
     got = {r["budget_month"]: {k: float(r[k]) for k in EXPECTED_MONTHLY[r["budget_month"]]}
-           for r in models["dashboards.monthly_level"].collect()}
+           for r in serve.in_units(models["dashboards.monthly_level"]).collect()}
     assert got == EXPECTED_MONTHLY
     first = serve.ordered(models["dashboards.monthly_level"], "dashboards.monthly_level").first()
     assert first["budget_month"] == dt.date(2024, 2, 1)
 
 
 def test_yearly_level(models):
-    (r,) = models["dashboards.yearly_level"].collect()
+    (r,) = serve.in_units(models["dashboards.yearly_level"]).collect()
     assert r["budget_year"] == 2024
     assert (float(r["total_income"]), float(r["misc_income"]), float(r["spent"]), float(r["difference"])) == \
         (6100, 3400, -2440, 3660)
 
 
 def test_yearly_budgeted_order_nulls_last(models):
-    df = serve.ordered(models["combined.yearly_budgeted"], "combined.yearly_budgeted")
+    df = serve.ordered(serve.in_units(models["combined.yearly_budgeted"]), "combined.yearly_budgeted")
     got = [(r["order_id"], r["category_group"], r["category_group_name_mapping"], r["subcategory_group"],
             r["category_name"], float(r["spend"]), float(r["assigned"])) for r in df.collect()]
     assert got == [(2, "Needs", "Needs", "Home", "Rent", -2000, 2000),
@@ -118,7 +118,7 @@ def test_yearly_slices(models):
 
 
 def test_yearly_paychecks(models):
-    df = models["dashboards.yearly_paychecks"]
+    df = serve.in_units(models["dashboards.yearly_paychecks"])
     assert df.count() == 15
     with_order = rows(df.where("order_id is not null"), "paycheck_column", "paycheck_value", "order_id")
     assert [(c, float(v), o) for c, v, o in with_order] == [("Net Pay", 2700.0, 1)]
