@@ -36,9 +36,14 @@ def parse_budget_documents(df: DataFrame, text_col: str) -> DataFrame:
     return df.select(doc.getField("data").getField("budget").alias("budget"))
 
 
+def _keys(budgets: DataFrame) -> list[str]:
+    """Columns carried next to the flattened rows (e.g. ``budget_id`` of a multi-budget batch)."""
+    return [c for c in budgets.columns if c != "budget"]
+
+
 def flatten_entity(budgets: DataFrame, entity: str) -> DataFrame:
     """``budget.<entity>`` array of objects -> one row per object (NULL/empty arrays give none)."""
-    return budgets.select(F.inline(F.col("budget").getField(entity)))
+    return budgets.select(*_keys(budgets), F.inline(F.col("budget").getField(entity)))
 
 
 def flatten_monthly_categories(budgets: DataFrame) -> DataFrame:
@@ -47,13 +52,15 @@ def flatten_monthly_categories(budgets: DataFrame) -> DataFrame:
     ``explode`` drops months whose category list is empty or NULL, as the reference
     skips empty months.
     """
-    months = budgets.select(F.explode(F.col("budget").getField("months")).alias("m"))
+    keys = _keys(budgets)
+    months = budgets.select(*keys, F.explode(F.col("budget").getField("months")).alias("m"))
     cats = months.select(
+        *keys,
         F.col("m").getField("month").alias("__month"),
         F.explode(F.col("m").getField("categories")).alias("c"),
     )
     day = iso_date(F.col("__month"))
-    return cats.select("c.*", F.month(day).alias("month"), F.year(day).alias("year"))
+    return cats.select(*keys, "c.*", F.month(day).alias("month"), F.year(day).alias("year"))
 
 
 def landing_frames(budgets: DataFrame) -> dict[str, DataFrame]:

@@ -1,0 +1,5 @@
+"""Streaming: the daily refresh as an incremental file-source stream."""
+
+from abacus.streaming.refresh import document_stream, start_refresh, write_landing_batch
+
+__all__ = ["document_stream", "start_refresh", "write_landing_batch"]

@@ -1,0 +1,57 @@
+"""The daily refresh as a Structured Streaming job over the folder of saved documents.
+
+Each new budget document (one JSON object per file) is picked up once; every
+micro-batch keeps the newest document of each budget and rewrites that budget's
+landing partitions (``budget_id=...``) with dynamic partition overwrite, leaving other
+budgets untouched. Replaying a batch after a failure rewrites the same partitions
+with the same rows, so the landing area ends up the same (idempotent sink). The
+flatten step is the same stateless code as the batch reader.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from abacus import schemas
+from abacus.operators import latest_per_key
+from abacus.session import checkpoint_root
+from abacus.sources import landing_frames
+
+
+def document_stream(spark: SparkSession, documents_dir: str, multi_line: bool = True,
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of saved documents: ``budget_id``, ``saved_at``, ``budget``."""
+    reader = spark.readStream.schema(schemas.DOCUMENT).option("multiLine", multi_line)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    docs = reader.json(documents_dir)
+    return docs.select(
+        F.col("data.budget.id").alias("budget_id"),
+        F.col("_metadata.file_modification_time").alias("saved_at"),
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("data.budget").alias("budget"),
+    )
+
+
+def write_landing_batch(batch: DataFrame, landing_root: str) -> None:
+    """Newest document per budget -> every landing table, overwriting those budgets only."""
+    latest = latest_per_key(batch, ["budget_id"], ["saved_at", "source_file"])
+    budgets = latest.select("budget_id", "budget")
+    for name, flat in landing_frames(budgets).items():
+        (flat.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("budget_id").parquet(os.path.join(landing_root, name)))
+
+
+def start_refresh(spark: SparkSession, documents_dir: str, landing_root: str,
+                  checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
+    """Start the refresh stream (``available_now``: process what is there, then stop)."""
+    checkpoint = checkpoint or os.path.join(checkpoint_root(spark), "refresh-stream")
+    writer = (document_stream(spark, documents_dir).writeStream
+              .foreachBatch(lambda df, _epoch: write_landing_batch(df, landing_root))
+              .option("checkpointLocation", checkpoint))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
+    return writer.start()

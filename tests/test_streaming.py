@@ -1,0 +1,43 @@
+"""The refresh stream: new documents land once; the newest document of a budget wins."""
+
+import copy
+import json
+import os
+import time
+
+from abacus.streaming import start_refresh
+from tests import golden
+
+
+def _write(path, doc, mtime):
+    with open(path, "w") as f:
+        json.dump(doc, f)
+    os.utime(path, (mtime, mtime))
+
+
+def test_refresh_stream_latest_document_wins(spark, tmp_path):
+    docs, landing, ckpt = tmp_path / "docs", str(tmp_path / "landing"), str(tmp_path / "ckpt")
+    docs.mkdir()
+    now = time.time()
+    first = golden.document()
+    _write(docs / "day1.json", first, now - 100)
+    q = start_refresh(spark, str(docs), landing, ckpt)
+    q.awaitTermination(120)
+    tx = spark.read.parquet(os.path.join(landing, "transactions"))
+    assert tx.count() == 7 and tx.select("budget_id").distinct().collect()[0][0] == "B1"
+
+    # next day: one more transaction for B1, and a second budget B2 arrives
+    second = copy.deepcopy(first)
+    second["data"]["budget"]["transactions"].append(
+        {"id": "T8", "date": "2024-03-01", "amount": -1000, "category_id": "C1", "account_id": "A1"})
+    other = copy.deepcopy(first)
+    other["data"]["budget"]["id"] = "B2"
+    _write(docs / "day2.json", second, now - 10)
+    _write(docs / "b2.json", other, now - 5)
+    q = start_refresh(spark, str(docs), landing, ckpt)
+    q.awaitTermination(120)
+    tx = spark.read.parquet(os.path.join(landing, "transactions"))
+    counts = {r["budget_id"]: r["count"] for r in tx.groupBy("budget_id").count().collect()}
+    assert counts == {"B1": 8, "B2": 7}
+    months = spark.read.parquet(os.path.join(landing, "monthly-categories"))
+    assert months.where("budget_id = 'B1'").count() == 10
