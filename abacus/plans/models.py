@@ -71,9 +71,24 @@ def raw_model(landing: DataFrame, model: str) -> DataFrame:
     return landing.select(*cols)
 
 
+# Column descriptions of the category-order table.
+CATEGORY_ORDER_COMMENTS = {
+    "id": "Row Id",
+    "category_group": "Category Group",
+    "subcategory_group": "Subcategory Group",
+    "category_name": "Category Name",
+}
+
+
 def raw_category_orders(sheet_with_ids: DataFrame) -> DataFrame:
-    """Category-order sheet with its 1..N row ids (``sources.read_with_row_ids``)."""
-    return sheet_with_ids.select(F.col("id").cast("int").alias("id"), *schemas.CATEGORY_ORDER_COLUMNS)
+    """Category-order sheet with its 1..N row ids (``sources.read_with_row_ids``).
+
+    Column descriptions travel as ``comment`` metadata and are stored with the table.
+    """
+    cols = [F.col("id").cast("int")] + [F.col(c) for c in schemas.CATEGORY_ORDER_COLUMNS]
+    names = ["id"] + schemas.CATEGORY_ORDER_COLUMNS
+    return sheet_with_ids.select(*[c.alias(n, metadata={"comment": CATEGORY_ORDER_COMMENTS[n]})
+                                   for c, n in zip(cols, names)])
 
 
 # ---------------------------------------------------------------- cleaned layer

@@ -148,3 +148,16 @@ def test_grain_report(models):
     assert rep["combined.transactions"] == 1      # T2 repeats once per part, as in the reference
     assert rep["raw.monthly_categories"] == 5     # one row per id and month
     assert rep["dashboards.monthly_level"] == 0
+
+
+def test_category_order_column_descriptions(models):
+    fields = {f.name: f.metadata.get("comment") for f in models["raw.category_orders"].schema.fields}
+    assert fields == {"id": "Row Id", "category_group": "Category Group", "subcategory_group": "Subcategory Group",
+                      "category_name": "Category Name"}
+
+
+def test_last_updated_stamp_format(spark):
+    import re
+    from abacus.functions import last_updated_stamp
+    stamp = spark.range(1).select(last_updated_stamp()).first()[0]
+    assert re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2} UTC", stamp)
