@@ -26,13 +26,23 @@ def milli(c: Column | str) -> Column:
     return as_col(c).cast(MILLI)
 
 
+def _may_be_number(c: Column) -> Column:
+    """False for text the decimal cast must reject: empty, or a first character that cannot
+    start a number (the cast trims whitespace/control characters, then wants a sign, digit or
+    point). Skipping those avoids the cast's exception-based failure path, which is slow."""
+    first = F.ascii(c)
+    return (c != F.lit("")) & ((first <= 32) | first.isin(43, 45, 46) | first.between(48, 57))
+
+
 def amount_from_text(c: Column | str) -> Column:
     """Spreadsheet text -> milli; anything that is not a plain number becomes 0.
 
     ``''``, ``'$5'`` and ``'1,234.50'`` all give 0, as the reference's cast does.
     """
-    parsed = F.coalesce(as_col(c).try_cast(TEXT_AMOUNT), F.lit(0).cast(TEXT_AMOUNT))
-    return (parsed * F.lit(1000)).cast(MILLI)
+    text = as_col(c)
+    zero = F.lit(0).cast(MILLI)
+    parsed = (text.try_cast(TEXT_AMOUNT) * F.lit(1000)).cast(MILLI)
+    return F.when(_may_be_number(text), F.coalesce(parsed, zero)).otherwise(zero)
 
 
 def round_milli(c: Column | str, digits: int) -> Column:

@@ -48,10 +48,14 @@ def test_label_cleanup_keeps_or_drops_plus(spark):
 
 def test_text_amounts_and_dates(spark):
     df = spark.createDataFrame([("12.5", "1/5/2024"), ("", ""), ("$5", "12/31/2023"), ("1,234.50", "01/02/2024"),
-                                ("-0.0005", "2/29/2024")], "a string, d string")
+                                ("-0.0005", "2/29/2024"), (" 7 ", ""), ("+.5", ""), ("1e3", ""), ("NaN", ""),
+                                (None, "")], "a string, d string")
     got = [tuple(r) for r in df.select(amount_from_text("a"), us_date("d")).collect()]
     assert got == [(12500, dt.date(2024, 1, 5)), (0, None), (0, dt.date(2023, 12, 31)), (0, dt.date(2024, 1, 2)),
-                   (-1, dt.date(2024, 2, 29))]
+                   (-1, dt.date(2024, 2, 29)), (7000, None), (500, None), (1000000, None), (0, None), (0, None)]
+    # the guard only skips text the plain cast rejects anyway
+    plain = F.coalesce((F.col("a").try_cast("decimal(18,3)") * 1000).cast("bigint"), F.lit(0).cast("bigint"))
+    assert [r[0] for r in df.select(plain).collect()] == [g[0] for g in got]
 
 
 def test_bad_date_text_raises(spark):
