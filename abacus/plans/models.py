@@ -221,6 +221,7 @@ def cleaned_paystubs(raw: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- combined layer
 
+# Tracked budget groups -> (column, group name, source measure).
 BUDGET_GROUP_COLUMNS = [
     ("emergency_fund_assigned", "Emergency Fund", "budgeted"),
     ("savings_assigned", "Savings", "budgeted"),

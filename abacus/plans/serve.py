@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from abacus.functions import month_label, strip_emoji, to_units
 from abacus.operators import nonfinite_to_null, to_series
 
-# Stored order of each model, applied when it is served. Ascending keys put NULLs
-# last (the reference's engine does; Spark's default is first).
+# Stored order of each model, applied when it is served. Ascending keys
+# put NULLs last (the reference's engine does; Spark's default is first).
 MODEL_ORDER = {
     "cleaned.transactions": [("transaction_date", "desc"), ("amount", "desc")],
     "cleaned.category_orders": [("order_id", "asc")],
@@ -155,7 +155,7 @@ def chart_series(level: DataFrame, key: str, series: str) -> DataFrame:
     return to_series(level, [key], [(label, to_units(make())) for label, make in spec], label_col, value_col)
 
 
-# Per-year category report: block -> (source model, [(column, title)]).
+# The per-year category report, block -> (source model, [(column, title)]).
 YEAR_BLOCKS = {
     "needs": ("dashboards.yearly_needs",
               [("subcategory_group", "Subcategory Group"), ("category_name", "Needs"), ("spend", "Spend")]),
