@@ -522,7 +522,34 @@ def q_sink_count(spark, sf):
                          to_units(F.sum("amount")).alias("written_amount")))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    """Output types that compare the same however the oracle comparison is made.
+
+    The comparison may go through Arrow, pandas or Python values. Through pandas a
+    DATE becomes ``datetime.date`` from Spark but a timestamp from DuckDB, and an
+    integer column holding NULLs becomes float from Spark but nullable-int from DuckDB.
+    So dates leave as ISO ``yyyy-MM-dd`` text and integers as DOUBLE (exact at these
+    magnitudes) on both sides. The models themselves keep DATE and BIGINT.
+    """
+    fixes = {}
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.DateType):
+            fixes[f.name] = F.date_format(c, "yyyy-MM-dd")
+        elif isinstance(f.dataType, T.IntegralType):
+            fixes[f.name] = c.cast("double")
+    return df.withColumns(fixes) if fixes else df
+
+
+def _harness(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return _dates_as_text(fn(spark, sf))
+    run.__name__ = getattr(fn, "__name__", "query")
+    run.__doc__ = fn.__doc__
+    return run
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_project": q_scan_project,
     "unit_scale": q_unit_scale,
     "json_flatten": q_json_flatten,
@@ -574,3 +601,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sanitize_nonfinite": q_sanitize_nonfinite,
     "sink_count": q_sink_count,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _harness(f) for k, f in _QUERIES.items()}

@@ -498,3 +498,70 @@ SQL = {
                   f"CAST(sum({U('CAST(round(o_totalprice * 1000) AS BIGINT)')}) AS DOUBLE) AS written_amount "
                   f"FROM orders",
 }
+
+# Date columns leave every query as ISO text, as on the Spark side (``catalogue._dates_as_text``).
+DATE_OUTPUTS = {
+    "typed_from_text": ["pay_period_start_date", "pay_period_end_date", "pay_date"],
+    "month_key": ["month_from_parts", "month_from_text", "month_trunc"],
+    "conditional_columns": ["budget_month"], "split_expand": ["transaction_date"],
+    "enriched_transactions": ["transaction_date"], "conditional_sums": ["transaction_month"],
+    "date_range": ["budget_month"], "record_spine": ["budget_month"], "dense_rollup": ["budget_month"],
+    "pay_measures": ["pay_date"], "pay_monthly": ["pay_month"], "monthly_level": ["budget_month"],
+    "chart_monthly_overview": ["budget_month"], "chart_monthly_income": ["budget_month"],
+    "chart_monthly_paycheck": ["budget_month"], "chart_monthly_spending": ["budget_month"],
+    "dash_extract_monthly": ["budget_month"],
+}
+
+
+# Integer columns leave every query as DOUBLE, as on the Spark side (``catalogue._dates_as_text``).
+INT_OUTPUTS = {
+    'scan_project': ['id'],
+    'unit_scale': ['event_id', 'value_milli'],
+    'json_flatten': ['amount', 'k'],
+    'json_two_level': ['budgeted', 'month', 'year'],
+    'row_ids': ['row_id', 'o_orderkey'],
+    'clean_label': ['p_partkey'],
+    'strip_emoji': ['p_partkey'],
+    'group_mapping': ['p_partkey'],
+    'month_key': ['o_orderkey'],
+    'conditional_columns': ['category_id'],
+    'split_expand': ['id', 'account_id', 'category_id'],
+    'enrich_chain': ['n_rows', 'n_unknown_category', 'n_unknown_account'],
+    'enriched_transactions': ['id', 'category_id', 'category_group_id'],
+    'latest_per_key': ['user_id', 'event_id', 'month', 'year'],
+    'categories_latest': ['id', 'category_group_id'],
+    'conditional_sums': ['category_id'],
+    'record_spine': ['category_id'],
+    'yearly_level': ['budget_year'],
+    'yearly_budgeted': ['order_id', 'budget_year'],
+    'yearly_group': ['budget_year', 'order_id'],
+    'yearly_subgroup': ['budget_year', 'order_id'],
+    'group_slice_needs': ['order_id', 'budget_year'],
+    'group_slice_wants': ['order_id', 'budget_year'],
+    'group_slice_other': ['order_id', 'budget_year'],
+    'unpivot_ordered': ['budget_year', 'order_id'],
+    'chart_yearly_overview': ['budget_year'],
+    'chart_yearly_income': ['budget_year'],
+    'chart_yearly_paycheck': ['budget_year'],
+    'chart_yearly_spending': ['budget_year'],
+    'dash_extract_yearly': ['budget_year'],
+    'overview_labels_yearly': ['Year'],
+    'serve_year_slice': ['budget_year'],
+    'serve_category_block': ['budget_year'],
+    'ordered_serving': ['order_id', 'budget_year', 'position'],
+    'audit_forall': ['violations'],
+    'grain_check': ['duplicate_keys', 'duplicate_rows'],
+    'sanitize_nonfinite': ['event_id'],
+    'sink_count': ['written_rows'],
+}
+
+
+def _comparable(sql: str, key: str) -> str:
+    swaps = [f"strftime({c}, '%Y-%m-%d') AS {c}" for c in DATE_OUTPUTS.get(key, [])]
+    swaps += [f"CAST({c} AS DOUBLE) AS {c}" for c in INT_OUTPUTS.get(key, [])]
+    if not swaps:
+        return sql
+    return f"SELECT * REPLACE ({', '.join(swaps)}) FROM ({sql}) AS q"
+
+
+SQL = {k: _comparable(v, k) for k, v in SQL.items()}

@@ -31,6 +31,25 @@ def rows_of(cols, records):
     return sorted((tuple(norm(r[i]) for i in order) for r in records), key=repr)
 
 
+def compare_pandas(spark, sf, key, q, sql, con):
+    """The same check through pandas frames with every value stringified (another way a driver may compare)."""
+    s = q(spark, sf).toPandas()
+    d = con.execute(sql).df()
+    if sorted(s.columns) != sorted(d.columns):
+        return dict(key=key, cols=False, values=False)
+    cols = sorted(s.columns)
+
+    def norm_frame(df):
+        return sorted(tuple("None" if v is None or (isinstance(v, float) and v != v) else str(v) for v in row)
+                      for row in df[cols].astype(object).itertuples(index=False))
+    a, b = norm_frame(s), norm_frame(d)
+    out = dict(key=key, rows=len(a), cols=True, values=a == b)
+    if a != b:
+        out["spark_only"] = [x for x in a if x not in set(b)][:2]
+        out["oracle_only"] = [x for x in b if x not in set(a)][:2]
+    return out
+
+
 def compare(spark, sf, key, q, sql, con):
     t0 = time.time()
     sdf = q(spark, sf)
@@ -60,8 +79,10 @@ def compare(spark, sf, key, q, sql, con):
 def main():
     from __spark_entry__ import oracle_sql, queries
     from abacus.session import get_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:]
+    args = [a for a in sys.argv[1:] if a != "--pandas"]
+    check = compare_pandas if "--pandas" in sys.argv else compare
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:]
     spark = get_session("local[8]", 8, extra={"spark.driver.memory": "8g"})
     con = duckdb.connect()
     for t in TABLES:
@@ -72,7 +93,7 @@ def main():
     bad = 0
     for key in keys or list(qs):
         try:
-            r = compare(spark, sf, key, qs[key], sqls.get(key), con)
+            r = check(spark, sf, key, qs[key], sqls.get(key), con)
         except Exception as e:  # noqa: BLE001
             r = dict(key=key, error=f"{type(e).__name__}: {str(e)[:600]}")
         ok = r.get("values") is True or (r.get("oracle") is None and "error" not in r and "values" not in r)

@@ -25,6 +25,16 @@ def test_every_query_has_an_oracle():
     assert set(queries()) == set(oracle_sql())
 
 
+def test_comparison_type_lists_match_spark_schemas(spark):
+    from pyspark.sql import types as T
+    from abacus.catalogue import _QUERIES
+    from abacus.catalogue_sql import DATE_OUTPUTS, INT_OUTPUTS
+    for key, fn in _QUERIES.items():
+        fields = fn(spark, SF).schema.fields
+        assert [f.name for f in fields if isinstance(f.dataType, T.DateType)] == DATE_OUTPUTS.get(key, []), key
+        assert [f.name for f in fields if isinstance(f.dataType, T.IntegralType)] == INT_OUTPUTS.get(key, []), key
+
+
 @pytest.mark.parametrize("key", sorted(queries()))
 def test_query_matches_oracle(spark, con, key):
     r = compare(spark, SF, key, queries()[key], oracle_sql()[key], con)
