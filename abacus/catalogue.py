@@ -506,6 +506,11 @@ def q_grain_check(spark, sf):
             .unionByName(grain_check(led["raw.monthly_categories"], ["id"], "raw.monthly_categories")))
 
 
+def q_dropped_facts(spark, sf):
+    led = Ledger.of(spark, sf)
+    return m.dropped_facts_report(led["raw.transactions"], led["raw.subtransactions"], led["combined.transactions"])
+
+
 def q_sanitize_nonfinite(spark, sf):
     e = _t(spark, sf, "events")
     v = (F.when(F.col("event_type") == "error", F.lit(float("nan")))
@@ -598,6 +603,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ordered_serving": q_ordered_serving,
     "audit_forall": q_audit_forall,
     "grain_check": q_grain_check,
+    "dropped_facts": q_dropped_facts,
     "sanitize_nonfinite": q_sanitize_nonfinite,
     "sink_count": q_sink_count,
 }

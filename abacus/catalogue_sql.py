@@ -492,6 +492,13 @@ SQL = {
         UNION ALL
         SELECT 'raw.monthly_categories', count(*), CAST(coalesce(sum(n), 0) AS BIGINT)
         FROM (SELECT count(*) AS n FROM l_month GROUP BY id HAVING count(*) > 1)"""),
+    "dropped_facts": _with("""
+        SELECT 'transactions_without_category' AS metric, count(*) AS rows FROM l_tx WHERE category_id IS NULL
+        UNION ALL
+        SELECT 'parts_of_transactions_without_category', count(*) FROM l_sub
+        WHERE transaction_id IN (SELECT id FROM l_tx WHERE category_id IS NULL)
+        UNION ALL
+        SELECT 'facts_with_unknown_category', count(*) FROM cb_tx WHERE category_id IS NULL"""),
     "sanitize_nonfinite": "SELECT event_id, event_type, CASE WHEN event_type IN ('error', 'click', 'view') "
                           "THEN NULL ELSE value END AS value FROM events",
     "sink_count": f"SELECT count(*) AS written_rows, "
@@ -551,6 +558,7 @@ INT_OUTPUTS = {
     'ordered_serving': ['order_id', 'budget_year', 'position'],
     'audit_forall': ['violations'],
     'grain_check': ['duplicate_keys', 'duplicate_rows'],
+    'dropped_facts': ['rows'],
     'sanitize_nonfinite': ['event_id'],
     'sink_count': ['written_rows'],
 }

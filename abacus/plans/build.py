@@ -133,6 +133,12 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse_root: str |
     return tables
 
 
+def dropped_report(tables: dict[str, DataFrame]) -> DataFrame:
+    """Counts of the rows the model rules drop on purpose (see ``models.dropped_facts_report``)."""
+    return m.dropped_facts_report(tables["raw.transactions"], tables["raw.subtransactions"],
+                                  tables["combined.transactions"])
+
+
 def grain_report(tables: dict[str, DataFrame]) -> DataFrame:
     """Duplicate-key counts of every model against its declared grain (one row per model)."""
     reports = [grain_check(df, GRAINS[name], name) for name, df in tables.items() if name in GRAINS]

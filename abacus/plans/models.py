@@ -342,6 +342,31 @@ def combined_yearly_budgeted(budgeted: DataFrame, category_orders: DataFrame,
                          "subcategory_group", "category_name", "spend", "assigned")
 
 
+def dropped_facts_report(raw_transactions: DataFrame, raw_subtransactions: DataFrame,
+                         transactions: DataFrame) -> DataFrame:
+    """Rows the reference's rules drop silently, counted (one row per metric).
+
+    * transactions without a category (dropped before split expansion), and
+    * their parts, which vanish with them (a semi join against the dropped ids;
+      AQE can split a hot parent on the probe side), and
+    * combined transactions whose category is unknown to the categories table
+      (they drop out of the dense monthly roll-up).
+    """
+    dropped = raw_transactions.where(F.col("category_id").isNull()).select(F.col("id").alias("__dropped"))
+    parts = raw_subtransactions.join(dropped, raw_subtransactions["transaction_id"] == dropped["__dropped"],
+                                     "left_semi")
+    counts = [
+        ("transactions_without_category", dropped),
+        ("parts_of_transactions_without_category", parts),
+        ("facts_with_unknown_category", transactions.where(F.col("category_id").isNull())),
+    ]
+    out = None
+    for metric, df in counts:
+        row = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(metric).alias("metric"), "rows")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 # ---------------------------------------------------------------- dashboards layer
 
 TRANSACTION_MEASURES = ["income", "emergency_fund_in_hsa", "needs_spend", "wants_spend",

@@ -6,7 +6,7 @@ import os
 import pytest
 
 from abacus.plans import serve
-from abacus.plans.build import grain_report
+from abacus.plans.build import dropped_report, grain_report
 from abacus.plans.ingest import ingest, run
 from tests import golden
 
@@ -161,3 +161,9 @@ def test_last_updated_stamp_format(spark):
     from abacus.functions import last_updated_stamp
     stamp = spark.range(1).select(last_updated_stamp()).first()[0]
     assert re.fullmatch(r"\d{4}-\d{2}-\d{2} \d{2}:\d{2} UTC", stamp)
+
+
+def test_dropped_facts_are_counted(models):
+    got = {r["metric"]: r["rows"] for r in dropped_report(models).collect()}
+    assert got == {"transactions_without_category": 1, "parts_of_transactions_without_category": 1,
+                   "facts_with_unknown_category": 0}
