@@ -241,7 +241,7 @@ class Ledger:
 
     @classmethod
     def of(cls, spark: SparkSession, sf: str) -> "Ledger":
-        key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+        key = (spark.conf.get("spark.app.id", None) or str(id(spark)), os.path.abspath(sf))
         if key not in cls._open:
             cls._open[key] = cls(spark, sf)
         return cls._open[key]

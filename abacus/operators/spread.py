@@ -14,7 +14,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     through untouched, so this never adds a shuffle at scale. Checking the number
     of partitions plans the scan but runs no job.
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # a session without RDD access (Spark Connect): leave the plan as it is
+        return df
+    return df.repartition(want) if have < want else df
