@@ -407,12 +407,13 @@ def monthly_paystubs(paystubs: DataFrame) -> DataFrame:
     return sum_measures(paystubs, [month_start("pay_date").alias("pay_month")], PAY_MEASURES)
 
 
-def dense_monthly(record_spine: DataFrame, month_tx: DataFrame, month_budget: DataFrame) -> DataFrame:
+def dense_monthly_grid(record_spine: DataFrame, month_tx: DataFrame, month_budget: DataFrame) -> DataFrame:
     """Spine of (month, category) left-joined to both pre-aggregated facts, summed per month.
 
-    Both facts are aggregated to the spine's grain first, so joining two fact
-    tables cannot multiply rows. Both joins use the same key order so the spine's
-    partitioning serves both.
+    The literal form: both facts are aggregated to the spine's grain first, so joining
+    two fact tables cannot multiply rows, and both joins use the same key order so the
+    spine's partitioning serves both. It joins the whole months x categories grid;
+    ``dense_monthly`` gives the same result without the grid.
     """
     spine = record_spine.select("budget_month", "category_id")
     t = month_tx.select(F.col("transaction_month").alias("budget_month"), "category_id",
@@ -421,15 +422,53 @@ def dense_monthly(record_spine: DataFrame, month_tx: DataFrame, month_budget: Da
                             "investments_assigned")
     keys = ["budget_month", "category_id"]
     joined = spine.join(t, keys, "left").join(b, keys, "left")
+    return _per_month(joined)
+
+
+def _per_month(rows: DataFrame) -> DataFrame:
     s = lambda c: F.sum(c).alias(c)
     spent = F.col("needs_spend") + F.col("wants_spend") + F.col("savings_spend") + F.col("emergency_fund_spend")
-    return joined.groupBy("budget_month").agg(
+    return rows.groupBy("budget_month").agg(
         s("income"), s("needs_spend"), s("wants_spend"), s("savings_spend"), s("emergency_fund_spend"),
         s("savings_assigned"), s("emergency_fund_assigned"), s("investments_assigned"),
         s("emergency_fund_in_hsa"), F.sum(spent).alias("spent"),
     )
 
 
+def dense_monthly(record_spine: DataFrame, month_tx: DataFrame, month_budget: DataFrame) -> DataFrame:
+    """Per-month sums of the facts that fall on the (month, category) spine, without joining the grid.
+
+    The spine is every category for every month of one range, so a fact row lies on it
+    exactly when its month is inside the spine's range and its category is one of the
+    spine's categories. The facts are filtered by that range (two scalar subqueries) and
+    a semi join against the spine's distinct categories (broadcast behind the size
+    check), then summed per month and attached to the spine's month list (one row per
+    month, generated from the same bounds). Same rows as ``dense_monthly_grid``, but the
+    work is proportional to the facts, not to months x categories, and nothing joins
+    on a grid key.
+    """
+    from abacus.operators import bounded_broadcast
+    first = record_spine.select(F.min("budget_month")).scalar()
+    last = record_spine.select(F.max("budget_month")).scalar()
+    cats = bounded_broadcast(record_spine.select("category_id").distinct())
+
+    def on_spine(df: DataFrame, month: str) -> DataFrame:
+        inside = df.where(F.col(month).between(first, last))
+        return inside.join(cats, "category_id", "left_semi")
+
+    t = on_spine(month_tx, "transaction_month").select(
+        F.col("transaction_month").alias("budget_month"), *TRANSACTION_MEASURES,
+        *[F.lit(None).cast("bigint").alias(c) for c in
+          ("savings_assigned", "emergency_fund_assigned", "investments_assigned")])
+    b = on_spine(month_budget, "budget_month").select(
+        "budget_month", *[F.lit(None).cast("bigint").alias(c) for c in TRANSACTION_MEASURES],
+        "savings_assigned", "emergency_fund_assigned", "investments_assigned")
+    sums = _per_month(t.unionByName(b))
+    # every spine month appears once, as in the grid form (months without facts get NULL sums)
+    months = record_spine.agg(F.min("budget_month").alias("s"), F.max("budget_month").alias("e"))
+    return bounded_month_spine(months, "s", "e").join(sums, "budget_month", "left")
+
+
 def report_date_bounds(month_tx: DataFrame, month_budget: DataFrame, month_pay: DataFrame) -> DataFrame:
     """One row: first month of any fact, last month of transactions or pay (budgets can run ahead)."""
     months = (month_tx.select(F.col("transaction_month").alias("m"), F.lit(True).alias("ends"))

@@ -187,3 +187,24 @@ def test_spread_only_when_few_partitions(spark):
 
 def test_write_counted(spark, tmp_path):
     assert write_counted(spark.range(123), str(tmp_path / "out")) == 123
+
+
+def test_dense_monthly_equals_grid_join(spark):
+    import datetime as dt
+    from abacus.plans import models as m
+    months = [dt.date(2024, i, 1) for i in range(1, 5)]
+    spine = spark.createDataFrame([(mo, c) for mo in months[1:4] for c in (1, 2)], "budget_month date, category_id long")
+    tx = spark.createDataFrame(
+        [(mo, c, 10, 1, 2, 3, 4, 5) for mo in months[:3] for c in (1, 2, 3, None)],
+        "transaction_month date, category_id long, income long, emergency_fund_in_hsa long, needs_spend long, "
+        "wants_spend long, savings_spend long, emergency_fund_spend long")
+    bud = spark.createDataFrame(
+        [(mo, c, 7, 8, 9) for mo in months[:3] for c in (2, 3)],
+        "budget_month date, category_id long, savings_assigned long, emergency_fund_assigned long, "
+        "investments_assigned long")
+    fast = sorted(map(tuple, m.dense_monthly(spine, tx, bud).collect()))
+    grid = sorted(map(tuple, m.dense_monthly_grid(spine, tx, bud).select(*m.dense_monthly(spine, tx, bud).columns)
+                      .collect()))
+    assert fast == grid and len(fast) == 3  # the last spine month has no facts: a NULL row
+    empty = spine.limit(0)
+    assert m.dense_monthly(empty, tx, bud).count() == 0
