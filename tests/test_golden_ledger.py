@@ -167,3 +167,13 @@ def test_dropped_facts_are_counted(models):
     got = {r["metric"]: r["rows"] for r in dropped_report(models).collect()}
     assert got == {"transactions_without_category": 1, "parts_of_transactions_without_category": 1,
                    "facts_with_unknown_category": 0}
+
+
+def test_year_blocks_as_csv_with_headers(models, tmp_path):
+    paths = serve.write_year_blocks(models, str(tmp_path / "csv"), fmt="csv")
+    spark = models["dashboards.yearly_paychecks"].sparkSession
+    pay = spark.read.option("header", True).csv(paths["paychecks"])
+    assert set(pay.columns) == {"Paycheck Value", "Amount", "budget_year"}
+    assert pay.count() == 15
+    net = pay.where("`Paycheck Value` = 'Net Pay'").first()
+    assert float(net["Amount"]) == 2700.0 and int(net["budget_year"]) == 2024
