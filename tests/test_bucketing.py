@@ -1,6 +1,5 @@
 """Co-bucketed split-expansion inputs: same results, no shuffle on the fact-to-fact join."""
 
-import os
 
 from abacus.operators import split_expand
 from abacus.plans import serve

@@ -3,7 +3,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import Row
+
 from pyspark.sql import functions as F
 
 from abacus.functions import (amount_from_text, clean_label, group_mapping, iso_date, month_label, round_milli,
