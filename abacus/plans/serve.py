@@ -193,3 +193,15 @@ def write_year_blocks(models: dict[str, DataFrame], out_root: str, fmt: str = "p
             writer.parquet(path)
         paths[block] = path
     return paths
+
+
+def read_year_block(spark, out_root: str, block: str, year: int | None = None, fmt: str = "parquet") -> DataFrame:
+    """One written report block, optionally for one year.
+
+    The year predicate is on the partition column, so the scan reads only that
+    year's folder (partition pruning) instead of filtering every row.
+    """
+    path = os.path.join(out_root, block)
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    df = reader.format(fmt).load(path)
+    return df if year is None else df.where(F.col("budget_year") == F.lit(year))

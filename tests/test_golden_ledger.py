@@ -177,3 +177,14 @@ def test_year_blocks_as_csv_with_headers(models, tmp_path):
     assert pay.count() == 15
     net = pay.where("`Paycheck Value` = 'Net Pay'").first()
     assert float(net["Amount"]) == 2700.0 and int(net["budget_year"]) == 2024
+
+
+def test_year_block_read_is_partition_pruned(models, tmp_path):
+    root = str(tmp_path / "blocks")
+    serve.write_year_blocks(models, root)
+    spark = models["dashboards.yearly_needs"].sparkSession
+    df = serve.read_year_block(spark, root, "needs", 2024)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(budget_year" in plan and "= 2024)" in plan
+    assert rows(df, "Needs") == [("Rent",)]
+    assert serve.read_year_block(spark, root, "needs", 2023).count() == 0
