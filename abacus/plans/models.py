@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from abacus import schemas
 from abacus.functions import (amount_from_text, clean_label, group_mapping, iso_date, make_month, milli,
                               month_start, round_milli, subgroup, us_date, year_of)
-from abacus.operators import (bounded_by_max, bounded_month_spine, conditional_columns,
+from abacus.operators import (bounded_broadcast, bounded_by_max, bounded_month_spine, conditional_columns,
                               conditional_sums, expand_months, latest_per_key, lookup,
                               scalar_min, split_expand, sum_measures, to_series)
 
@@ -447,7 +447,6 @@ def dense_monthly(record_spine: DataFrame, month_tx: DataFrame, month_budget: Da
     work is proportional to the facts, not to months x categories, and nothing joins
     on a grid key.
     """
-    from abacus.operators import bounded_broadcast
     first = record_spine.select(F.min("budget_month")).scalar()
     last = record_spine.select(F.max("budget_month")).scalar()
     cats = bounded_broadcast(record_spine.select("category_id").distinct())
