@@ -208,3 +208,17 @@ def test_dense_monthly_equals_grid_join(spark):
     assert fast == grid and len(fast) == 3  # the last spine month has no facts: a NULL row
     empty = spine.limit(0)
     assert m.dense_monthly(empty, tx, bud).count() == 0
+
+
+def test_split_expand_salted_equals_unsalted(spark):
+    parents = spark.createDataFrame([(i, f"c{i}", i * 10, f"m{i}") for i in range(1, 6)],
+                                    "id long, cat string, amount long, memo string")
+    kids = [(i, 1, None if i % 5 else "x", i, None) for i in range(1, 301)]      # parent 1 is hot
+    kids += [(1000 + i, 2, "y", i, "z") for i in range(3)]
+    children = spark.createDataFrame(kids, "cid long, tid long, cat string, amount long, memo string")
+    args = (parents, children, "id", "tid", {"cat": "cat", "amount": "amount", "memo": "memo"})
+    plain = split_expand(*args, child_id=("cid", "child"))
+    salted = split_expand(*args, child_id=("cid", "child"), salt=4, hot_rows=50)
+    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "xxhash64" in plan and "__salt" in plan
