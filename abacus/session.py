@@ -26,6 +26,33 @@ SESSION_DEFAULTS = {
 }
 
 
+def scale_settings(input_bytes: int, total_cores: int, shuffle_fraction: float = 0.25,
+                   target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Sizing for a run over ``input_bytes`` of Parquet on ``total_cores`` executor cores.
+
+    * Scan splits of ``target_partition_bytes`` (256 MB) keep task count and per-task
+      memory in check (100 TB -> ~400k scan tasks, a few waves on 8,000 cores).
+    * The initial shuffle partition count assumes the largest shuffle carries
+      ``shuffle_fraction`` of the input (facts are pre-aggregated before they
+      shuffle) at ~256 MB per partition, at least twice the cores; AQE then coalesces
+      toward the 128 MB advisory size and splits skewed partitions above 512 MB.
+    * Broadcasts are only planned for sides under 64 MB (size-checked dimensions are
+      far below that).
+    """
+    shuffle_bytes = max(int(input_bytes * shuffle_fraction), 1)
+    partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    partitions = min(partitions, 500_000)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "abacus", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the defaults above.

@@ -222,3 +222,12 @@ def test_split_expand_salted_equals_unsalted(spark):
     assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "xxhash64" in plan and "__salt" in plan
+
+
+def test_scale_settings():
+    from abacus.session import scale_settings
+    big = scale_settings(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-(25 * 10**12) // (256 << 20))
+    assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == big["spark.sql.shuffle.partitions"]
+    small = scale_settings(10**6, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
