@@ -188,3 +188,16 @@ def test_year_block_read_is_partition_pruned(models, tmp_path):
     assert "PartitionFilters: [isnotnull(budget_year" in plan and "= 2024)" in plan
     assert rows(df, "Needs") == [("Rent",)]
     assert serve.read_year_block(spark, root, "needs", 2023).count() == 0
+
+
+def test_ingest_documents_one_per_line(spark, tmp_path):
+    import json
+    path = tmp_path / "history.jsonl"
+    doc = golden.document()
+    with open(path, "w") as f:
+        for budget_id in ("B1", "B2", "B3"):
+            doc["data"]["budget"]["id"] = budget_id
+            f.write(json.dumps(doc) + "\n")
+    _, stubs, _ = golden.write_inputs(str(tmp_path / "in"))
+    counts = ingest(spark, str(path), stubs, str(tmp_path / "landing"), multi_line=False)
+    assert counts["transactions"] == 21 and counts["monthly-categories"] == 30
