@@ -231,3 +231,19 @@ def test_scale_settings():
     assert big["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == big["spark.sql.shuffle.partitions"]
     small = scale_settings(10**6, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_row_ids_match_parquet_file_order_across_row_groups(spark):
+    import duckdb
+    path = "/root/testdata/sf0.1/lineitem.parquet"
+    cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        df = read_with_row_ids(spark, path, "parquet", "rid", cols)
+        got = set(map(tuple, df.select("rid", *cols).collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = set(duckdb.connect().execute(
+        f"SELECT file_row_number + 1, {', '.join(cols)} FROM read_parquet('{path}', file_row_number=true)").fetchall())
+    assert got == want
