@@ -31,7 +31,9 @@ def with_row_ids(scan: DataFrame, id_col: str = "id") -> DataFrame:
     contiguous. Each chunk's first row number is the running sum of the sizes of the
     chunks before it: a small table with one row per input split, so it is
     broadcast. Input splits are not handed to tasks in file order, which is why the
-    byte offset, not the task number, orders the chunks.
+    byte offset, not the task number, orders the chunks. A retried or recomputed task
+    re-reads the same split in the same order, so the ids do not change after an
+    executor loss.
     """
     cols = scan.columns
     base = scan.select(
