@@ -56,3 +56,12 @@ def test_projection_reaches_the_reader(spark):
 def test_audits_scan_once(plans):
     p = plans["audit_forall"]
     assert p.count("FileScan parquet") == 1
+
+
+def test_no_python_evaluation_anywhere(spark):
+    python_nodes = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
+                    "FlatMapCoGroupsInPandas", "PythonUDF", "MapInArrow")
+    for key, fn in QUERIES.items():
+        df = fn(spark, SF)
+        text = df._jdf.queryExecution().executedPlan().toString() + df._jdf.queryExecution().optimizedPlan().toString()
+        assert not any(node in text for node in python_nodes), key
