@@ -201,3 +201,19 @@ def test_ingest_documents_one_per_line(spark, tmp_path):
     _, stubs, _ = golden.write_inputs(str(tmp_path / "in"))
     counts = ingest(spark, str(path), stubs, str(tmp_path / "landing"), multi_line=False)
     assert counts["transactions"] == 21 and counts["monthly-categories"] == 30
+
+
+def test_every_stored_order_applies_to_its_model(models):
+    for model in serve.MODEL_ORDER:
+        df = serve.ordered(serve.served(models[model]), model)
+        assert df.count() == models[model].count(), model
+
+
+def test_served_names_drop_emoji(models):
+    df = serve.clean_category_names(models["raw.monthly_categories"].select(F_name()))
+    assert "Rent" in [r[0] for r in df.collect()]
+
+
+def F_name():
+    from pyspark.sql import functions as F
+    return F.col("name").alias("category_name")
