@@ -110,21 +110,31 @@ def _write_model(spark: SparkSession, df: DataFrame, name: str, path: str, bucke
     return spark.read.parquet(path)
 
 
+# Models worth writing when not every model must be stored: aggregates, joins, the text
+# parse, and reports with several consumers (plain projections are folded into readers).
+HEAVY_MODELS = frozenset({
+    "cleaned.categories", "cleaned.paystubs", "combined.transactions", "combined.budgeted",
+    "combined.record_spine", "dashboards.monthly_level", "dashboards.yearly_level",
+    "combined.yearly_budgeted", "dashboards.yearly_paychecks",
+})
+
+
 def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse_root: str | None = None,
           as_of: dt.date | str | None = None, audit: bool = True,
-          buckets: int | None = None) -> dict[str, DataFrame]:
+          buckets: int | None = None, materialize: frozenset[str] | set[str] | None = None) -> dict[str, DataFrame]:
     """Build every model in order.
 
     With ``warehouse_root`` each model is written to ``{root}/{layer}/{model}`` and
     re-read, cutting lineage; without it the models stay lazy (one plan per
-    consumer, for tests and small inputs). ``buckets`` co-buckets the two inputs of
+    consumer, for tests and small inputs). ``materialize`` limits the written models to a
+    subset (e.g. ``HEAVY_MODELS``); the others stay lazy. ``buckets`` co-buckets the two inputs of
     the split expansion (needs a session catalog). The paystub audits run after
     ``cleaned.paystubs`` and stop the build on a violation.
     """
     tables = dict(raw)
     for name, make in model_steps(as_of):
         df = make(tables)
-        if warehouse_root:
+        if warehouse_root and (materialize is None or name in materialize or name in CO_BUCKETED and buckets):
             layer, model = name.split(".")
             df = _write_model(spark, df, name, os.path.join(warehouse_root, layer, model), buckets)
         tables[name] = df

@@ -28,8 +28,10 @@ def ingest(spark: SparkSession, documents: str, paystubs_csv: str, landing_root:
 
 def run(spark: SparkSession, documents: str, paystubs_csv: str, category_orders_csv: str,
         landing_root: str, warehouse_root: str | None, as_of: dt.date | str | None = None,
-        multi_line: bool = True, buckets: int | None = None) -> dict[str, DataFrame]:
+        multi_line: bool = True, buckets: int | None = None,
+        materialize: frozenset[str] | set[str] | None = None) -> dict[str, DataFrame]:
     """The daily run: ingest, then build every model."""
     ingest(spark, documents, paystubs_csv, landing_root, multi_line=multi_line)
     orders = read_with_row_ids(spark, category_orders_csv, "csv", "id", schemas.CATEGORY_ORDER_COLUMNS)
-    return build(spark, raw_tables(spark, landing_root, orders), warehouse_root, as_of, buckets=buckets)
+    return build(spark, raw_tables(spark, landing_root, orders), warehouse_root, as_of, buckets=buckets,
+                 materialize=materialize)

@@ -217,3 +217,17 @@ def test_served_names_drop_emoji(models):
 def F_name():
     from pyspark.sql import functions as F
     return F.col("name").alias("category_name")
+
+
+def test_heavy_only_materialization_gives_the_same_reports(spark, models, tmp_path):
+    import os
+    from abacus.plans.build import HEAVY_MODELS
+    doc, stubs, orders = golden.write_inputs(str(tmp_path / "in"))
+    wh = str(tmp_path / "wh")
+    light = run(spark, doc, stubs, orders, str(tmp_path / "landing"), wh, as_of=golden.AS_OF,
+                materialize=HEAVY_MODELS)
+    assert sorted(os.listdir(os.path.join(wh, "cleaned"))) == ["categories", "paystubs"]
+    for name in ("dashboards.monthly_level", "combined.yearly_budgeted", "dashboards.yearly_needs"):
+        got = sorted(map(tuple, light[name].collect()), key=repr)
+        want = sorted(map(tuple, models[name].collect()), key=repr)
+        assert got == want, name
