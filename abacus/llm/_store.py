@@ -38,11 +38,11 @@ def share(spark: SparkSession, value: object) -> Callable[[], object]:
 
 
 def by_run(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table], schema: str,
-           order: list[str] | None = None) -> DataFrame:
+           least: int = 1) -> DataFrame:
     """``work`` on the rows of each key, which the caller keeps to a bounded number.
 
-    Keys are hashed to partitions, sorted (also by ``order``), and streamed: a task holds one
-    key's rows at a time.
+    Keys are hashed to partitions, sorted, and streamed: a task holds one key's rows at a time,
+    or those of as many keys in a row as give ``least`` rows.
     """
 
     def run(batches):
@@ -54,13 +54,14 @@ def by_run(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table],
             for k in keys:
                 column = table[k].to_numpy()
                 change |= column[1:] != column[:-1]
-            cuts = [0, *(np.flatnonzero(change) + 1).tolist(), table.num_rows]
-            stop = len(cuts) - 1 if last else len(cuts) - 2
-            for i in range(stop):
-                done = work(table.slice(cuts[i], cuts[i + 1] - cuts[i]))
-                if done is not None and done.num_rows:
-                    yield from done.to_batches()
-            return None if last else table.slice(cuts[stop])
+            start = 0
+            for end in [*(np.flatnonzero(change) + 1).tolist(), *[table.num_rows] * last]:
+                if end - start >= least or end == table.num_rows:
+                    done = work(table.slice(start, end - start))
+                    start = end
+                    if done is not None and done.num_rows:
+                        yield from done.to_batches()
+            return None if last else table.slice(start)
 
         for batch in batches:
             if batch.num_rows:
@@ -69,7 +70,7 @@ def by_run(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table],
         if held is not None:
             yield from parts(held, True)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *(order or [])).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:

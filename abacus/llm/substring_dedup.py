@@ -1,13 +1,15 @@
 """Substring deduplication with suffix automata of reference shards.
 
 A word is removed if a window of WINDOW words around it also starts in a document with a
-smaller id. In short: (1) each window is named by its least word k-gram, so equal windows have
+smaller id. In short: (1) a text that equals one of a smaller id loses all its windows at once
+and is no reference. (2) Each window is named by its least word k-gram, so equal windows have
 equal names; names that occur in two documents or more are kept, the rest can't repeat.
-(2) The runs of windows under a kept name are passages; equal passages are counted once, under
-the smallest id. (3) Passages are hashed by name into shards of bounded size. A shard is a
-suffix automaton that grows in the order of ids: each passage first streams through the
-automaton of all smaller ids, and matching statistics of at least WINDOW words give the
-maximal spans to remove. (4) Spans go back to the documents.
+(3) The runs of windows under a kept name are passages; a passage that equals one of a smaller
+id goes whole. (4) The first of equal passages are hashed by name into shards of bounded size.
+A shard is a suffix automaton that grows in the order of ids: each passage streams through the
+automaton of all smaller ids, and matching statistics of at least WINDOW words give the maximal
+spans to remove. (5) Spans go back to the documents. The texts are shuffled once, by id; every
+step that needs them reuses that exchange.
 
 The automata are spread by a shuffle, not broadcast: together they grow with the repeated part
 of the corpus, and a passage needs only the shard of its name.
@@ -19,19 +21,20 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacus.llm._store import by_run, written
+from abacus.llm._store import by_run
 from abacus.llm._text import SPACED, Words, covered, grams, mix, ranges, signed, text_slices
 
 WINDOW = 13
-GRAM = 6
+GRAM = 5
 # A name in more documents than this is split: each of its windows becomes a passage of its own.
 COMMON = 1000
 # Passages that a shard's automaton holds, about.
 SHARD_PASSAGES = 12_000
+# Names are shortened to shuffle less; unequal windows may share one.
+NAME_BITS = 48
 _RANGE = 0xA0761D6478BD642F | 1
 
 
@@ -107,7 +110,8 @@ def names(words: Words, hashes: np.ndarray, window: int, gram: int) -> tuple[np.
     starts = ranges(words.row_first[:-1], counts)
     if not len(starts):
         return starts, np.zeros(0, np.uint64)
-    return starts, sliding(grams(hashes, gram), window - gram + 1, np.minimum)[starts]
+    least = sliding(grams(hashes, gram), window - gram + 1, np.minimum)[starts]
+    return starts, least >> np.uint64(64 - NAME_BITS)
 
 
 def runs(row: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -141,12 +145,13 @@ def _slices(batch: pa.RecordBatch, window: int, gram: int):
 
 
 def _shard(group: pa.Table, window: int) -> pa.Table:
-    """Spans of each passage whose windows occur under a smaller id. Rows come by id."""
-    automaton, first = Automaton(), group["first"].to_pylist()
+    """Spans of each passage whose windows occur under a smaller id, a row per passage."""
+    group = group.sort_by([("doc_id", "ascending")])
+    automaton, ids = Automaton(), group["doc_id"].to_pylist()
     words = [np.frombuffer(w, np.uint32).tolist() for w in group["words"].to_pylist()]
     spans, held = [], []
     for i, own in enumerate(words):
-        if held and first[i] != first[held[0]]:
+        if held and ids[i] != ids[held[0]]:
             for h in held:
                 automaton.add(words[h])
             held = []
@@ -161,41 +166,39 @@ def _shard(group: pa.Table, window: int) -> pa.Table:
         if found[:2] != [0, len(own)]:
             held.append(i)
         spans.append(found)
-    return pa.table({"key": group["key"], "ctx": group["ctx"], "first": group["first"],
-                     "spans": pa.array(spans, pa.list_(pa.int32()))})
+    return group.select(["doc_id", "row", "start"]).append_column("spans", pa.array(spans, pa.list_(pa.int32())))
+
+
+def _distinct(*columns: np.ndarray) -> np.ndarray:
+    """An order of the rows by the columns, without those that repeat the one before."""
+    order = np.lexsort(columns[::-1])
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[order[1:]] != c[order[:-1]]
+    return order[new]
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, common: int = COMMON,
                    shard_passages: int = SHARD_PASSAGES) -> DataFrame:
-    """(doc_id, spans): for ``docs`` of (doc_id, text, row), arrays of (row, start, end) in words."""
+    """(doc_id, rows, starts, spans) of ``docs`` (doc_id, text, row): which words of a row repeat."""
 
     def named(batches):
         for batch in batches:
             ids = batch["doc_id"].to_numpy()
             for first, _, _, _, name, row in _slices(batch, window, gram):
-                if not len(name):
-                    continue
-                doc = ids[first + row]
-                start, _ = runs(row, name)
-                name, doc = name[start], doc[start]
-                order = np.lexsort((doc, name))
-                name, doc = name[order], doc[order]
-                new = np.concatenate(([True], (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])))
-                name, doc = name[new], doc[new]
-                at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
-                many = np.diff(np.concatenate((at, [len(name)])))
-                low = doc[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(name[at])), pa.array(low), pa.array(doc[at + many - 1] - low), pa.array(many)],
-                    names=["name", "low", "span", "docs"])
-
-    texts = docs.where("doc_id is not null").select("doc_id", "text")
-    shared = written(
-        texts.mapInArrow(named, "name long, low long, span long, docs long").groupBy("name")
-        .agg(F.min("low").alias("low"), F.max(F.col("low") + F.col("span")).alias("high"), F.sum("docs").alias("docs"))
-        .where("low < high").select("name", "docs"), "shared-names")
-    total = shared.agg(F.sum("docs")).first()[0] or 0
-    shards = max(1, -(-total // shard_passages))
+                if len(name):
+                    start, _ = runs(row, name)
+                    name, doc = name[start], ids[first + row[start]]
+                    keep = _distinct(name, doc)
+                    name, doc = name[keep], doc[keep]
+                    at = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+                    many, low = np.diff(np.concatenate((at, [len(name)]))), doc[at]
+                    # In the order of ids, which packs better.
+                    order = np.argsort(low, kind="stable")
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(v[order]) for v in (signed(name[at]), low, doc[at + many - 1] - low, many)],
+                        names=["name", "low", "span", "docs"])
 
     def listed(batches):
         for batch in batches:
@@ -204,31 +207,30 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
                 if len(name):
                     start, _ = runs(row, name)
                     doc, name = ids[first + row[start]], name[start]
-                    order = np.lexsort((name, doc))
-                    doc, name = doc[order], name[order]
-                    new = np.concatenate(([True], (name[1:] != name[:-1]) | (doc[1:] != doc[:-1])))
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(name[new])), pa.array(doc[new])], names=["name", "doc_id"])
-
-    wanted = (texts.mapInArrow(listed, "name long, doc_id long").join(shared, "name")
-              .select("doc_id", F.struct("name", (F.col("docs") > common).alias("common")).alias("n"))
-              .groupBy("doc_id").agg(F.collect_list("n").alias("names"))
+                    keep = _distinct(doc, name)
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(name[keep])), pa.array(doc[keep])], names=["name", "doc_id"])
+
+    texts = docs.where("not copy").select("doc_id", "text")
+    shared = (texts.mapInArrow(named, "name long, low long, span long, docs long").groupBy("name")
+              .agg(F.min("low").alias("low"), F.max(F.col("low") + F.col("span")).alias("high"), F.sum("docs").alias("docs"))
+              .where("low < high").select("name", (F.col("docs") > common).alias("common")))
+    wanted = (texts.mapInArrow(listed, "name long, doc_id long").join(shared.hint("merge"), "name")
+              .groupBy("doc_id").agg(F.collect_list(F.struct("name", "common")).alias("names"))
               .select("doc_id", F.col("names.name").alias("names"), F.col("names.common").alias("common")))
 
     def passages(batches):
         for batch in batches:
-            batch = batch.filter(pc.is_valid(batch["names"]))
             ids, rows = batch["doc_id"].to_numpy(), batch["row"].to_numpy()
             for first, words, hashes, starts, name, row in _slices(batch, window, gram):
                 if not len(name):
                     continue
                 begin, end = runs(row, name)
-                lists = [batch[c].slice(first, len(words.count)) for c in ("names", "common")]
-                kept = np.sort(lists[0].flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-                often = np.sort(lists[0].flatten().to_numpy(zero_copy_only=False).view(np.uint64)[
-                    lists[1].flatten().to_numpy(zero_copy_only=False)])
-                own = _member(name[begin], kept)
+                kept, often = (batch[c].slice(first, len(words.count)).flatten().to_numpy(zero_copy_only=False)
+                               for c in ("names", "common"))
+                kept = kept.view(np.uint64)
+                own = _member(name[begin], np.sort(kept))
                 begin, end = begin[own], end[own]
-                split = _member(name[begin], often)
+                split = _member(name[begin], np.sort(kept[often]))
                 # Windows of common names one by one, runs of the others.
                 single = ranges(begin[split], (end - begin)[split])
                 start = np.concatenate((starts[begin[~split]], starts[single]))
@@ -236,26 +238,45 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
                 ctx = range_hashes(hashes, start, stop)
                 key = np.concatenate((name[begin[~split]], ctx[len(ctx) - len(single):]))
                 row_of = np.concatenate((row[begin[~split]], row[single]))
-                short = (hashes & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                sizes = stop - start
-                flat = short[ranges(start, sizes)]
-                offsets = np.concatenate(([0], np.cumsum(sizes))) * 4
-                content = pa.Array.from_buffers(pa.binary(), len(start), [
-                    None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat)])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(key)), pa.array(signed(ctx)), pa.array(ids[first + row_of]), pa.array(rows[first + row_of]),
-                     pa.array((start - words.row_first[row_of]).astype(np.int32)), pa.array(sizes.astype(np.int32)), content],
-                    names=["key", "ctx", "doc_id", "row", "start", "size", "words"])
-
-    found = docs.join(wanted, "doc_id", "left").select("doc_id", "text", "row", "names", "common").mapInArrow(
-        passages, "key long, ctx long, doc_id long, row long, start int, size int, words binary")
-    once = found.groupBy("key", "ctx").agg(F.min("doc_id").alias("first"), F.first("words").alias("words"))
-    matched = by_run(once.withColumn("shard", F.pmod("key", F.lit(shards))), ["shard"], lambda g: _shard(g, window),
-                     "key long, ctx long, first long, spans array<int>", ["first", "key", "ctx"])
-    pieces = F.when(F.col("doc_id") > F.col("first"), F.array(F.lit(0), F.col("size"))).otherwise(F.col("spans"))
-    return (found.select("key", "ctx", "doc_id", "row", "start", "size").join(matched, ["key", "ctx"])
-            .select("doc_id", "row", "start", pieces.alias("spans")).where("size(spans) > 0")
-            .groupBy("doc_id").agg(F.collect_list(F.struct("row", "start", "spans")).alias("found"))
+                columns = (signed(key), signed(ctx), ids[first + row_of], rows[first + row_of],
+                           (start - words.row_first[row_of]).astype(np.int32), (stop - start).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
+                                                 names=["key", "ctx", "doc_id", "row", "start", "size"])
+
+    found = (docs.join(wanted.hint("merge"), "doc_id", "left").where("not copy and names is not null")
+             .select("doc_id", "text", "row", "names", "common")
+             .mapInArrow(passages, "key long, ctx long, doc_id long, row long, start int, size int"))
+    least = found.groupBy("key", "ctx").agg(F.min("doc_id").alias("first"))
+    placed = found.join(least.hint("merge"), ["key", "ctx"])
+    later = placed.where("doc_id > first").select("doc_id", "row", "start", F.array(F.lit(0), F.col("size")).alias("spans"))
+
+    def worded(batches):
+        for batch in batches:
+            ids, own_rows = batch["doc_id"].to_pylist(), batch["row"].to_pylist()
+            lists = batch["firsts"].to_pylist()
+            for first, _, data, offsets in text_slices(batch["text"]):
+                words = Words(data, offsets, SPACED)
+                short = (words.hashes() & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+                out = []
+                for i, base in enumerate(words.row_first[:-1].tolist()):
+                    at = first + i
+                    out += [(p["key"], ids[at], own_rows[at], p["start"], short[base + p["start"]:base + p["start"] + p["size"]].tobytes())
+                            for p in lists[at] if p["row"] == own_rows[at]]
+                if out:
+                    key, doc, row, start, content = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(key, pa.int64()), pa.array(doc, pa.int64()), pa.array(row, pa.int64()),
+                         pa.array(start, pa.int32()), pa.array(content, pa.binary())], names=["key", "doc_id", "row", "start", "words"])
+
+    # Not an equality, which would become a key of the join and shuffle the passages once more.
+    firsts = (placed.where("doc_id <= first").groupBy("doc_id")
+              .agg(F.collect_list(F.struct("key", "row", "start", "size")).alias("firsts")))
+    contents = (docs.join(firsts.hint("merge"), "doc_id", "left").where("not copy and firsts is not null")
+                .select("doc_id", "text", "row", "firsts")
+                .mapInArrow(worded, "key long, doc_id long, row long, start int, words binary"))
+    matched = by_run(contents, ["key"], lambda g: _shard(g, window),
+                     "doc_id long, row long, start int, spans array<int>", shard_passages).where("size(spans) > 0")
+    return (later.unionByName(matched).groupBy("doc_id").agg(F.collect_list(F.struct("row", "start", "spans")).alias("found"))
             .select("doc_id", F.col("found.row").alias("rows"), F.col("found.start").alias("starts"), F.col("found.spans").alias("spans")))
 
 
@@ -274,20 +295,33 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
     and empty texts have no words; rows without an id keep theirs and remove none. An empty table
     gives an empty one; other columns are ignored.
     """
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # An alias that does nothing would keep the planner from seeing that the exchanges are equal.
+    plain = id_col == "doc_id" and docs.schema[id_col].dataType.simpleString() == "bigint"
+    texts = docs.select("doc_id" if plain else F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.withColumn("row", F.xxhash64("text"))
+    nameless = texts.where("doc_id is null")
+    # Every use of the texts has this filter, so all share one exchange.
+    texts = texts.where("doc_id is not null")
+    # Texts that equal one of a smaller id.
+    known = texts.select("doc_id", "row", F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    copies = (known.join(known.groupBy("sha").agg(F.min("doc_id").alias("first")).hint("merge"), "sha").where("doc_id > first")
+              .groupBy("doc_id").agg(F.collect_set("row").alias("copies")))
+    texts = texts.join(copies.hint("merge"), "doc_id", "left").select(
+        "doc_id", "text", "row", F.coalesce(F.array_contains("copies", F.col("row")), F.lit(False)).alias("copy"))
     spans = repeated_spans(texts, window, gram, common, shard_passages)
 
     def cut(batches):
         for batch in batches:
-            own_rows = batch["row"].to_pylist()
+            own_rows, copy = batch["row"].to_pylist(), batch["copy"].to_pylist()
             lists = [batch[c].to_pylist() for c in ("rows", "starts", "spans")]
             for first, _, data, offsets in text_slices(batch["text"]):
                 words = Words(data, offsets, SPACED)
                 out = []
                 for i, total in enumerate(words.count.tolist()):
                     gone, at = np.zeros(total, bool), first + i
-                    if lists[0][at] is not None:
+                    if copy[at]:
+                        gone[:] = total >= window
+                    elif lists[0][at] is not None:
                         marks = [(start + s, start + e) for row, start, found in zip(*(c[at] for c in lists), strict=True)
                                  if row == own_rows[at] for s, e in zip(found[::2], found[1::2], strict=True)]
                         if marks:
@@ -305,6 +339,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
                      pa.array(columns[2], pa.string()), pa.array(columns[3], pa.string())],
                     names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    return (texts.join(spans, "doc_id", "left").select("doc_id", "text", "row", "rows", "starts", "spans")
+    marked = texts.join(spans.hint("merge"), "doc_id", "left").select("doc_id", "text", "row", "copy", "rows", "starts", "spans")
+    return (marked.unionByName(nameless.withColumn("copy", F.lit(False)), allowMissingColumns=True)
             .mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
             .withColumnRenamed("doc_id", id_col))
