@@ -73,6 +73,15 @@ def by_run(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table],
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def grouped(df: DataFrame, *keys: str):
+    """Like groupBy, with one more key that the others give (drop ``__deal`` afterwards).
+
+    The result is not dealt by ``keys``, so a join on them shuffles it on its own account, and
+    the adaptive join can split a hot key of its other side.
+    """
+    return df.groupBy(*keys, F.xxhash64(*keys).alias("__deal"))
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node that links reach, for nodes with links.
 
@@ -85,11 +94,11 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
                     .distinct(), "edges")
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select(
+        low = grouped(both, "a").agg(F.min("b").alias("m")).select(
             F.col("a").alias("node"), F.least("a", "m").alias("m"))
         large = (both.join(low, both.a == low.node).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
-        lowest = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "node")
+        lowest = grouped(large, "a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), "m")
         small = (large.join(lowest, large.a == lowest.node).select(F.explode(F.array(
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
             F.struct(F.col("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b").where("a <> b").distinct())

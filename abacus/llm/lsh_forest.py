@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacus.llm._store import by_run, components, written
+from abacus.llm._store import by_run, components, grouped, written
 from abacus.llm._text import SPACED, Words, gram_starts, grams, mix, text_slices
 
 SHINGLE = 5
@@ -190,15 +190,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
     prefix = [F.xxhash64(F.lit(t), F.substring("sig", 4 * length * t + 1, 4 * length)) for t in range(trees)]
     buckets = classes.select("rep", F.explode(F.array(*prefix)).alias("bucket"))
-    shared = (buckets.groupBy("bucket").count().where("count > 1")
+    shared = (grouped(buckets, "bucket").count().where("count > 1")
               .select("bucket", F.ceil(F.col("count") / (2 * block)).cast("int").alias("blocks")))
     placed = buckets.join(shared, "bucket").join(classes.select("rep", "sig"), "rep")
     ties = by_run(_pairs_of_blocks(placed, "rep"), ["bucket", "low", "high"], lambda g: _tie(g, places, agree), "a long, b long")
     families = written(components(spark, ties).withColumnRenamed("node", "rep").withColumnRenamed("component", "family")
                        .join(classes.select("rep", "copies", "shingles"), "rep"), "shingle-families")
 
-    sizes = families.groupBy("family").agg(F.ceil(F.greatest(
-        F.count("*") / block, F.sum("shingles") * 8 / BLOCK_BYTES)).cast("int").alias("blocks"))
+    sizes = grouped(families, "family").agg(F.ceil(F.greatest(
+        F.count("*") / block, F.sum("shingles") * 8 / BLOCK_BYTES)).cast("int").alias("blocks")).drop("__deal")
     chosen = families.join(sizes, "family").select("rep", "family", "copies", "blocks")
 
     def members(batches):
@@ -210,7 +210,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
                     names=["rep", "family", "copies", "blocks", "members"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
-    sets = texts.join(chosen, "rep").mapInArrow(members, "rep long, family long, copies long, blocks int, members binary")
+    # The texts are shuffled by id whatever the other side's size, so the work grows evenly.
+    sets = texts.join(chosen.hint("merge"), "rep").mapInArrow(members, "rep long, family long, copies long, blocks int, members binary")
     links = written(by_run(_pairs_of_blocks(sets, "rep"), ["family", "low", "high"], lambda g: _verify(g, threshold),
                            "rep long, links long, least long"), "shingle-links")
 
