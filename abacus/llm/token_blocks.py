@@ -14,20 +14,26 @@ import os
 import re
 import struct
 import sys
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from abacus.llm._text import ranges, text_slices
+
 BLOCK = 1024
 CHUNK = 1 << 16
 PERCENTILE = 90
 END_ID = 0
+# Texts are encoded together up to about this many bytes.
+SLICE_BYTES = 6 << 20
 TOKENIZER = "byte_bpe_50k.json"
 # The encoder forgets the pieces it knows beyond this many pieces or characters.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 500_000
 KNOWN_CHARS = 16_000_000
 # Ahead of a block's bytes: ids, minimum, width, exceptions.
 _HEAD = "<HIBH"
@@ -36,24 +42,28 @@ _HEAD = "<HIBH"
 class _Slots(dict):
     """Numbers keys as they are first asked for."""
 
-    def __init__(self):
-        super().__init__()
-        self.new = []
+    def __init__(self, keys=()):
+        super().__init__(zip(keys, range(len(keys)), strict=True))
+        self.keys_in_order = list(keys)
 
     def __missing__(self, key):
         self[key] = number = len(self)
-        self.new.append(key)
+        self.keys_in_order.append(key)
         return number
 
 
 class Encoder:
-    """Encodes texts piece by piece and remembers the pieces.
+    """Encodes texts piece by piece with the tokenizers library and remembers the pieces.
 
     The byte-level split never crosses a space that is followed by something else than white
-    space, so the parts of a text between such spaces are encoded once each. A text that
-    holds the string of a special token is encoded whole.
+    space, so the parts of a text between such spaces are encoded once each; nor does it cross
+    from a letter or digit to the stops that end a part. A text that holds the string of a
+    special token is encoded whole. When it knows too many pieces, the encoder forgets those
+    that it has met only once.
     """
 
+    STOPS = ".,;:!?"
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -61,57 +71,108 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
-        self.loose, self.cut = re.compile(r" (?!\S)"), re.compile(r"(?= \S)")
-        self.forget()
-
-    def forget(self) -> None:
-        self.slots, self.chars = _Slots(), 0
-        self.flat, self.first = np.zeros(1 << 16, np.uint32), np.zeros(1, np.int64)
-
-    def encode(self, texts: list[str], end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by ``end_id``, and how many each text has."""
+        self.cut = re.compile(r"(?= \S)")
+        # A space followed by any white space, or by nothing: such a text is cut with care.
+        self.loose = r" ([\s\x0b\x1c-\x1f\x{85}\p{Z}]|$)" + "".join("|" + re.escape(t) for t in special)
+        self.slots = _Slots()
+        self.flat, self.chars = np.zeros(1 << 16, np.uint32), 0
+        self.first, self.size, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+        self.used, self.known = 0, 0
+
+    def encode(self, texts: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a string array without nulls, each text's followed by ``end_id``, and how many each has."""
         if len(self.slots) > KNOWN_PIECES or self.chars > KNOWN_CHARS:
-            self.forget()
-        slots, found, counts = self.slots, [], []
-        for text in texts:
-            # A leading part, and whatever is not cut at a space, is keyed as a tuple.
-            if self.special.search(text):
-                parts = [("whole", text)]
-            elif self.loose.search(text):
-                parts = [p[1:] if p[0] == " " else (p,) for p in self.cut.split(text) if p]
-            else:
-                head, *parts = text.split(" ")
-                parts = [(head,), *parts] if head else parts if text else []
-            found += map(slots.__getitem__, parts)
-            counts.append(len(parts))
+            self._forget()
+        careful = pc.match_substring_regex(texts, self.loose).to_numpy(zero_copy_only=False)
+        split = pc.split_pattern(pc.if_else(pa.array(careful), "", texts), " ")
+        ends = split.offsets.to_numpy()[1:].astype(np.int64)
+        many = np.diff(split.offsets.to_numpy()).astype(np.int64)
+        parts = split.flatten().dictionary_encode()
+        words = parts.dictionary.to_pylist()
+        slots = self.slots
+        number = np.fromiter(map(slots.__getitem__, words), np.int64, len(words))
+        found = number[parts.indices.to_numpy(zero_copy_only=False)]
+        # Heads have no space before them; an empty one is none.
+        heads = ends - many
+        text_heads = parts.take(pa.array(heads)).cast(pa.string()).to_pylist()
+        found[heads] = [slots[(h,)] for h in text_heads]
+        if careful.any():
+            rest = [self._careful(t) if c else None for t, c in zip(texts.to_pylist(), careful.tolist(), strict=True)]
+            pieces = [found[h:e] if r is None else np.array([slots[k] for k in r], np.int64)
+                      for h, e, r in zip(heads, ends, rest, strict=True)]
+            many = np.array([len(p) for p in pieces])
+            found, ends = np.concatenate(pieces), np.cumsum(many)
         self._learn()
-        found, counts = np.array(found, np.int64), np.array(counts, np.int64)
-        sizes = np.diff(self.first)[found] if len(found) else np.zeros(0, np.int64)
+        np.add.at(self.uses, found, 1)
+        sizes = self.size[found]
         before = np.concatenate(([0], np.cumsum(sizes)))
-        ends = np.cumsum(counts)
-        lengths = before[ends] - before[ends - counts] + 1
+        lengths = before[ends] - before[ends - many] + 1
         # Places of the pieces' ids: each text leaves one more for its end.
         ids = np.full(int(lengths.sum()), end_id, np.uint32)
-        if len(found):
-            shift = np.repeat(np.arange(len(counts)), counts)
-            inner = np.arange(before[-1])
-            ids[inner + np.repeat(shift, sizes)] = self.flat[inner + np.repeat(self.first[found] - before[:-1], sizes)]
+        ids[ranges(before[:-1] + np.repeat(np.arange(len(many)), many), sizes)] = self._gather(found)
         return ids, lengths
 
+    def _careful(self, text: str) -> list:
+        if self.special.search(text):
+            return [("whole", text)]
+        return [p[1:] if p[0] == " " else (p,) for p in self.cut.split(text) if p]
+
+    def _grow(self, name: str, size: int) -> None:
+        held = getattr(self, name)
+        if size > len(held):
+            more = np.zeros(max(size, 2 * len(held), 1024), held.dtype)
+            more[:len(held)] = held
+            setattr(self, name, more)
+
+    def _keep(self, slots: list[int], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """The ids of several slots, one after another."""
+        self._grow("flat", self.used + len(ids))
+        self.flat[self.used:self.used + len(ids)] = ids
+        self.first[slots], self.size[slots] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used += len(ids)
+
+    def _gather(self, slots: np.ndarray) -> np.ndarray:
+        sizes = self.size[slots]
+        return self.flat[ranges(self.first[slots], sizes)]
+
     def _learn(self) -> None:
-        new = self.slots.new
-        for at in range(0, len(new), 20_000):
-            keys = new[at:at + 20_000]
-            texts = [" " + k if isinstance(k, str) else k[-1] for k in keys]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        slots = self.slots
+        keys, at = slots.keys_in_order, self.known
+        whole, joined, halves = [], [], []
+        while at < len(keys):  # which grows
+            key = keys[at]
+            core = key.rstrip(self.STOPS) if isinstance(key, str) else ""
+            if core and core != key and core[-1].isalnum():
+                joined.append(at)
+                halves += (slots[core], slots[("tail", key[len(core):])])
+            else:
+                whole.append(at)
+            at += 1
+        for name in ("first", "size", "uses"):
+            self._grow(name, len(keys))
+        for low in range(0, len(whole), 20_000):
+            own = whole[low:low + 20_000]
+            texts = [" " + keys[i] if isinstance(keys[i], str) else keys[i][-1] for i in own]
             self.chars += sum(map(len, texts))
-            sizes = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) + self.first[-1]
-            total = int(sizes[-1])
-            if total > len(self.flat):
-                self.flat = np.concatenate((self.flat, np.zeros(max(total, len(self.flat)), np.uint32)))
-            self.flat[self.first[-1]:total] = np.fromiter((i for e in ids for i in e), np.uint32, total - int(self.first[-1]))
-            self.first = np.concatenate((self.first, sizes))
-        new.clear()
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self._keep(own, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
+        if joined:
+            halves = np.array(halves)
+            self._keep(joined, self.size[halves].reshape(-1, 2).sum(1), self._gather(halves))
+        self.known = len(keys)
+
+    def _forget(self) -> None:
+        uses = self.uses[:len(self.slots)]
+        kept = np.flatnonzero(uses > max(1, np.sort(uses)[-(KNOWN_PIECES // 2)] if len(uses) > KNOWN_PIECES // 2 else 1))
+        keys = self.slots.keys_in_order
+        kept = kept[[len(keys[k]) < 64 for k in kept]] if len(kept) else kept
+        sizes, self.flat = self.size[kept], self._gather(kept)
+        starts = np.cumsum(sizes) - sizes
+        self.used = len(self.flat)
+        self.first, self.size, self.uses = starts, sizes, np.zeros(len(kept), np.int64)
+        self.slots = _Slots([keys[k] for k in kept])
+        self.known, self.chars = len(kept), 0
 
 
 def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) -> tuple[bytes, bytes]:
@@ -210,9 +271,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
         labels = ["shard", "chunk", "start", "doc_ids", "counts", "index", "payload"]
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                flat, lengths = encoder.encode([t or "" for t in part["text"].to_pylist()], end_id)
+            for low, high, _, _ in text_slices(batch["text"], SLICE_BYTES):
+                part = batch.slice(low, high - low)
+                flat, lengths = encoder.encode(part["text"].fill_null(""), end_id)
                 ends = np.cumsum(lengths)
                 for name, end, n in zip(part["doc_id"].to_pylist(), ends.tolist(), lengths.tolist(), strict=True):
                     if counts and sum(counts) + n > chunk:
@@ -251,7 +312,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     names=["shard", "doc_id", "start", "ids"])
 
     found = chunks.drop("chunk").mapInArrow(run, "shard int, doc_id long, start long, ids binary")
-    return found.join(before, "shard").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "ids")
+    # One row per written file of the first step, whose number the shuffle partitions bound.
+    return found.join(F.broadcast(before), "shard").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "ids")
 
 
 def digests(tokens: DataFrame) -> DataFrame:
