@@ -15,6 +15,7 @@ import re
 import struct
 import sys
 from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -57,18 +58,27 @@ class Encoder:
 
     The byte-level split never crosses a space that is followed by something else than white
     space, so the parts of a text between such spaces are encoded once each; nor does it cross
-    from a letter or digit to the stops that end a part. A text that holds the string of a
+    from a letter or digit to the punctuation that ends a part. A text that holds the string of a
     special token is encoded whole. When it knows too many pieces, the encoder forgets those
     that it has met only once.
     """
 
-    STOPS = ".,;:!?"
-
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        from tokenizers.models import BPE
+        from tokenizers.pre_tokenizers import ByteLevel
+
         self.tokenizer = Tokenizer.from_file(path)
+        split = self.tokenizer.pre_tokenizer
+        self.by_piece = (isinstance(self.tokenizer.model, BPE) and self.tokenizer.normalizer is None and isinstance(split, ByteLevel)
+                         and split.use_regex and not split.add_prefix_space)
+        if self.by_piece:
+            # How the model spells the bytes of a word, by code point of the bytes read as Latin-1.
+            plain = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.spelling = {b: spelled for c in map(chr, range(0x80, 0x250))
+                             for b, spelled in zip(c.encode(), plain.pre_tokenize_str(c)[0][0], strict=True)}
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.cut = re.compile(r"(?= \S)")
@@ -81,6 +91,9 @@ class Encoder:
 
     def encode(self, texts: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string array without nulls, each text's followed by ``end_id``, and how many each has."""
+        if not self.by_piece:
+            ids = [[*e.ids, end_id] for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+            return np.array(list(chain.from_iterable(ids)), np.uint32), np.array(list(map(len, ids)), np.int64)
         if len(self.slots) > KNOWN_PIECES or self.chars > KNOWN_CHARS:
             self._forget()
         careful = pc.match_substring_regex(texts, self.loose).to_numpy(zero_copy_only=False)
@@ -138,18 +151,32 @@ class Encoder:
     def _learn(self) -> None:
         slots = self.slots
         keys, at = slots.keys_in_order, self.known
-        whole, joined, halves = [], [], []
+        letters, whole, joined, halves = [], [], [], []
         while at < len(keys):  # which grows
             key = keys[at]
-            core = key.rstrip(self.STOPS) if isinstance(key, str) else ""
-            if core and core != key and core[-1].isalnum():
-                joined.append(at)
-                halves += (slots[core], slots[("tail", key[len(core):])])
-            else:
+            if type(key) is not str:
                 whole.append(at)
+            elif key.isalpha() and (key.isascii() or max(key) < "\u0250"):
+                letters.append(at)
+            else:
+                core = key.rstrip(punctuation)
+                if core and core != key and core[-1].isalnum():
+                    joined.append(at)
+                    halves += (slots[core], slots[("tail", key[len(core):])])
+                else:
+                    whole.append(at)
             at += 1
         for name in ("first", "size", "uses"):
             self._grow(name, len(keys))
+        # A word of plain letters is one piece of the split: it goes to the model at once.
+        if letters:
+            tokenize, spelling = self.tokenizer.model.tokenize, self.spelling
+            words = [keys[i] for i in letters]
+            ids = [[t.id for t in tokenize("\u0120" + (w if w.isascii() else w.encode().decode("latin-1").translate(spelling)))]
+                   for w in words]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            self._keep(letters, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
+            self.chars += sum(map(len, words))
         for low in range(0, len(whole), 20_000):
             own = whole[low:low + 20_000]
             texts = [" " + keys[i] if isinstance(keys[i], str) else keys[i][-1] for i in own]
@@ -188,14 +215,15 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: float = PERCENTILE) ->
     low = table.min(axis=1)
     table = table - low[:, None]
     rank = np.minimum(np.ceil(sizes * percentile / 100).astype(int), sizes) - 1
-    ordered = np.sort(table, axis=1)
-    ordered[-1, :sizes[-1]] = np.sort(table[-1, :sizes[-1]])
-    typical = ordered[np.arange(count), rank]
+    typical = np.partition(table, rank[0], axis=1)[:, rank[0]]
+    typical[-1] = np.sort(table[-1, :sizes[-1]])[rank[-1]]
     width = np.ceil(np.log2(typical.astype(np.float64) + 1)).astype(int)
     packed: list[bytes] = [b""] * count
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
-        bits = ((table[rows][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
+        whole = "<u2" if w <= 16 else "<u4"
+        bits = np.unpackbits(np.ascontiguousarray(table[rows].astype(whole)).view(np.uint8).reshape(len(rows), -1), axis=1, bitorder="little")
+        bits = bits.reshape(len(rows), block, -1)[:, :, :w]
         for i, r in enumerate(rows):
             packed[r] = np.packbits(bits[i, :sizes[r]].reshape(-1), bitorder="little").tobytes()
     starts, out, place = [], [], 0
@@ -219,10 +247,9 @@ def unpack_block(payload: bytes, start: int) -> np.ndarray:
     at = start + struct.calcsize(_HEAD)
     room = -(-size * width // 8)
     bits = np.unpackbits(np.frombuffer(payload, np.uint8, room, at), count=size * width, bitorder="little")
-    ids = np.zeros(size, np.uint32)
-    bits = bits.reshape(size, width)
-    for b in range(width):
-        ids |= bits[:, b].astype(np.uint32) << np.uint32(b)
+    wide = np.zeros((size, 16 if width <= 16 else 32), np.uint8)
+    wide[:, :width] = bits.reshape(size, width)
+    ids = np.packbits(wide.reshape(-1), bitorder="little").view("<u2" if width <= 16 else "<u4").astype(np.uint32)
     at += room
     places = np.frombuffer(payload, "<u2", beyond, at)
     ids[places] = np.frombuffer(payload, "<u4", beyond, at + 2 * beyond)
