@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacus.llm._store import by_run, components, share, written
+from abacus.llm._store import by_run, components, grouped, share, written
 
 THRESHOLD = 0.98
 TREES = 6
@@ -191,8 +191,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, trees:
     indexed = written(classes.select("label", "embedding", "rep", "copies", "dim").mapInArrow(
         index, "label string, embedding array<float>, rep long, copies long, dim int, codes array<int>"), "embedding-leaves")
     leaf_of = ["dim", "label", "code"]
-    sizes = (indexed.select("dim", "label", F.explode("codes").alias("code")).groupBy(*leaf_of).count().where("count > 1")
-             .withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).drop("count"))
+    sizes = (grouped(indexed.select("dim", "label", F.explode("codes").alias("code")), *leaf_of).count().where("count > 1")
+             .withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).drop("count", "__deal"))
     placed = (indexed.withColumn("code", F.explode("codes")).join(sizes, leaf_of)
               .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacus.llm._store import by_run
+from abacus.llm._store import by_run, grouped
 from abacus.llm._text import SPACED, Words, covered, grams, mix, ranges, signed, text_slices
 
 WINDOW = 13
@@ -211,7 +211,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
                     yield pa.RecordBatch.from_arrays([pa.array(signed(name[keep])), pa.array(doc[keep])], names=["name", "doc_id"])
 
     texts = docs.where("not copy").select("doc_id", "text")
-    shared = (texts.mapInArrow(named, "name long, low long, span long, docs long").groupBy("name")
+    shared = (grouped(texts.mapInArrow(named, "name long, low long, span long, docs long"), "name")
               .agg(F.min("low").alias("low"), F.max(F.col("low") + F.col("span")).alias("high"), F.sum("docs").alias("docs"))
               .where("low < high").select("name", (F.col("docs") > common).alias("common")))
     wanted = (texts.mapInArrow(listed, "name long, doc_id long").join(shared.hint("merge"), "name")
@@ -246,7 +246,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
     found = (docs.join(wanted.hint("merge"), "doc_id", "left").where("not copy and names is not null")
              .select("doc_id", "text", "row", "names", "common")
              .mapInArrow(passages, "key long, ctx long, doc_id long, row long, start int, size int"))
-    least = found.groupBy("key", "ctx").agg(F.min("doc_id").alias("first"))
+    least = grouped(found, "key", "ctx").agg(F.min("doc_id").alias("first")).drop("__deal")
     placed = found.join(least.hint("merge"), ["key", "ctx"])
     later = placed.where("doc_id > first").select("doc_id", "row", "start", F.array(F.lit(0), F.col("size")).alias("spans"))
 
@@ -304,7 +304,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
     texts = texts.where("doc_id is not null")
     # Texts that equal one of a smaller id.
     known = texts.select("doc_id", "row", F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    copies = (known.join(known.groupBy("sha").agg(F.min("doc_id").alias("first")).hint("merge"), "sha").where("doc_id > first")
+    copies = (known.join(grouped(known, "sha").agg(F.min("doc_id").alias("first")).drop("__deal").hint("merge"), "sha").where("doc_id > first")
               .groupBy("doc_id").agg(F.collect_set("row").alias("copies")))
     texts = texts.join(copies.hint("merge"), "doc_id", "left").select(
         "doc_id", "text", "row", F.coalesce(F.array_contains("copies", F.col("row")), F.lit(False)).alias("copy"))

@@ -19,6 +19,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from abacus.llm._store import grouped
+
 # Payloads below this many bytes are always written out.
 MIN_REVISIT_BYTES = 100
 ARCHIVE_BYTES = 64 << 20
@@ -116,8 +118,8 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    first = (rows.where(F.length("payload") >= MIN_REVISIT_BYTES).groupBy("digest")
-             .agg(F.min("page_id").alias("first_id")).where("first_id is not null"))
+    first = (grouped(rows.where(F.length("payload") >= MIN_REVISIT_BYTES), "digest")
+             .agg(F.min("page_id").alias("first_id")).where("first_id is not null").drop("__deal"))
     rows = rows.join(first, "digest", "left").select(
         "page_id", "url", "payload", F.when(F.col("page_id").eqNullSafe(F.col("first_id")), None)
         .otherwise(F.col("first_id")).alias("refers_to"))
