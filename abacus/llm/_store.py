@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import pickle
 from collections.abc import Callable
 
@@ -14,6 +17,9 @@ from pyspark.sql import functions as F
 from abacus.session import scratch_path
 
 
+BATCH_ROWS = 1000
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder that all executors share, and read it back.
 
@@ -37,6 +43,33 @@ def share(spark: SparkSession, value: object) -> Callable[[], object]:
     return get
 
 
+def release() -> None:
+    """Hand freed memory back to the system: workers are used again and would keep a task's peak."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has no such call
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def released(work: Callable) -> Callable:
+    """A mapInArrow function that ends with ``release``."""
+
+    def run(batches):
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Send at most BATCH_ROWS rows to Python at once: texts may be long. Holds for the session."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def by_run(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table], schema: str,
            least: int = 1) -> DataFrame:
     """``work`` on the rows of each key, which the caller keeps to a bounded number.
@@ -70,7 +103,7 @@ def by_run(df: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table],
         if held is not None:
             yield from parts(held, True)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(released(run), schema)
 
 
 def grouped(df: DataFrame, *keys: str):

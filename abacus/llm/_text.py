@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # A slice of a batch holds about this many bytes (or one text, if that is longer).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _MULT = 0x9E3779B97F4A7C15
 _GRAM = 0xD6E8FEB86659FD93

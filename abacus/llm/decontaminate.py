@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacus.llm._store import share
+from abacus.llm._store import bounded_batches, share
 from abacus.llm._text import ALNUM, LOWER, Words, covered, grams, ranges, text_slices
 
 WINDOW = 10
@@ -129,6 +129,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, out: str, text_col: str = "
     out; repeated ones count once. Each row of ``docs`` is judged by itself. What is broadcast is
     one shard of the benchmark, whose size is bounded by parameter.
     """
+    bounded_batches(docs.sparkSession)
     hits = []
     found = docs
     for n, shard in enumerate(benchmark_shards(benchmark, shard_words) or [[]]):

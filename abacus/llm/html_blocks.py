@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacus.llm._store import share
+from abacus.llm._store import bounded_batches, share
 from abacus.llm._text import SPACED, Words, text_slices
 
 PATH_SIZE, WORD_SIZE, FIGURES = 96, 32, 7
@@ -420,6 +420,7 @@ def extract(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, html_col: str =
     Null and empty pages, and pages without a block of main text, have an empty text. Pages are
     read whole and judged one by one, repeated ones alike; columns of these names are replaced.
     """
+    bounded_batches(pages.sparkSession)
     shared = share(pages.sparkSession, train(pages, sample_pages, html_col))
     paths: dict = {}
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacus.llm._store import by_run, components, grouped, written
+from abacus.llm._store import bounded_batches, by_run, components, grouped, released, written
 from abacus.llm._text import SPACED, Words, gram_starts, grams, mix, text_slices
 
 SHINGLE = 5
@@ -99,7 +99,7 @@ def sketch(docs: DataFrame, places: int, size: int, id_col: str, text_col: str)
                     names=["id", "set_key", "shingles", "sig"])
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(
-        run, "id long, set_key binary, shingles int, sig binary")
+        released(run), "id long, set_key binary, shingles int, sig binary")
 
 
 def _spans(reps: np.ndarray, linked: np.ndarray) -> np.ndarray:
@@ -180,6 +180,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     in one class. An empty table gives an empty one; other columns are ignored.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     length = depth(threshold, recall, trees)
     places = trees * length
     agree = threshold * places - SLACK_SIGMAS * (threshold * (1 - threshold) * places) ** 0.5
@@ -211,7 +212,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
 
     texts = docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).alias("text"))
     # The texts are shuffled by id whatever the other side's size, so the work grows evenly.
-    sets = texts.join(chosen.hint("merge"), "rep").mapInArrow(members, "rep long, family long, copies long, blocks int, members binary")
+    sets = texts.join(chosen.hint("merge"), "rep").mapInArrow(released(members), "rep long, family long, copies long, blocks int, members binary")
     links = written(by_run(_pairs_of_blocks(sets, "rep"), ["family", "low", "high"], lambda g: _verify(g, threshold),
                            "rep long, links long, least long"), "shingle-links")
 

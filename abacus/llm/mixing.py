@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from abacus.llm._store import written
+from abacus.llm._store import bounded_batches, written
 from abacus.llm._text import SPACED, Words, text_slices
 
 ENTROPY = 0.97
@@ -100,6 +100,7 @@ def mix(docs: DataFrame, target: float = ENTROPY, limit: float = REPEAT_LIMIT, b
     MAX_BLOCKS rows and one or two a source; more than MAX_SOURCES sources are an error.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     known = F.coalesce(F.col(source_col).cast("string"), F.lit("\0null"))
     key = F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("\0null")))
     sized = docs.withColumn("__tokens", n_tokens(F.col(text_col))).withColumn("__source", known).withColumn("__key", key)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from abacus.llm._store import by_run, grouped
+from abacus.llm._store import bounded_batches, by_run, grouped, released
 from abacus.llm._text import SPACED, Words, covered, grams, mix, ranges, signed, text_slices
 
 WINDOW = 13
@@ -211,10 +211,10 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
                     yield pa.RecordBatch.from_arrays([pa.array(signed(name[keep])), pa.array(doc[keep])], names=["name", "doc_id"])
 
     texts = docs.where("not copy").select("doc_id", "text")
-    shared = (grouped(texts.mapInArrow(named, "name long, low long, span long, docs long"), "name")
+    shared = (grouped(texts.mapInArrow(released(named), "name long, low long, span long, docs long"), "name")
               .agg(F.min("low").alias("low"), F.max(F.col("low") + F.col("span")).alias("high"), F.sum("docs").alias("docs"))
               .where("low < high").select("name", (F.col("docs") > common).alias("common")))
-    wanted = (texts.mapInArrow(listed, "name long, doc_id long").join(shared.hint("merge"), "name")
+    wanted = (texts.mapInArrow(released(listed), "name long, doc_id long").join(shared.hint("merge"), "name")
               .groupBy("doc_id").agg(F.collect_list(F.struct("name", "common")).alias("names"))
               .select("doc_id", F.col("names.name").alias("names"), F.col("names.common").alias("common")))
 
@@ -245,7 +245,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
 
     found = (docs.join(wanted.hint("merge"), "doc_id", "left").where("not copy and names is not null")
              .select("doc_id", "text", "row", "names", "common")
-             .mapInArrow(passages, "key long, ctx long, doc_id long, row long, start int, size int"))
+             .mapInArrow(released(passages), "key long, ctx long, doc_id long, row long, start int, size int"))
     least = grouped(found, "key", "ctx").agg(F.min("doc_id").alias("first")).drop("__deal")
     placed = found.join(least.hint("merge"), ["key", "ctx"])
     later = placed.where("doc_id > first").select("doc_id", "row", "start", F.array(F.lit(0), F.col("size")).alias("spans"))
@@ -273,7 +273,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
               .agg(F.collect_list(F.struct("key", "row", "start", "size")).alias("firsts")))
     contents = (docs.join(firsts.hint("merge"), "doc_id", "left").where("not copy and firsts is not null")
                 .select("doc_id", "text", "row", "firsts")
-                .mapInArrow(worded, "key long, doc_id long, row long, start int, words binary"))
+                .mapInArrow(released(worded), "key long, doc_id long, row long, start int, words binary"))
     matched = by_run(contents, ["key"], lambda g: _shard(g, window),
                      "doc_id long, row long, start int, spans array<int>", shard_passages).where("size(spans) > 0")
     return (later.unionByName(matched).groupBy("doc_id").agg(F.collect_list(F.struct("row", "start", "spans")).alias("found"))
@@ -296,6 +296,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
     gives an empty one; other columns are ignored.
     """
     # An alias that does nothing would keep the planner from seeing that the exchanges are equal.
+    bounded_batches(docs.sparkSession)
     plain = id_col == "doc_id" and docs.schema[id_col].dataType.simpleString() == "bigint"
     texts = docs.select("doc_id" if plain else F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     texts = texts.withColumn("row", F.xxhash64("text"))
@@ -341,5 +342,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
 
     marked = texts.join(spans.hint("merge"), "doc_id", "left").select("doc_id", "text", "row", "copy", "rows", "starts", "spans")
     return (marked.unionByName(nameless.withColumn("copy", F.lit(False)), allowMissingColumns=True)
-            .mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+            .mapInArrow(released(cut), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
             .withColumnRenamed("doc_id", id_col))

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from abacus.llm._store import bounded_batches, released
 from abacus.llm._text import ranges, text_slices
 
 BLOCK = 1024
@@ -31,10 +32,10 @@ CHUNK = 1 << 16
 PERCENTILE = 90
 END_ID = 0
 # Texts are encoded together up to about this many bytes.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 4 << 20
 TOKENIZER = "byte_bpe_50k.json"
 # The encoder forgets the pieces it knows beyond this many pieces or characters.
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 400_000
 KNOWN_CHARS = 16_000_000
 # Ahead of a block's bytes: ids, minimum, width, exceptions.
 _HEAD = "<HIBH"
@@ -189,6 +190,11 @@ class Encoder:
             self._keep(joined, self.size[halves].reshape(-1, 2).sum(1), self._gather(halves))
         self.known = len(keys)
 
+    def rest(self) -> None:
+        """Between tasks, keep what has been met more than once."""
+        if len(self.slots) > KNOWN_PIECES // 4:
+            self._forget()
+
     def _forget(self) -> None:
         uses = self.uses[:len(self.slots)]
         kept = np.flatnonzero(uses > max(1, np.sort(uses)[-(KNOWN_PIECES // 2)] if len(uses) > KNOWN_PIECES // 2 else 1))
@@ -281,6 +287,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
     kept, in the order of their texts. ``tokenizer`` is a file of the tokenizers library.
     """
     tokenizer = tokenizer or tokenizer_path()
+    bounded_batches(docs.sparkSession)
 
     def run(batches):
         encoder = _encoder(tokenizer)
@@ -310,10 +317,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
                     names.append(name)
         if counts:
             yield flush()
+        encoder.rest()
 
     (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
      .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-     .mapInArrow(run, _CHUNKS).write.parquet(path))
+     .mapInArrow(released(run), _CHUNKS).write.parquet(path))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
@@ -338,7 +346,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                      pa.array([ids[s:e].astype("<u4").tobytes() for s, e in zip(starts, ends, strict=True)], pa.binary())],
                     names=["shard", "doc_id", "start", "ids"])
 
-    found = chunks.drop("chunk").mapInArrow(run, "shard int, doc_id long, start long, ids binary")
+    found = chunks.drop("chunk").mapInArrow(released(run), "shard int, doc_id long, start long, ids binary")
     # One row per written file of the first step, whose number the shuffle partitions bound.
     return found.join(F.broadcast(before), "shard").select("doc_id", (F.col("start") + F.col("before")).alias("start"), "ids")
 

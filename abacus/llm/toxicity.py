@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from abacus.llm._store import share
+from abacus.llm._store import bounded_batches, release, share
 from abacus.llm._text import LOWER, text_slices
 
 ORDERS = (4, 5, 6)
@@ -27,7 +27,7 @@ TRAIN_PER_CLASS = 1500
 SMOOTHING = 1.0
 PENALTY = 2e-4
 MIN_TEXTS = 5
-MIN_RATIO = 0.25
+MIN_RATIO = 0.7
 STEPS = 100
 
 
@@ -69,18 +69,14 @@ def raw_scores(column: pa.Array, model: Model) -> np.ndarray:
 
 
 def _features(texts: pa.Array, orders, bits: int):
-    """Sparse rows: (row starts, buckets, values), sorted by bucket inside a row."""
-    starts, columns, values = [0], [], []
-    for _, _, data, offsets in text_slices(texts, 1 << 18):
+    """For each slice: (first row, row of each feature, bucket, value), buckets once per row."""
+    for first, _, data, offsets in text_slices(texts, 1 << 18):
         rows = np.repeat(np.arange(len(offsets) - 1, dtype=np.int64), np.diff(offsets))
         keys = [(rows[:len(b)][ok] << bits) | b[ok] for b, ok in _buckets(data, offsets, orders, bits)]
         key, count = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_counts=True)
         row = key >> bits
         length = np.maximum(np.diff(offsets), 1)
-        values.append((count / np.sqrt(length[row])).astype(np.float32))
-        columns.append((key & ((1 << bits) - 1)).astype(np.int32))
-        starts.extend(starts[-1] + np.cumsum(np.bincount(row, minlength=len(length))))
-    return np.array(starts), np.concatenate(columns), np.concatenate(values)
+        yield (row + first).astype(np.int32), (key & ((1 << bits) - 1)).astype(np.int32), (count / np.sqrt(length[row])).astype(np.float32)
 
 
 def fit(texts: pa.Array, toxic: np.ndarray, orders=ORDERS, bits: int = BUCKET_BITS) -> Model:
@@ -90,18 +86,19 @@ def fit(texts: pa.Array, toxic: np.ndarray, orders=ORDERS, bits: int = BUCKET_BI
     if not len(toxic) or toxic.min() == toxic.max():
         always = -4.0 if not len(toxic) or toxic[0] == 0 else 4.0
         return Model(np.zeros(size, np.float32), always, tuple(orders), bits)
-    starts, columns, values = _features(texts, orders, bits)
-    per_row = np.diff(starts)
-    rows = np.repeat(np.arange(len(toxic)), per_row)
-    present = np.bincount(columns, weights=(toxic[rows] > 0), minlength=size)
-    absent = np.bincount(columns, weights=(toxic[rows] == 0), minlength=size)
-    ratio = np.log((present + SMOOTHING) / (toxic > 0).sum()) - np.log((absent + SMOOTHING) / (toxic == 0).sum())
+    # Count first, then keep the features that say something: the sample's own are never all held.
+    seen = np.zeros((2, size))
+    for row, column, _ in _features(texts, orders, bits):
+        for label in (0, 1):
+            seen[label] += np.bincount(column[toxic[row] == label], minlength=size)
+    total = [(toxic == label).sum() for label in (0, 1)]
+    ratio = np.log((seen[1] + SMOOTHING) / total[1]) - np.log((seen[0] + SMOOTHING) / total[0])
     # A bucket seen in very few texts, or as often in both classes, says nothing about others.
-    keep = (present + absent >= MIN_TEXTS) & (np.abs(ratio) >= MIN_RATIO)
+    keep = (seen.sum(0) >= MIN_TEXTS) & (np.abs(ratio) >= MIN_RATIO)
     ratio = np.where(keep, ratio, 0)
-    used = keep[columns]
-    rows, columns = rows[used], columns[used]
-    values = (values[used] * ratio[columns]).astype(np.float32)
+    parts = [(row[keep[column]], column[keep[column]], value[keep[column]]) for row, column, value in _features(texts, orders, bits)]
+    rows, columns, values = (np.concatenate(c) for c in zip(*parts, strict=True))
+    values *= ratio[columns].astype(np.float32)
     weight, bias, n = np.zeros(size), 0.0, len(toxic)
     # Balanced classes; Adam steps on the whole sample.
     balance = np.where(toxic > 0, n / (2 * (toxic > 0).sum()), n / (2 * (toxic == 0).sum()))
@@ -149,6 +146,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS)
             [("doc_id", pa.int64()), ("text", pa.string()), ("toxic", pa.int32())]))
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         model = fit(table["text"], table["toxic"].to_numpy(), orders, bits)
+        release()
         yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()]), pa.array([model.bias])],
                                          names=["weights", "bias"])
 
@@ -166,6 +164,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "sco
     Null and empty texts have no n-grams and get the model's base score. Row by row, so ties,
     repeated rows and other columns do not matter; an ``out`` column of the input is replaced.
     """
+    bounded_batches(docs.sparkSession)
     shared = share(docs.sparkSession, model)
 
     @F.arrow_udf("double")

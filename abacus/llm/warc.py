@@ -19,7 +19,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from abacus.llm._store import grouped
+from abacus.llm._store import bounded_batches, grouped, released
 
 # Payloads below this many bytes are always written out.
 MIN_REVISIT_BYTES = 100
@@ -115,6 +115,7 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
     revisit that id. Rows without a page_id revisit as well, and are responses where no row of
     that payload has an id. Other columns are not written.
     """
+    bounded_batches(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
@@ -145,7 +146,7 @@ def write_archives(pages: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYT
             out.close()
             yield done()
 
-    rows.mapInArrow(run, "archive string, records long").write.parquet(f"{path}/manifest")
+    rows.mapInArrow(released(run), "archive string, records long").write.parquet(f"{path}/manifest")
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
