@@ -136,7 +136,8 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, out: str, text_col: str = "
         hits.append(f"__hits_{n}")
         found = found.withColumn(hits[-1], _searcher(share(docs.sparkSession, matchers(shard, window)))(F.col(text_col)))
     spans, items = (F.concat(*[F.col(f"{h}.{k}") for h in hits]) for k in ("spans", "items"))
-    return found.withColumn(out, _summed(F.col(f"{hits[0]}.words"), spans, items)).drop(*hits)
+    summed = F.arrow_udf(_summed, "struct<n_words:bigint,n_hit:bigint,n_items:bigint,items_sha256:string,contaminated:boolean>")
+    return found.withColumn(out, summed(F.col(f"{hits[0]}.words"), spans, items)).drop(*hits)
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -146,7 +147,6 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     return found.withColumns({c: F.col(f"__found.{c}") for c in names}).drop("__found")
 
 
-@F.arrow_udf("struct<n_words:bigint,n_hit:bigint,n_items:bigint,items_sha256:string,contaminated:boolean>")
 def _summed(total: pa.Array, spans: pa.Array, items: pa.Array) -> pa.Array:
     words, many, names, digests = total.to_pylist(), [], [], []
     for n, s, i in zip(words, spans.to_pylist(), items.to_pylist(), strict=True):

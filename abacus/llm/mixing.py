@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from abacus.llm._store import bounded_batches, written
@@ -76,11 +76,15 @@ def plan(tokens: list[float], target: float = ENTROPY, limit: float = REPEAT_LIM
     return Plan(exponent, tempered(tokens, exponent), passes(exponent))
 
 
-@F.arrow_udf("long")
-def n_tokens(text: pa.Array) -> pa.Array:
+def n_tokens(text: Column) -> Column:
     """Words between ASCII white space, and one for the document's end."""
-    counts = [Words(data, offsets, SPACED).count + 1 for _, _, data, offsets in text_slices(text)]
-    return pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64), pa.int64())
+
+    @F.arrow_udf("long")
+    def counted(text: pa.Array) -> pa.Array:
+        counts = [Words(data, offsets, SPACED).count + 1 for _, _, data, offsets in text_slices(text)]
+        return pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64), pa.int64())
+
+    return counted(text)
 
 
 def mix(docs: DataFrame, target: float = ENTROPY, limit: float = REPEAT_LIMIT, budget_share: float | None = 1.0,
