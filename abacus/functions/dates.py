@@ -8,14 +8,21 @@ from pyspark.sql import functions as F
 from abacus.functions._col import as_col
 
 
+def _strict(text: Column, pattern: str) -> Column:
+    """Text as a date; text that is no date raises, whatever the session's ANSI setting."""
+    day = F.try_to_timestamp(text, F.lit(pattern)).cast("date")
+    wrong = text.isNotNull() & day.isNull()
+    return F.when(wrong, F.raise_error(F.concat(F.lit("not a date: "), text))).otherwise(day)
+
+
 def iso_date(c: Column | str) -> Column:
-    """``'2024-01-05'`` (1- or 2-digit month/day accepted) -> date; bad text raises under ANSI."""
-    return F.to_date(as_col(c), "y-M-d")
+    """``'2024-01-05'`` (1- or 2-digit month/day accepted) -> date; bad text raises."""
+    return _strict(as_col(c).cast("string"), "y-M-d")
 
 
 def us_date(c: Column | str) -> Column:
-    """Spreadsheet ``M/d/yyyy`` text -> date; ``''`` -> NULL; bad text raises under ANSI."""
-    return F.to_date(F.nullif(as_col(c), F.lit("")), "M/d/yyyy")
+    """Spreadsheet ``M/d/yyyy`` text -> date; ``''`` -> NULL; bad text raises."""
+    return _strict(F.nullif(as_col(c).cast("string"), F.lit("")), "M/d/yyyy")
 
 
 def month_start(c: Column | str) -> Column:

@@ -3,21 +3,20 @@
 from abacus.operators.bounds import bounded_by_max
 from abacus.operators.conditional import (conditional_columns, conditional_sums, sum_measures,
                                           when_else_zero)
-from abacus.operators.joins import bounded_broadcast, lookup, split_expand
+from abacus.operators.joins import lookup, split_expand
 from abacus.operators.latest import latest_per_key
 from abacus.operators.positions import positions
 from abacus.operators.quality import (AuditFailure, assert_audits, audit_forall, grain_check,
                                       write_counted)
 from abacus.operators.reshape import to_series
 from abacus.operators.sanitize import nonfinite_to_null
-from abacus.operators.spread import spread
 from abacus.operators.spine import (bounded_month_spine, expand_months, month_sequence, scalar_max,
                                     scalar_min)
 
 __all__ = [
     "bounded_by_max", "conditional_columns", "conditional_sums", "sum_measures", "when_else_zero",
-    "bounded_broadcast", "lookup", "split_expand", "latest_per_key", "AuditFailure",
+    "lookup", "split_expand", "latest_per_key", "AuditFailure",
     "assert_audits", "audit_forall", "grain_check", "write_counted", "to_series",
-    "nonfinite_to_null", "positions", "spread", "bounded_month_spine", "expand_months", "month_sequence",
+    "nonfinite_to_null", "positions", "bounded_month_spine", "expand_months", "month_sequence",
     "scalar_max", "scalar_min",
 ]

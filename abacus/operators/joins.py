@@ -1,4 +1,4 @@
-"""Joins: dimension lookups behind a size check, and the skew-safe split expansion."""
+"""Joins: dimension lookups, and the skew-safe split expansion."""
 
 from __future__ import annotations
 
@@ -7,65 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it provably has at most this many rows.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df`` unchanged.
-
-    The check reads at most ``max_rows + 1`` rows (a limited count). Beyond the bound
-    the join stays a shuffle join, which adaptive execution may still turn into a
-    broadcast once it has measured the real size.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, how: str = "left",
-           max_rows: int | None = DEFAULT_BROADCAST_ROWS, dim_key_as: str | None = None) -> DataFrame:
+           dim_key_as: str | None = None) -> DataFrame:
     """Left-join a dimension onto a fact table, keyed ``fact_key = dim_key``.
 
     ``dim`` columns other than the key keep their names; the key is dropped unless
     it shares the fact key's name, or ``dim_key_as`` names a copy to keep (NULL
-    where the lookup missed). ``max_rows=None`` skips the size check (the planner
-    and AQE decide). If the fact side has a hot key and the dimension is too big
-    to broadcast, AQE splits the hot partition of the (preserved) fact side.
+    where the lookup missed). No hint: the planner broadcasts the dimension by its size in
+    bytes, before the run or (AQE) once it is measured. If the fact side has a hot key and
+    the dimension is too big to broadcast, AQE splits the hot partition of the (preserved)
+    fact side.
     """
     if dim_key_as:
         dim = dim.withColumn(dim_key_as, F.col(dim_key))
-    side = bounded_broadcast(dim, max_rows) if max_rows is not None else dim
     if fact_key == dim_key:
-        return fact.join(side, on=fact_key, how=how)
-    joined = fact.join(side, fact[fact_key] == side[dim_key], how)
-    return joined.drop(side[dim_key])
-
-
-def _salted(c: DataFrame, p: DataFrame, parent_key: str, salt: int, hot_rows: int) -> tuple[DataFrame, DataFrame]:
-    """Spread hot parents over ``salt`` buckets: their children pick a bucket by a hash of
-    the child row, the parent is copied once per bucket; every other key stays in bucket 0.
-
-    Hot keys (more than ``hot_rows`` children) come from a partial aggregate; there are at
-    most ``children / hot_rows`` of them, and they are broadcast behind the size check.
-    """
-    counts = c.groupBy("__parent").agg(F.count(F.lit(1)).alias("__n"))
-    hot = bounded_broadcast(counts.where(F.col("__n") > hot_rows).select(F.col("__parent").alias("__hot")))
-    c = c.join(hot, c["__parent"] == hot["__hot"], "left").select(
-        *c.columns,
-        F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64(*c.columns), F.lit(salt)))
-        .otherwise(F.lit(0)).cast("bigint").alias("__salt"))
-    p = p.join(hot, p[parent_key] == hot["__hot"], "left").select(
-        *p.columns,
-        F.explode(F.when(F.col("__hot").isNotNull(), F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint")))
-                  .otherwise(F.array(F.lit(0).cast("bigint")))).alias("__salt"))
-    return c, p
+        return fact.join(dim, on=fact_key, how=how)
+    joined = fact.join(dim, fact[fact_key] == dim[dim_key], how)
+    return joined.drop(dim[dim_key])
 
 
 def split_expand(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str,
                  overrides: dict[str, str], carry: Sequence[str] = (),
-                 child_id: tuple[str, str] | None = None, salt: int | None = None,
-                 hot_rows: int = 1_000_000) -> DataFrame:
+                 child_id: tuple[str, str] | None = None) -> DataFrame:
     """Replace each parent that has children by one row per child.
 
     Same rows as ``parents LEFT JOIN children`` followed by
@@ -79,9 +42,6 @@ def split_expand(parents: DataFrame, children: DataFrame, parent_key: str, child
     which adaptive skew handling can split, whereas a left outer join cannot split
     its right side. The anti join reads only distinct child keys, pre-aggregated
     before the shuffle, so a hot key costs one row per map task there.
-
-    ``salt`` splits hot parents explicitly (see ``_salted``) for clusters that run
-    without adaptive skew handling; the result is the same.
     """
     keep = [parent_key, *carry]
     out_cols = [*keep, *overrides]
@@ -94,15 +54,9 @@ def split_expand(parents: DataFrame, children: DataFrame, parent_key: str, child
         *[F.col(src).alias(f"__child_{name}") for name, src in overrides.items()],
         *([F.col(child_id[0]).alias("__child_id")] if child_id else []),
     )
-    if salt and salt > 1:
-        cs, ps = _salted(c, p, parent_key, salt, hot_rows)
-        cond = (cs["__parent"] == ps[parent_key]) & (cs["__salt"] == ps["__salt"])
-        c, p_join = cs, ps
-    else:
-        cond, p_join = c["__parent"] == p[parent_key], p
-    matched = c.join(p_join, cond, "inner").select(
-        *[p_join[k] for k in keep],
-        *[F.coalesce(F.col(f"__child_{name}"), p_join[name]).alias(name) for name in overrides],
+    matched = c.join(p, c["__parent"] == p[parent_key], "inner").select(
+        *[p[k] for k in keep],
+        *[F.coalesce(F.col(f"__child_{name}"), p[name]).alias(name) for name in overrides],
         *([F.col("__child_id").alias(child_id[1])] if child_id else []),
     )
     with_children = children.select(F.col(child_key).alias(parent_key)).distinct()

@@ -16,7 +16,7 @@ def positions(df: DataFrame, order: Sequence[Column], col: str = "position") ->
     result is checkpointed to the shared checkpoint folder (so both uses below see
     the same partitions and a lost executor cannot reshuffle them), and each
     partition's first position is the running count of the partitions before it: a
-    table with one row per partition, broadcast back.
+    table with one row per partition, joined back.
     """
     from abacus.session import checkpoint_root
     checkpoint_root(df.sparkSession)
@@ -25,6 +25,6 @@ def positions(df: DataFrame, order: Sequence[Column], col: str = "position") ->
     parts = ranked.groupBy("__part").agg(F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__rows"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
-    out = ranked.join(F.broadcast(offsets.select("__part", "__first", "__offset")), "__part")
+    out = ranked.join(offsets.select("__part", "__first", "__offset"), "__part")
     pos = (F.col("__offset") + F.col("__pos") - F.col("__first") + F.lit(1)).cast("bigint")
     return out.withColumn(col, pos).drop("__part", "__pos", "__first", "__offset")

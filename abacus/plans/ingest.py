@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from abacus import schemas
 from abacus.operators import write_counted
 from abacus.plans.build import build, raw_tables
+from abacus.sources.budget_document import current_budget
 from abacus.sources import landing, landing_frames, read_budget_documents, read_sheet_csv, read_with_row_ids
 
 PAYSTUBS_LANDING = "raw-paystubs"
 
 
 def ingest(spark: SparkSession, documents: str, paystubs_csv: str, landing_root: str,
-           multi_line: bool = True) -> dict[str, int]:
-    """Flatten budget documents and the paystub sheet into landing Parquet; row counts read back."""
+           multi_line: bool = True, budget_id: str | None = None) -> dict[str, int]:
+    """Flatten the newest document of one budget and the paystub sheet into landing Parquet;
+    row counts read back. A folder of daily snapshots gives the same tables as its newest one."""
     counts = {}
-    budgets = read_budget_documents(spark, documents, multi_line=multi_line)
+    saved = read_budget_documents(spark, documents, multi_line=multi_line, with_source=True)
+    budgets = current_budget(saved, budget_id)
     for name, df in landing_frames(budgets).items():
         counts[name] = write_counted(df, landing.landing_path(landing_root, name))
     stubs = read_sheet_csv(spark, paystubs_csv, schemas.PAYSTUB_COLUMNS)
@@ -29,9 +32,9 @@ def ingest(spark: SparkSession, documents: str, paystubs_csv: str, landing_root:
 def run(spark: SparkSession, documents: str, paystubs_csv: str, category_orders_csv: str,
         landing_root: str, warehouse_root: str | None, as_of: dt.date | str | None = None,
         multi_line: bool = True, buckets: int | None = None,
-        materialize: frozenset[str] | set[str] | None = None) -> dict[str, DataFrame]:
+        materialize: frozenset[str] | set[str] | None = None, budget_id: str | None = None) -> dict[str, DataFrame]:
     """The daily run: ingest, then build every model."""
-    ingest(spark, documents, paystubs_csv, landing_root, multi_line=multi_line)
+    ingest(spark, documents, paystubs_csv, landing_root, multi_line=multi_line, budget_id=budget_id)
     orders = read_with_row_ids(spark, category_orders_csv, "csv", "id", schemas.CATEGORY_ORDER_COLUMNS)
     return build(spark, raw_tables(spark, landing_root, orders), warehouse_root, as_of, buckets=buckets,
                  materialize=materialize)

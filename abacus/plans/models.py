@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from abacus import schemas
 from abacus.functions import (amount_from_text, clean_label, group_mapping, iso_date, make_month, milli,
                               month_start, round_milli, subgroup, us_date, year_of)
-from abacus.operators import (bounded_broadcast, bounded_by_max, bounded_month_spine, conditional_columns,
+from abacus.operators import (bounded_by_max, bounded_month_spine, conditional_columns,
                               conditional_sums, expand_months, latest_per_key, lookup,
                               scalar_min, split_expand, sum_measures, to_series)
 
@@ -62,13 +62,21 @@ RAW_LANDING = {
 }
 
 
+# Declared types of the flat landing tables; sheet columns are all text.
+RAW_TYPES = {"accounts": schemas.ACCOUNT, "category_groups": schemas.CATEGORY_GROUP, "subtransactions": schemas.SUBTRANSACTION,
+             "transactions": schemas.TRANSACTION, "monthly_categories": schemas.MONTH_CATEGORY}
+
+
 def raw_model(landing: DataFrame, model: str) -> DataFrame:
-    """Explicit projection of a landing table; absent columns read as typed NULLs."""
+    """Explicit projection of a landing table; absent columns read as NULLs of their declared
+    type. A table of rows with ids that has no ``id`` column is not that table, and raises."""
     present = set(landing.columns)
-    cols = []
-    for c in RAW_COLUMNS[model]:
-        cols.append(F.col(c) if c in present else F.lit(None).cast("string").alias(c))
-    return landing.select(*cols)
+    types = {f.name: f.dataType for f in RAW_TYPES[model].fields} if model in RAW_TYPES else {}
+    if "id" in types and "id" not in present:
+        raise ValueError(f"the landing table of {model} has no id column")
+    types |= {"month": "int", "year": "int"}
+    return landing.select(*[F.col(c) if c in present else F.lit(None).cast(types.get(c, "string")).alias(c)
+                            for c in RAW_COLUMNS[model]])
 
 
 # Column descriptions of the category-order table.
@@ -441,15 +449,14 @@ def dense_monthly(record_spine: DataFrame, month_tx: DataFrame, month_budget: Da
     The spine is every category for every month of one range, so a fact row lies on it
     exactly when its month is inside the spine's range and its category is one of the
     spine's categories. The facts are filtered by that range (two scalar subqueries) and
-    a semi join against the spine's distinct categories (broadcast behind the size
-    check), then summed per month and attached to the spine's month list (one row per
+    a semi join against the spine's distinct categories, then summed per month and attached to the spine's month list (one row per
     month, generated from the same bounds). Same rows as ``dense_monthly_grid``, but the
     work is proportional to the facts, not to months x categories, and nothing joins
     on a grid key.
     """
     first = record_spine.select(F.min("budget_month")).scalar()
     last = record_spine.select(F.max("budget_month")).scalar()
-    cats = bounded_broadcast(record_spine.select("category_id").distinct())
+    cats = record_spine.select("category_id").distinct()
 
     def on_spine(df: DataFrame, month: str) -> DataFrame:
         inside = df.where(F.col(month).between(first, last))

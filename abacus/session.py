@@ -41,7 +41,6 @@ def scale_settings(input_bytes: int, total_cores: int, shuffle_fraction: float =
     """
     shuffle_bytes = max(int(input_bytes * shuffle_fraction), 1)
     partitions = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
-    partitions = min(partitions, 500_000)
     return {
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
         "spark.sql.shuffle.partitions": str(partitions),

@@ -23,11 +23,33 @@ ENTITY_LANDING = {
 MONTHLY_CATEGORIES_LANDING = "monthly-categories"
 
 
-def read_budget_documents(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Saved documents -> one row per document with a ``budget`` struct column."""
+def read_budget_documents(spark: SparkSession, path: str, multi_line: bool = True, with_source: bool = False) -> DataFrame:
+    """Saved documents -> one row per document with a ``budget`` struct column.
+
+    ``with_source`` adds where and when each was saved: its file's time and path and, for several
+    documents in one file (one per line, oldest first), its place there.
+    """
     docs = (spark.read.schema(schemas.DOCUMENT).option("multiLine", multi_line)
             .option("mode", "FAILFAST").json(path))
-    return docs.select(F.col("data.budget").alias("budget"))
+    budget = F.col("data.budget").alias("budget")
+    if not with_source:
+        return docs.select(budget)
+    return docs.select(budget, F.col("_metadata.file_modification_time").alias("saved_at"), F.col("_metadata.file_path").alias("source"),
+                       F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"))
+
+
+def current_budget(budgets: DataFrame, budget_id: str | None = None) -> DataFrame:
+    """The newest document of one budget, by file time and then path; older snapshots are left out.
+
+    ``budget_id`` names the budget; without it the documents must all be of one. Expects the
+    columns of ``read_budget_documents(..., with_source=True)``.
+    """
+    if budget_id is not None:
+        budgets = budgets.where(F.col("budget.id") == budget_id)
+    elif budgets.select("budget.id").distinct().limit(2).count() > 1:
+        raise ValueError("the documents are of several budgets: name one with budget_id")
+    newest = budgets.agg(F.max(F.struct("saved_at", "source", "place"))).scalar()
+    return budgets.where(F.struct("saved_at", "source", "place") == newest).select("budget")
 
 
 def parse_budget_documents(df: DataFrame, text_col: str) -> DataFrame:

@@ -6,20 +6,24 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+
+
+def _scan_csv(spark: SparkSession, path: str, columns: Sequence[str] | None) -> DataFrame:
+    """All-text scan by header name: quoted cells may hold doubled quotes and line breaks.
+
+    Line breaks inside cells mean that a file cannot be cut between tasks, so a file is one
+    task; export a very large sheet as several files.
+    """
+    scan = spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=True).csv(path)
+    return scan if columns is None else scan.select(*columns)
 
 
 def read_sheet_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Header row + rows, every cell a string, empty cells ``''`` (never NULL).
 
-    With ``columns`` the header must name them (extra columns are ignored).
+    With ``columns`` the header must name them, in any order; other columns are ignored.
     """
-    reader = spark.read.option("header", True).option("inferSchema", False)
-    if columns is not None:
-        schema = StructType([StructField(c, StringType(), True) for c in columns])
-        reader = reader.schema(schema).option("enforceSchema", False)
-    df = reader.csv(path)
-    return df.na.fill("")
+    return _scan_csv(spark, path, columns).na.fill("")
 
 
 def with_row_ids(scan: DataFrame, id_col: str = "id") -> DataFrame:
@@ -29,8 +33,7 @@ def with_row_ids(scan: DataFrame, id_col: str = "id") -> DataFrame:
     column). A chunk is one input split, identified by (file, byte offset); inside a
     task, rows of a split are read in order and ``monotonically_increasing_id`` is
     contiguous. Each chunk's first row number is the running sum of the sizes of the
-    chunks before it: a small table with one row per input split, so it is
-    broadcast. Input splits are not handed to tasks in file order, which is why the
+    chunks before it: a table with one row per input split, joined without a hint. Input splits are not handed to tasks in file order, which is why the
     byte offset, not the task number, orders the chunks. A retried or recomputed task
     re-reads the same split in the same order, so the ids do not change after an
     executor loss.
@@ -46,7 +49,7 @@ def with_row_ids(scan: DataFrame, id_col: str = "id") -> DataFrame:
         F.min("__pos").alias("__first"), F.count(F.lit(1)).alias("__rows"))
     before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = chunks.withColumn("__offset", F.coalesce(F.sum("__rows").over(before), F.lit(0)))
-    numbered = base.join(F.broadcast(offsets), ["__file", "__block"])
+    numbered = base.join(offsets, ["__file", "__block"])
     row_id = (F.col("__offset") + F.col("__pos") - F.col("__first") + F.lit(1)).cast("bigint")
     return numbered.select(row_id.alias(id_col), *cols)
 
@@ -55,11 +58,7 @@ def read_with_row_ids(spark: SparkSession, path: str, fmt: str = "csv", id_col:
                       columns: Sequence[str] | None = None) -> DataFrame:
     """Read a sheet export (CSV text) or a Parquet file and add 1..N row ids in file order."""
     if fmt == "csv":
-        reader = spark.read.option("header", True).option("inferSchema", False)
-        if columns is not None:
-            schema = StructType([StructField(c, StringType(), True) for c in columns])
-            reader = reader.schema(schema).option("enforceSchema", False)
-        scan = reader.csv(path)
+        scan = _scan_csv(spark, path, columns)
         return with_row_ids(scan, id_col).na.fill("")
     scan = spark.read.format(fmt).load(path)
     if columns is not None:

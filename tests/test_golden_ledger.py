@@ -199,8 +199,25 @@ def test_ingest_documents_one_per_line(spark, tmp_path):
             doc["data"]["budget"]["id"] = budget_id
             f.write(json.dumps(doc) + "\n")
     _, stubs, _ = golden.write_inputs(str(tmp_path / "in"))
-    counts = ingest(spark, str(path), stubs, str(tmp_path / "landing"), multi_line=False)
-    assert counts["transactions"] == 21 and counts["monthly-categories"] == 30
+    with pytest.raises(ValueError, match="several budgets"):
+        ingest(spark, str(path), stubs, str(tmp_path / "landing"), multi_line=False)
+    counts = ingest(spark, str(path), stubs, str(tmp_path / "landing"), multi_line=False, budget_id="B2")
+    assert counts["transactions"] == 7 and counts["monthly-categories"] == 10
+
+
+def test_snapshots_of_one_budget_count_once(spark, tmp_path):
+    import json
+    import os
+    doc = golden.document()
+    (tmp_path / "docs").mkdir()
+    for day in (1, 2):
+        path = tmp_path / "docs" / f"{day}.json"
+        path.write_text(json.dumps(doc))
+        os.utime(path, (day * 86400, day * 86400))
+        doc["data"]["budget"]["subtransactions"] = []
+    _, stubs, _ = golden.write_inputs(str(tmp_path / "in"))
+    counts = ingest(spark, str(tmp_path / "docs"), stubs, str(tmp_path / "landing"))
+    assert counts["transactions"] == 7 and counts["subtransactions"] == 0
 
 
 def test_every_stored_order_applies_to_its_model(models):

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from abacus.functions import (amount_from_text, clean_label, group_mapping, iso_date, month_label, round_milli,
                               split_part, strip_emoji, subgroup, to_units, us_date)
-from abacus.operators import (audit_forall, bounded_broadcast, conditional_sums, grain_check, latest_per_key,
-                              month_sequence, nonfinite_to_null, positions, split_expand, spread, to_series,
+from abacus.operators import (audit_forall, conditional_sums, grain_check, latest_per_key,
+                              month_sequence, nonfinite_to_null, positions, split_expand, to_series,
                               write_counted)
 from abacus.sources import read_sheet_csv, read_with_row_ids
 
@@ -140,30 +140,6 @@ def test_nonfinite_to_null(spark):
     assert [r["x"] for r in nonfinite_to_null(df).orderBy("n").collect()] == [None, None, None, 1.5]
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    assert "broadcast" in str(bounded_broadcast(small, 50)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(bounded_broadcast(big, 50)._jdf.queryExecution().logical()).lower()
-
-
-def test_row_ids_follow_file_order_across_splits(spark, tmp_path):
-    path = str(tmp_path / "sheet.csv")
-    with open(path, "w") as f:
-        f.write("category_group,subcategory_group,category_name\n")
-        for i in range(20000):
-            f.write(f"g{i % 7},s{i % 3},name {i:06d}\n")
-    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
-    try:
-        df = read_with_row_ids(spark, path, "csv", "id", ["category_group", "subcategory_group", "category_name"])
-        assert df.rdd.getNumPartitions() > 5
-        got = df.select("id", "category_name").collect()
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
-    assert sorted((r["id"], r["category_name"]) for r in got) == [(i + 1, f"name {i:06d}") for i in range(20000)]
-
-
 def test_sheet_csv_empty_cells_are_empty_strings(spark, tmp_path):
     path = str(tmp_path / "p.csv")
     with open(path, "w") as f:
@@ -178,13 +154,6 @@ def test_positions_are_dense_and_ordered(spark):
     assert sorted((r["position"], r["k"]) for r in got) == [(i + 1, 4999 - i) for i in range(5000)]
 
 
-def test_spread_only_when_few_partitions(spark):
-    one = spark.range(0, 100, numPartitions=1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, numPartitions=6)
-    assert spread(many, 4).rdd.getNumPartitions() == 6
-
-
 def test_write_counted(spark, tmp_path):
     assert write_counted(spark.range(123), str(tmp_path / "out")) == 123
 
@@ -210,20 +179,6 @@ def test_dense_monthly_equals_grid_join(spark):
     assert m.dense_monthly(empty, tx, bud).count() == 0
 
 
-def test_split_expand_salted_equals_unsalted(spark):
-    parents = spark.createDataFrame([(i, f"c{i}", i * 10, f"m{i}") for i in range(1, 6)],
-                                    "id long, cat string, amount long, memo string")
-    kids = [(i, 1, None if i % 5 else "x", i, None) for i in range(1, 301)]      # parent 1 is hot
-    kids += [(1000 + i, 2, "y", i, "z") for i in range(3)]
-    children = spark.createDataFrame(kids, "cid long, tid long, cat string, amount long, memo string")
-    args = (parents, children, "id", "tid", {"cat": "cat", "amount": "amount", "memo": "memo"})
-    plain = split_expand(*args, child_id=("cid", "child"))
-    salted = split_expand(*args, child_id=("cid", "child"), salt=4, hot_rows=50)
-    assert sorted(map(tuple, salted.collect())) == sorted(map(tuple, plain.collect()))
-    plan = salted._jdf.queryExecution().executedPlan().toString()
-    assert "xxhash64" in plan and "__salt" in plan
-
-
 def test_scale_settings():
     from abacus.session import scale_settings
     big = scale_settings(100 * 10**12, 8000)
@@ -247,3 +202,43 @@ def test_row_ids_match_parquet_file_order_across_row_groups(spark):
     want = set(duckdb.connect().execute(
         f"SELECT file_row_number + 1, {', '.join(cols)} FROM read_parquet('{path}', file_row_number=true)").fetchall())
     assert got == want
+
+
+def test_row_ids_follow_file_order_across_files(spark, tmp_path):
+    for part in range(6):
+        with open(tmp_path / f"sheet-{part}.csv", "w") as f:
+            f.write("category_name,category_group\n")
+            f.writelines(f"name {part}{i:04d},g\n" for i in range(500))
+    got = read_with_row_ids(spark, str(tmp_path), "csv", "id", ["category_name"]).collect()
+    names = sorted(f"name {part}{i:04d}" for part in range(6) for i in range(500))
+    assert sorted((r["id"], r["category_name"]) for r in got) == list(enumerate(names, 1))
+
+
+def test_sheet_cells_keep_quotes_and_line_breaks(spark, tmp_path):
+    path = str(tmp_path / "q.csv")
+    with open(path, "w") as f:
+        f.write('extra,b,a\n1,"say ""hi""","two\nlines"\n2,x,\n')
+    df = read_with_row_ids(spark, path, "csv", "id", ["a", "b"])
+    assert sorted(map(tuple, df.collect())) == [(1, "two\nlines", 'say "hi"'), (2, "", "x")]
+
+
+def test_bad_dates_raise_without_ansi(spark):
+    import pytest
+    from abacus.functions import iso_date, us_date
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        for column in (us_date(F.lit("13/45/2024")), iso_date(F.lit("2024-13-01"))):
+            with pytest.raises(Exception, match="not a date"):
+                spark.range(1).select(column).collect()
+        assert spark.range(1).select(us_date(F.lit(""))).first()[0] is None
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
+def test_raw_model_types_absent_columns(spark):
+    import pytest
+    from abacus.plans.models import raw_model
+    df = raw_model(spark.createDataFrame([("a", "n")], "id string, name string"), "accounts")
+    assert dict(df.dtypes)["on_budget"] == "boolean" and dict(df.dtypes)["balance"] == "bigint"
+    with pytest.raises(ValueError):
+        raw_model(spark.createDataFrame([("n",)], "name string"), "accounts")
