@@ -412,8 +412,9 @@ def _monthly_parts(led):
 
 
 def q_date_range(spark, sf):
-    mt, mb, mp = _monthly_parts(Ledger.of(spark, sf))
-    return bounded_month_spine(m.report_date_bounds(mt, mb, mp), "min_date", "max_date")
+    led = Ledger.of(spark, sf)
+    bounds = m.report_date_bounds(led["combined.transactions"], led["combined.budgeted"], led["combined.paystubs"])
+    return bounded_month_spine(bounds, "min_date", "max_date")
 
 
 def q_record_spine(spark, sf):

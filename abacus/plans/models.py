@@ -475,12 +475,17 @@ def dense_monthly(record_spine: DataFrame, month_tx: DataFrame, month_budget: Da
     return bounded_month_spine(months, "s", "e").join(sums, "budget_month", "left")
 
 
-def report_date_bounds(month_tx: DataFrame, month_budget: DataFrame, month_pay: DataFrame) -> DataFrame:
-    """One row: first month of any fact, last month of transactions or pay (budgets can run ahead)."""
-    months = (month_tx.select(F.col("transaction_month").alias("m"), F.lit(True).alias("ends"))
-              .unionByName(month_budget.select(F.col("budget_month").alias("m"), F.lit(False).alias("ends")))
-              .unionByName(month_pay.select(F.col("pay_month").alias("m"), F.lit(True).alias("ends"))))
-    return months.agg(F.min("m").alias("min_date"), F.max(F.when(F.col("ends"), F.col("m"))).alias("max_date"))
+def report_date_bounds(transactions: DataFrame, budgeted: DataFrame, paystubs: DataFrame) -> DataFrame:
+    """One row: first month of any fact, last month of transactions or pay (budgets can run ahead).
+
+    A month's start keeps the order of dates, so the bounds are those of the dates themselves:
+    one global aggregate of partial minima and maxima, no shuffle by key.
+    """
+    days = (transactions.select(F.col("transaction_date").alias("d"), F.lit(True).alias("ends"))
+            .unionByName(budgeted.select(F.col("budget_month").alias("d"), F.lit(False).alias("ends")))
+            .unionByName(paystubs.select(F.col("pay_date").alias("d"), F.lit(True).alias("ends"))))
+    return days.agg(month_start(F.min("d")).alias("min_date"),
+                    month_start(F.max(F.when(F.col("ends"), F.col("d")))).alias("max_date"))
 
 
 def dashboards_monthly_level(transactions: DataFrame, budgeted: DataFrame, paystubs: DataFrame,
@@ -490,7 +495,7 @@ def dashboards_monthly_level(transactions: DataFrame, budgeted: DataFrame, payst
     mb = monthly_budgeted(budgeted)
     mp = monthly_paystubs(paystubs)
     dense = dense_monthly(record_spine, mt, mb)
-    months = bounded_month_spine(report_date_bounds(mt, mb, mp), "min_date", "max_date")
+    months = bounded_month_spine(report_date_bounds(transactions, budgeted, paystubs), "min_date", "max_date")
     joined = (months.join(dense, "budget_month", "left")
               .join(mp, F.col("budget_month") == mp["pay_month"], "left"))
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
