@@ -211,7 +211,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
                     yield pa.RecordBatch.from_arrays([pa.array(signed(name[keep])), pa.array(doc[keep])], names=["name", "doc_id"])
 
     texts = docs.where("not copy").select("doc_id", "text")
-    shared = (grouped(texts.mapInArrow(released(named), "name long, low long, span long, docs long"), "name")
+    shared = (texts.mapInArrow(released(named), "name long, low long, span long, docs long").groupBy("name")
               .agg(F.min("low").alias("low"), F.max(F.col("low") + F.col("span")).alias("high"), F.sum("docs").alias("docs"))
               .where("low < high").select("name", (F.col("docs") > common).alias("common")))
     wanted = (texts.mapInArrow(released(listed), "name long, doc_id long").join(shared.hint("merge"), "name")
@@ -246,7 +246,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, comm
     found = (docs.join(wanted.hint("merge"), "doc_id", "left").where("not copy and names is not null")
              .select("doc_id", "text", "row", "names", "common")
              .mapInArrow(released(passages), "key long, ctx long, doc_id long, row long, start int, size int"))
-    least = grouped(found, "key", "ctx").agg(F.min("doc_id").alias("first")).drop("__deal")
+    least = found.groupBy("key", "ctx").agg(F.min("doc_id").alias("first"))
     placed = found.join(least.hint("merge"), ["key", "ctx"])
     later = placed.where("doc_id > first").select("doc_id", "row", "start", F.array(F.lit(0), F.col("size")).alias("spans"))
 

@@ -35,7 +35,7 @@ END_ID = 0
 SLICE_BYTES = 4 << 20
 TOKENIZER = "byte_bpe_50k.json"
 # The encoder forgets the pieces it knows beyond this many pieces or characters.
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 500_000
 KNOWN_CHARS = 16_000_000
 # Ahead of a block's bytes: ids, minimum, width, exceptions.
 _HEAD = "<HIBH"
@@ -89,6 +89,7 @@ class Encoder:
         self.flat, self.chars = np.zeros(1 << 16, np.uint32), 0
         self.first, self.size, self.uses = (np.zeros(0, np.int64) for _ in range(3))
         self.used, self.known = 0, 0
+        self.between_tasks = KNOWN_PIECES
 
     def encode(self, texts: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string array without nulls, each text's followed by ``end_id``, and how many each has."""
@@ -192,7 +193,7 @@ class Encoder:
 
     def rest(self) -> None:
         """Between tasks, keep what has been met more than once."""
-        if len(self.slots) > KNOWN_PIECES // 4:
+        if len(self.slots) > self.between_tasks:
             self._forget()
 
     def _forget(self) -> None:
@@ -280,17 +281,21 @@ _CHUNKS = "shard int, chunk int, start long, doc_ids array<long>, counts array<i
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id",
-                 text_col: str = "text", end_id: int = END_ID, chunk: int = CHUNK) -> None:
+                 text_col: str = "text", end_id: int = END_ID, chunk: int = CHUNK,
+                 between_tasks: int = KNOWN_PIECES) -> None:
     """Encode every whole text and write the ids at ``path`` in ascending id order.
 
     Null and empty texts hold the end id alone. Null ids come first; rows of one id are all
-    kept, in the order of their texts. ``tokenizer`` is a file of the tokenizers library.
+    kept, in the order of their texts. ``tokenizer`` is a file of the tokenizers library. A worker
+    keeps its pieces from task to task, unless it knows more than ``between_tasks``: fewer
+    leave more memory to other work on the same executors.
     """
     tokenizer = tokenizer or tokenizer_path()
     bounded_batches(docs.sparkSession)
 
     def run(batches):
         encoder = _encoder(tokenizer)
+        encoder.between_tasks = between_tasks
         shard, number, start = TaskContext.get().partitionId(), 0, 0
         ids, counts, names = [], [], []
 

@@ -15,6 +15,8 @@ from abacus.session import scratch_path
 
 # Every document stays; small sources are repeated up to this often.
 MIX_REPEAT_LIMIT = 1.5
+# Workers of the token stage go on to other stages, so they keep few pieces.
+KEPT_PIECES = 100_000
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each row, read back from the written ids."""
     path = scratch_path(spark, "pipeline-tokens")
-    token_blocks.write_tokens(docs, path)
+    token_blocks.write_tokens(docs, path, between_tasks=KEPT_PIECES)
     return token_blocks.digests(token_blocks.read_tokens(spark, path))
 
 
