@@ -32,11 +32,14 @@ from abacus.operators import (audit_forall, bounded_month_spine, grain_check, la
                               nonfinite_to_null, split_expand, write_counted)
 from abacus.plans import models as m
 from abacus.plans import serve
+from abacus.plans.build import GRAINS, build, grain_report, model_steps, raw_tables
 from abacus.session import scratch_path
-from abacus.sources import flatten_entity, flatten_monthly_categories, parse_budget_documents, read_with_row_ids
+from abacus.sources import (flatten_entity, flatten_monthly_categories, landing, parse_budget_documents,
+                            read_budget_documents, read_with_row_ids)
+from abacus.sources.budget_document import current_budgets
 
-# The report is cut at this date (the reference uses today; fixed here so results are stable).
-AS_OF = "2001-12-31"
+# The year whose report blocks are served.
+REPORT_YEAR = 1998
 
 # Fixed values of the analog: budget group of each region, and the three nations that
 # stand for the income group and two groups without a subgroup.
@@ -54,6 +57,13 @@ def _t(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf, f"{name}.parquet"))
 
 
+def _as_of(spark: SparkSession, sf: str) -> Column:
+    """The last day of the facts, at which the spine ends (a scalar, computed by the executors)."""
+    last = [_t(spark, sf, name).agg(F.max(F.to_date(c))).scalar()
+            for name, c in (("orders", "o_orderdate"), ("lineitem", "l_shipdate"))]
+    return F.greatest(*last)
+
+
 def _milli(c: str | Column) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return F.round(c * 1000).cast("bigint")
@@ -215,11 +225,13 @@ class Ledger:
     """The analog warehouse: each model is built on first use, written once to the shared
     checkpoint folder and read back (lineage is cut there, as in ``plans.build``).
 
-    Ledgers are kept per Spark application and input folder, so queries of one session
-    share the models built so far, like reports reading a built warehouse.
+    Ledgers are kept per Spark application and state of the input files, so queries of one
+    session share the models built so far, like reports reading a built warehouse, and
+    changed input files give a new ledger.
     """
 
-    _open: dict[tuple[str, str], "Ledger"] = {}
+    _open: dict[tuple, "Ledger"] = {}
+    INPUTS = ["region", "nation", "customer", "part", "orders", "lineitem"]
     # Models worth writing: aggregates, joins, row ids, the text parse, and reports with
     # several consumers. Plain projections stay lazy and are folded into their readers' plans.
     MATERIALIZED = {
@@ -236,7 +248,10 @@ class Ledger:
 
     @classmethod
     def of(cls, spark: SparkSession, sf: str) -> "Ledger":
-        key = (spark.conf.get("spark.app.id", None) or str(id(spark)), os.path.abspath(sf))
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+                 .load([os.path.join(sf, f"{name}.parquet") for name in cls.INPUTS]))
+        state = files.agg(F.count("path"), F.max("modificationTime"), F.sum("length")).first()
+        key = (spark.conf.get("spark.app.id", None) or str(id(spark)), sf, *state)
         if key not in cls._open:
             cls._open[key] = cls(spark, sf)
         return cls._open[key]
@@ -253,8 +268,7 @@ class Ledger:
 
     @classmethod
     def build_order(cls) -> list[str]:
-        from abacus.plans.build import model_steps
-        return cls.ORDER + [name for name, _ in model_steps(AS_OF)]
+        return cls.ORDER + [name for name, _ in model_steps(None)]
 
     def _make(self, name):
         s, sf, t = self.spark, self.sf, self
@@ -269,8 +283,7 @@ class Ledger:
         }
         if name in raw:
             return raw[name]()
-        from abacus.plans.build import model_steps
-        steps = dict(model_steps(AS_OF))
+        steps = dict(model_steps(_as_of(s, sf)))
         return steps[name](t)
 
 
@@ -523,6 +536,128 @@ def q_sink_count(spark, sf):
                          to_units(F.sum("amount")).alias("written_amount")))
 
 
+# ------------------------------------------------------------------ documents and sheets in files
+
+def _document(budget_id: Column, **entities: Column) -> Column:
+    budget = F.struct(budget_id.cast("string").alias("id"), *[c.alias(name) for name, c in entities.items()])
+    return F.to_json(F.struct(F.struct(budget.alias("budget")).alias("data"))).alias("value")
+
+
+def _flattened(spark: SparkSession, docs: DataFrame, entity: str) -> DataFrame:
+    """Documents written one a line, read back from their files and flattened."""
+    path = scratch_path(spark, f"documents-{entity}")
+    docs.write.text(path)
+    return flatten_entity(read_budget_documents(spark, path, multi_line=False), entity)
+
+
+def q_flatten_groups(spark, sf):
+    g = landing_category_groups(spark, sf)
+    one = F.struct(F.col("id").cast("string").alias("id"), "name")
+    docs = g.groupBy((F.col("id") % 5).alias("budget")).agg(F.collect_list(one).alias("groups"))
+    return _flattened(spark, docs.select(_document(F.col("budget"), category_groups=F.col("groups"))),
+                      "category_groups").select("id", "name")
+
+
+def q_flatten_accounts(spark, sf):
+    a = landing_accounts(spark, sf)
+    one = F.struct(F.col("id").cast("string").alias("id"), "name", "type", "on_budget", "closed", "balance")
+    flat = _flattened(spark, a.select(_document(F.col("id"), accounts=F.array(one))), "accounts")
+    return flat.select("id", "name", "type", "on_budget", "closed", "balance")
+
+
+def q_flatten_subtransactions(spark, sf):
+    """One document per order, holding its parts."""
+    s = landing_subtransactions(spark, sf)
+    one = F.struct("id", F.col("transaction_id").cast("string").alias("transaction_id"), "amount", "memo",
+                   F.col("category_id").cast("string").alias("category_id"))
+    docs = s.groupBy("transaction_id").agg(F.collect_list(one).alias("parts"))
+    flat = _flattened(spark, docs.select(_document(F.col("transaction_id"), subtransactions=F.col("parts"))),
+                      "subtransactions")
+    return flat.select("id", "transaction_id", "amount", "memo", "category_id")
+
+
+def q_ingest_latest(spark, sf):
+    """Two snapshots of every customer's budget in files; only the newer one counts, though it
+    is written in a folder that sorts first and the older one holds rows of other amounts."""
+    tx = landing_transactions(spark, sf)
+    path = scratch_path(spark, "snapshots")
+    for folder, amount in (("b", F.lit(-1).cast("bigint")), ("a", F.col("amount"))):
+        one = F.struct(F.col("id").cast("string").alias("id"), "date", amount.alias("amount"))
+        docs = tx.groupBy("account_id").agg(F.collect_list(one).alias("rows"))
+        docs.select(_document(F.col("account_id"), transactions=F.col("rows"))).write.text(os.path.join(path, folder))
+    saved = read_budget_documents(spark, os.path.join(path, "*"), multi_line=False, with_source=True)
+    return flatten_entity(current_budgets(saved), "transactions").select("budget_id", "id", "date", "amount")
+
+
+def q_sheet_csv_roundtrip(spark, sf):
+    """The part table as a sheet export with quotes, line breaks, moved and added columns."""
+    p = _t(spark, sf, "part")
+    name = F.concat(F.lit('say "'), F.col("p_name"), F.lit('", '), F.col("p_brand"), F.lit("\n#"),
+                    F.col("p_partkey").cast("string"))
+    sheet = p.orderBy("p_partkey").select(
+        name.alias("category_name"), F.col("p_size").cast("string").alias("added"), F.col("p_type").alias("category_group"),
+        F.when(F.col("p_type") == "PROMO", F.lit("")).otherwise(F.col("p_brand")).alias("subcategory_group"))
+    path = scratch_path(spark, "sheet")
+    sheet.write.options(header=True, quote='"', escape='"', quoteAll=True).csv(path)
+    return read_with_row_ids(spark, path, "csv", "row_id", ["category_group", "subcategory_group", "category_name"])
+
+
+# ------------------------------------------------------------------ whole layers
+
+def q_raw_columns(spark, sf):
+    """Rows and values of every column of the six raw models, in column order."""
+    led, out = Ledger.of(spark, sf), None
+    for model, columns in m.RAW_COLUMNS.items():
+        df = led[f"raw.{model}"]
+        counted = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(c)).alias(f"v{i}") for i, c in enumerate(columns)])
+        one = counted.select(F.lit(model).alias("model"), "n", F.posexplode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"v{i}").alias("n_values")) for i, c in enumerate(columns)])))
+        one = one.select("model", (F.col("pos") + 1).cast("bigint").alias("place"), "col.column_name",
+                         F.col("n").alias("n_rows"), "col.n_values")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_grain_report(spark, sf):
+    led = Ledger.of(spark, sf)
+    return grain_report({name: led[name] for name in GRAINS})
+
+
+def q_pipeline_monthly(spark, sf):
+    """Landing tables written, read by name and built through every layer, each model stored."""
+    root = scratch_path(spark, "pipeline-landing")
+    made = {"accounts": landing_accounts, "category_groups": landing_category_groups,
+            "subtransactions": landing_subtransactions, "transactions": landing_transactions,
+            "paystubs": landing_paystubs, "monthly_categories": landing_monthly_categories}
+    for model, make in made.items():
+        write_counted(make(spark, sf), landing.landing_path(root, m.RAW_LANDING[model]))
+    # The analog's stubs break some audit rules on purpose (audit_forall counts them).
+    tables = build(spark, raw_tables(spark, root, sheet_category_orders(spark, sf)),
+                   scratch_path(spark, "pipeline-warehouse"), _as_of(spark, sf), audit=False)
+    return _out(tables["dashboards.monthly_level"])
+
+
+def _served_year(block):
+    """One block written for all years, then one year read back."""
+    def run(spark, sf):
+        root = scratch_path(spark, "year-blocks")
+        serve.write_year_blocks(Ledger.of(spark, sf), root, blocks=[block])
+        return _out(serve.read_year_block(spark, root, block, REPORT_YEAR))
+    return run
+
+
+def q_serve_where(spark, sf):
+    """A report's predicate; stored amounts are thousandths."""
+    rows = serve.served(Ledger.of(spark, sf)["combined.yearly_budgeted"], "category_group = 'Needs' AND spend < -100000")
+    return rows.select("order_id", "budget_year", "category_name", "spend", "assigned")
+
+
+def _served_order(model, shown, tiebreak=()):
+    return lambda spark, sf: _out(serve.with_position(
+        Ledger.of(spark, sf)[model].select(*{*shown, *tiebreak, *[c for c, _ in serve.MODEL_ORDER[model]]}), model,
+        tiebreak=tiebreak).select(*shown, "position"))
+
+
 def _dates_as_text(df: DataFrame) -> DataFrame:
     """Output types that compare the same however the oracle comparison is made.
 
@@ -602,6 +737,26 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dropped_facts": q_dropped_facts,
     "sanitize_nonfinite": q_sanitize_nonfinite,
     "sink_count": q_sink_count,
+    "raw_columns": q_raw_columns,
+    "grain_report": q_grain_report,
+    "pipeline_monthly": q_pipeline_monthly,
+    "flatten_groups": q_flatten_groups,
+    "flatten_accounts": q_flatten_accounts,
+    "flatten_subtransactions": q_flatten_subtransactions,
+    "ingest_latest": q_ingest_latest,
+    "sheet_csv_roundtrip": q_sheet_csv_roundtrip,
+    "serve_where": q_serve_where,
+    **{f"serve_year_{block}": _served_year(block) for block in serve.YEAR_BLOCKS},
+    "ordered_transactions": _served_order("cleaned.transactions", ["id", "transaction_date"], ["id"]),
+    "ordered_category_orders": _served_order("cleaned.category_orders", ["order_id", "category_name"]),
+    "ordered_budgeted": _served_order("combined.budgeted", ["budget_month", "category_id"]),
+    "ordered_paystubs": _served_order("combined.paystubs", ["pay_date", "net_pay"], ["net_pay"]),
+    "ordered_combined_transactions": _served_order("combined.transactions", ["id", "transaction_date", "amount"],
+                                                   ["id", "amount"]),
+    "ordered_monthly_level": _served_order("dashboards.monthly_level", ["budget_month", "spent"]),
+    "ordered_yearly_level": _served_order("dashboards.yearly_level", ["budget_year", "spent"]),
+    "ordered_yearly_paychecks": _served_order("dashboards.yearly_paychecks", ["budget_year", "order_id", "paycheck_column"],
+                                              ["paycheck_column"]),
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _harness(f) for k, f in _QUERIES.items()}

@@ -1,15 +1,44 @@
 """DuckDB oracle SQL for every key of the query catalogue (``abacus.catalogue``).
 
-Written independently from the Spark code, as plain SQL over the generated tables:
-the analog ledger is a chain of CTEs, amounts stay exact decimals until the final
-SELECT casts them to DOUBLE.
+Plain SQL over the generated tables that shares no list with the Spark code. Every fact
+becomes rows of (month, measure, v), and a report line is a signed sum of measures.
+Amounts stay exact decimals until the final SELECT casts them to DOUBLE.
 """
 
 from __future__ import annotations
 
-from abacus.catalogue import AS_OF, PAYCHECK_LABELS
-from abacus.plans.models import LEVEL_MEASURES, PAYCHECK_LINES
-from abacus.plans.serve import EXTRACT_MEASURES, OVERVIEW_TITLES
+# The report lines with their titles, and the measures each adds or takes away.
+REPORT = [
+    ("earnings_actual", "Pre-Tax Earnings", "+earnings_actual"),
+    ("salary", "Salary", "+salary"),
+    ("bonus", "Bonus", "+bonus"),
+    ("pre_tax_deductions", "Pre-Tax Deductions", "+pre_tax_deductions"),
+    ("taxes", "Taxes", "+taxes"),
+    ("retirement_fund", "Retirement Fund Contribution", "+retirement_fund"),
+    ("hsa", "HSA Contribution", "+hsa"),
+    ("post_tax_deductions", "Post-Tax Deductions", "+post_tax_deductions"),
+    ("total_deductions", "Total Deductions", "+deductions"),
+    ("net_pay", "Net Pay", "+net_pay"),
+    ("income_for_reimbursements", "Reimbursed Income", "+income_for_reimbursements"),
+    ("misc_income", "Miscellaneous Income", "+income -net_pay"),
+    ("total_income", "Total Income (Net to Account)", "+income"),
+    ("needs_spend", "Needs Spend", "+needs_spend"),
+    ("wants_spend", "Wants Spend", "+wants_spend"),
+    ("savings_spend", "Savings Spend", "+savings_spend"),
+    ("emergency_fund_spend", "Emergency Fund Spend", "+emergency_fund_spend"),
+    ("savings_saved", "Savings Saved", "+savings_assigned"),
+    ("emergency_fund_saved", "Emergency Fund Saved", "+emergency_fund_assigned"),
+    ("investments_saved", "Investments Saved", "+investments_assigned"),
+    ("emergency_fund_in_hsa", "Emergency Fund in HSA", "+emergency_fund_in_hsa"),
+    ("spent", "Total Spend", "+needs_spend +wants_spend +savings_spend +emergency_fund_spend"),
+    ("difference", "Net Income", "+income +needs_spend +wants_spend +savings_spend +emergency_fund_spend"),
+]
+LINES = [name for name, _, _ in REPORT]
+# Lines of the report that are no line of the yearly paycheck.
+NOT_PAYCHECK = {"needs_spend", "wants_spend", "savings_spend", "emergency_fund_spend", "savings_saved",
+                "emergency_fund_saved", "investments_saved", "emergency_fund_in_hsa"}
+PAYCHECK = [(title, name) for name, title, _ in REPORT if name not in NOT_PAYCHECK]
+REPORT_YEAR = 1998
 
 
 def U(x: str) -> str:
@@ -39,7 +68,7 @@ def AMT(x: str) -> str:
 
 
 EMOJI = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{FE0F}\x{200D}]"
-LABEL_LIST = "[" + ", ".join(f"'{x}'" for x in PAYCHECK_LABELS) + "]"
+LABEL_LIST = "[" + ", ".join(f"'{title}'" for title, _ in PAYCHECK) + "]"
 STUB_TEXT_COLS = ["net_pay", "earnings_total", "pre_tax_deductions", "taxes", "post_tax_deductions",
                   "earnings_salary", "earnings_bonus", "earnings_meal_allowance", "earnings_pto_payout",
                   "earnings_severance", "earnings_misc", "earnings_expense_reimbursement", "earnings_nyc_citi_bike",
@@ -72,6 +101,18 @@ def _plus(cols):
     return " + ".join(cols)
 
 
+def _signed(terms: str) -> str:
+    """'+a -b' over rows of (measure, v) -> what a adds less what b takes away; 0 without rows."""
+    arms = " ".join(f"WHEN '{t[1:]}' THEN {t[0]}v" for t in terms.split())
+    return f"coalesce(sum(CASE measure {arms} END), 0)"
+
+
+def _only(measure: str, terms: str | None = None) -> str:
+    """Sum of the rows of some measures; NULL without rows."""
+    names = ", ".join(f"'{t}'" for t in (terms or measure).split())
+    return f"sum(v) FILTER (measure IN ({names})) AS {measure}"
+
+
 EARN = ["earnings_salary", "earnings_bonus", "earnings_meal_allowance", "earnings_pto_payout",
         "earnings_severance", "earnings_misc", "earnings_expense_reimbursement", "earnings_nyc_citi_bike"]
 PRE = ["pre_tax_401k", "pre_tax_hsa", "pre_tax_fsa", "pre_tax_medical"]
@@ -87,13 +128,38 @@ AUDITS = [
     ("net_plus_deductions_equal_earnings",
      "net_pay_total + pre_tax_deductions_total + taxes_total + post_tax_deductions_total = earnings_total"),
 ]
-PAY_COLS = ["earnings_actual", "salary", "bonus", "pre_tax_deductions", "retirement_fund", "hsa", "taxes",
-            "post_tax_deductions", "deductions", "net_pay", "income_for_reimbursements"]
-MB_COLS = ["budgeted", "activity", "emergency_fund_assigned", "savings_assigned", "investments_assigned",
-           "emergency_fund_balance", "savings_balance", "investments_balance", "net_zero_balance"]
-MT_COLS = ["income", "emergency_fund_in_hsa", "needs_spend", "wants_spend", "savings_spend", "emergency_fund_spend"]
+# One stub's pay measures, from its typed cells.
+RETIREMENT = "round(post_tax_roth + pre_tax_401k, 2)"
+PAY = {
+    "earnings_actual": "round(earnings_salary + earnings_bonus + earnings_pto_payout + earnings_severance, 2)",
+    "salary": "round(earnings_salary, 2)",
+    "bonus": "round(earnings_bonus + earnings_pto_payout + earnings_severance, 2)",
+    "pre_tax_deductions": "round(-pre_tax_fsa - pre_tax_medical, 2)",
+    "retirement_fund": f"-{RETIREMENT}",
+    "hsa": "round(pre_tax_hsa, 2)",
+    "taxes": f"round(-({_plus(TAX)}), 2)",
+    "post_tax_deductions": "round(-post_tax_critical_illness - post_tax_ad_d - post_tax_long_term_disability, 2)",
+    "deductions": "round(pre_tax_deductions_total + pre_tax_hsa + taxes_total + post_tax_deductions_total "
+                  f"- {RETIREMENT}, 2)",
+    "net_pay": "round(net_pay_total - earnings_expense_reimbursement, 0)",
+    "income_for_reimbursements": "round(earnings_expense_reimbursement, 2)",
+}
+PAY_COLS = list(PAY)
+# Measures of a budget row: the column that counts, and the group that it counts for (None: all).
+BUDGET = {
+    "budgeted": ("budgeted", None), "activity": ("activity", None),
+    "emergency_fund_assigned": ("budgeted", "Emergency Fund"), "savings_assigned": ("budgeted", "Savings"),
+    "investments_assigned": ("budgeted", "Investments"), "emergency_fund_balance": ("balance", "Emergency Fund"),
+    "savings_balance": ("balance", "Savings"), "investments_balance": ("balance", "Investments"),
+    "net_zero_balance": ("balance", "Net Zero Expenses"),
+}
+# Measures of a transaction: the group whose amounts count.
+SPENT = {"income": "Income", "needs_spend": "Needs", "wants_spend": "Wants", "savings_spend": "Savings",
+         "emergency_fund_spend": "Emergency Fund"}
+MB_COLS = list(BUDGET)
+MT_COLS = [*SPENT, "emergency_fund_in_hsa"]
 TB_COLS = ["income", "needs_spend", "wants_spend", "savings_spend", "emergency_fund_spend", "savings_assigned",
-           "emergency_fund_assigned", "investments_assigned", "emergency_fund_in_hsa", "spent"]
+           "emergency_fund_assigned", "investments_assigned", "emergency_fund_in_hsa"]
 
 CTES = f"""
 l_tx AS (
@@ -152,11 +218,9 @@ c_acct AS (
          {U('balance')} AS cleared_balance, {U('0')} AS uncleared_balance
   FROM l_acct),
 c_grp AS (
-  SELECT id, name,
-         CASE WHEN name = 'Internal Master Category' THEN 'Income' ELSE split(name, ' - ')[1] END
-           AS category_group_name_mapping,
-         split(name, ' - ')[2] AS subcategory_group_name
-  FROM l_grp),
+  SELECT id, name, coalesce(MAP {{'Internal Master Category': 'Income'}}[name], parts[1]) AS category_group_name_mapping,
+         parts[2] AS subcategory_group_name
+  FROM (SELECT id, name, split(name, ' - ') AS parts FROM l_grp)),
 c_month AS (
   SELECT id, category_group_id, {CLEAN('name', False)} AS category_name, make_date(year, month, 1) AS budget_month,
          {U('budgeted')} AS budgeted, {U('balance')} AS balance, {U('activity')} AS activity
@@ -166,7 +230,7 @@ c_cat AS (
   FROM l_month
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY month DESC, year DESC) = 1),
 c_ord AS (
-  SELECT row_number() OVER (ORDER BY p_partkey) AS order_id,
+  SELECT row_number() OVER () AS order_id,
          CASE p_type WHEN 'STANDARD' THEN 'Needs' WHEN 'ECONOMY' THEN 'Wants' WHEN 'PROMO' THEN 'Paycheck'
               ELSE 'Other' END AS category_group,
          CASE WHEN p_type = 'PROMO' THEN '' ELSE p_brand END AS subcategory_group,
@@ -178,47 +242,20 @@ c_stub_typed AS (
          {US_DATE('pay_period_end_date')} AS pay_period_end_date, {US_DATE('pay_date')} AS pay_date,
          {", ".join(f"{AMT(c)} AS {STUB_TOTALS.get(c, c)}" for c in STUB_TEXT_COLS)}
   FROM l_stub),
-c_stub AS (
-  SELECT *,
-         round(earnings_salary + earnings_bonus + earnings_pto_payout + earnings_severance, 2) AS earnings_custom_calc,
-         round(earnings_bonus + earnings_pto_payout + earnings_severance, 2) AS bonus_custom_calc,
-         -1 * round(pre_tax_fsa + pre_tax_medical, 2) AS pre_tax_deductions_custom_calc,
-         -1 * round(post_tax_roth + pre_tax_401k, 2) AS retirement_fund_custom_calc,
-         -1 * round({_plus(TAX)}, 2) AS taxes_custom_calc,
-         -1 * round(post_tax_critical_illness + post_tax_ad_d + post_tax_long_term_disability, 2)
-           AS post_tax_deductions_custom_calc,
-         round(pre_tax_deductions_total + (-1 * round(post_tax_roth + pre_tax_401k, 2)) + pre_tax_hsa + taxes_total
-               + post_tax_deductions_total, 2) AS deductions_custom_calc,
-         round(net_pay_total - earnings_expense_reimbursement, 0) AS net_pay_custom_calc
-  FROM c_stub_typed),
+cb_stub AS (SELECT pay_date, {", ".join(f"{e} AS {c}" for c, e in PAY.items())} FROM c_stub_typed),
 cb_budg AS (
-  SELECT m.id AS category_id, g.id AS category_group_id, m.budget_month, m.category_name,
-         g.name AS category_group_name, g.subcategory_group_name, g.category_group_name_mapping,
-         m.budgeted, m.activity, m.balance,
-         CASE WHEN g.category_group_name_mapping = 'Emergency Fund' THEN m.budgeted ELSE 0 END AS emergency_fund_assigned,
-         CASE WHEN g.category_group_name_mapping = 'Savings' THEN m.budgeted ELSE 0 END AS savings_assigned,
-         CASE WHEN g.category_group_name_mapping = 'Investments' THEN m.budgeted ELSE 0 END AS investments_assigned,
-         CASE WHEN g.category_group_name_mapping = 'Emergency Fund' THEN m.balance ELSE 0 END AS emergency_fund_balance,
-         CASE WHEN g.category_group_name_mapping = 'Savings' THEN m.balance ELSE 0 END AS savings_balance,
-         CASE WHEN g.category_group_name_mapping = 'Investments' THEN m.balance ELSE 0 END AS investments_balance,
-         CASE WHEN g.category_group_name_mapping = 'Net Zero Expenses' THEN m.balance ELSE 0 END AS net_zero_balance
-  FROM c_month m LEFT JOIN c_grp g ON m.category_group_id = g.id),
-cb_stub AS (
-  SELECT pay_date, round(earnings_custom_calc, 2) AS earnings_actual,
-         round(pre_tax_deductions_custom_calc, 2) AS pre_tax_deductions,
-         round(retirement_fund_custom_calc, 2) AS retirement_fund, round(pre_tax_hsa, 2) AS hsa,
-         round(taxes_custom_calc, 2) AS taxes, round(post_tax_deductions_custom_calc, 2) AS post_tax_deductions,
-         round(deductions_custom_calc, 2) AS deductions, round(net_pay_custom_calc, 2) AS net_pay,
-         round(earnings_expense_reimbursement, 2) AS income_for_reimbursements,
-         round(earnings_salary, 2) AS salary, round(bonus_custom_calc, 2) AS bonus
-  FROM c_stub),
+  SELECT m.id AS category_id, m.budget_month, m.category_name, g.category_group_name_mapping,
+         g.subcategory_group_name, m.budgeted, m.activity, m.balance
+  FROM c_grp g RIGHT JOIN c_month m ON g.id = m.category_group_id),
+last_day AS (SELECT CAST(max(t) AS DATE) AS d
+             FROM (SELECT max(o_orderdate) AS t FROM orders UNION ALL SELECT max(l_shipdate) FROM lineitem)),
+months AS (
+  SELECT CAST(unnest(generate_series(date_trunc('month', (SELECT min(transaction_date) FROM c_tx)),
+                                     (SELECT d FROM last_day), INTERVAL 1 MONTH)) AS DATE) AS budget_month),
 cb_spine AS (
-  SELECT CAST(gs.generate_series AS DATE) AS budget_month, c.id AS category_id, c.category_name,
-         g.category_group_name_mapping, g.subcategory_group_name
-  FROM generate_series((SELECT CAST(min(date_trunc('month', transaction_date)) AS DATE) FROM c_tx),
-                       DATE '{AS_OF}', INTERVAL 1 MONTH) AS gs
-  CROSS JOIN c_cat c
-  LEFT JOIN c_grp g ON c.category_group_id = g.id),
+  SELECT budget_month, id AS category_id, category_name, category_group_name_mapping, subcategory_group_name
+  FROM months, (SELECT c_cat.id, category_name, category_group_name_mapping, subcategory_group_name
+                FROM c_cat LEFT JOIN c_grp ON c_grp.id = category_group_id)),
 cb_tx AS (
   SELECT x.id, x.transaction_date, c.id AS category_id, c.category_group_id, c.category_name,
          g.category_group_name_mapping, g.subcategory_group_name, x.amount, x.memo,
@@ -231,71 +268,54 @@ cb_tx AS (
   LEFT JOIN c_acct a ON x.account_id = a.id),
 d_mt AS (
   SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS transaction_month, category_id,
-         sum(CASE WHEN category_group_name_mapping = 'Income' THEN amount ELSE 0 END) AS income,
-         sum(CASE WHEN category_name LIKE '%HSA%' THEN -amount ELSE 0 END) AS emergency_fund_in_hsa,
-         sum(CASE WHEN category_group_name_mapping = 'Needs' THEN amount ELSE 0 END) AS needs_spend,
-         sum(CASE WHEN category_group_name_mapping = 'Wants' THEN amount ELSE 0 END) AS wants_spend,
-         sum(CASE WHEN category_group_name_mapping = 'Savings' THEN amount ELSE 0 END) AS savings_spend,
-         sum(CASE WHEN category_group_name_mapping = 'Emergency Fund' THEN amount ELSE 0 END) AS emergency_fund_spend
-  FROM cb_tx GROUP BY 1, 2),
+         {", ".join(f"coalesce(sum(amount) FILTER (category_group_name_mapping = '{g}'), 0) AS {m}" for m, g in SPENT.items())},
+         coalesce(-sum(amount) FILTER (contains(category_name, 'HSA')), 0) AS emergency_fund_in_hsa
+  FROM cb_tx GROUP BY ALL),
 d_mb AS (
-  SELECT budget_month, category_id, {", ".join(f"sum({c}) AS {c}" for c in MB_COLS)}
-  FROM cb_budg GROUP BY 1, 2),
+  SELECT budget_month, category_id, {", ".join(f"sum({v}) AS {m}" if g is None else
+         f"coalesce(sum({v}) FILTER (category_group_name_mapping = '{g}'), 0) AS {m}" for m, (v, g) in BUDGET.items())}
+  FROM cb_budg GROUP BY ALL),
 d_mp AS (
   SELECT CAST(date_trunc('month', pay_date) AS DATE) AS pay_month, {", ".join(f"sum({c}) AS {c}" for c in PAY_COLS)}
-  FROM cb_stub GROUP BY 1),
+  FROM cb_stub GROUP BY ALL),
+on_spine AS (
+  SELECT month, measure, v FROM (
+    SELECT transaction_month AS month, category_id, unnest({MT_COLS}) AS measure,
+           unnest([{", ".join(f"{c}::DECIMAL(38,3)" for c in MT_COLS)}]) AS v FROM d_mt
+    UNION ALL
+    SELECT budget_month, category_id, unnest({MB_COLS}), unnest([{", ".join(f"{c}::DECIMAL(38,3)" for c in MB_COLS)}]) FROM d_mb)
+  WHERE category_id IN (SELECT id FROM c_cat) AND month IN (SELECT budget_month FROM months)),
+paid AS (
+  SELECT pay_month AS month, unnest({PAY_COLS}) AS measure,
+         unnest([{", ".join(f"{c}::DECIMAL(38,3)" for c in PAY_COLS)}]) AS v FROM d_mp),
 d_tb AS (
-  SELECT s.budget_month, sum(t.income) AS income, sum(t.needs_spend) AS needs_spend,
-         sum(t.wants_spend) AS wants_spend, sum(t.savings_spend) AS savings_spend,
-         sum(t.emergency_fund_spend) AS emergency_fund_spend, sum(b.savings_assigned) AS savings_assigned,
-         sum(b.emergency_fund_assigned) AS emergency_fund_assigned,
-         sum(b.investments_assigned) AS investments_assigned, sum(t.emergency_fund_in_hsa) AS emergency_fund_in_hsa,
-         sum(t.needs_spend + t.wants_spend + t.savings_spend + t.emergency_fund_spend) AS spent
-  FROM cb_spine s
-  LEFT JOIN d_mt t ON s.category_id = t.category_id AND s.budget_month = t.transaction_month
-  LEFT JOIN d_mb b ON s.budget_month = b.budget_month AND s.category_id = b.category_id
-  GROUP BY s.budget_month),
+  SELECT budget_month, {", ".join(_only(c) for c in TB_COLS)},
+         {_only("spent", "needs_spend wants_spend savings_spend emergency_fund_spend")}
+  FROM months LEFT JOIN on_spine ON month = budget_month GROUP BY ALL),
+fact_days AS (
+  SELECT transaction_date AS day, false AS planned FROM cb_tx
+  UNION ALL SELECT pay_date, false FROM c_stub_typed
+  UNION ALL SELECT budget_month, true FROM c_month),
 d_dates AS (
-  SELECT CAST(generate_series AS DATE) AS budget_month
-  FROM generate_series(
-    (SELECT least((SELECT min(transaction_month) FROM d_mt), (SELECT min(budget_month) FROM d_mb),
-                  (SELECT min(pay_month) FROM d_mp))),
-    (SELECT greatest((SELECT max(transaction_month) FROM d_mt), (SELECT max(pay_month) FROM d_mp))),
-    INTERVAL 1 MONTH)),
+  SELECT CAST(unnest(generate_series(date_trunc('month', min(day)), date_trunc('month', max(day) FILTER (NOT planned)),
+                                     INTERVAL 1 MONTH)) AS DATE) AS budget_month
+  FROM fact_days),
 d_monthly AS (
-  SELECT d.budget_month,
-         coalesce(p.earnings_actual, 0) AS earnings_actual, coalesce(p.salary, 0) AS salary,
-         coalesce(p.bonus, 0) AS bonus, coalesce(p.pre_tax_deductions, 0) AS pre_tax_deductions,
-         coalesce(p.taxes, 0) AS taxes, coalesce(p.retirement_fund, 0) AS retirement_fund,
-         coalesce(p.hsa, 0) AS hsa, coalesce(p.post_tax_deductions, 0) AS post_tax_deductions,
-         coalesce(p.deductions, 0) AS total_deductions, coalesce(p.net_pay, 0) AS net_pay,
-         coalesce(p.income_for_reimbursements, 0) AS income_for_reimbursements,
-         coalesce(t.income, 0) - coalesce(p.net_pay, 0) AS misc_income,
-         coalesce(t.income, 0) AS total_income,
-         coalesce(t.needs_spend, 0) AS needs_spend, coalesce(t.wants_spend, 0) AS wants_spend,
-         coalesce(t.savings_spend, 0) AS savings_spend, coalesce(t.emergency_fund_spend, 0) AS emergency_fund_spend,
-         coalesce(t.savings_assigned, 0) AS savings_saved, coalesce(t.emergency_fund_assigned, 0) AS emergency_fund_saved,
-         coalesce(t.investments_assigned, 0) AS investments_saved,
-         coalesce(t.emergency_fund_in_hsa, 0) AS emergency_fund_in_hsa,
-         coalesce(t.needs_spend + t.wants_spend + t.savings_spend + t.emergency_fund_spend, 0) AS spent,
-         round(coalesce(t.income, 0) + coalesce(t.spent, 0), 2) AS difference
-  FROM d_dates d
-  LEFT JOIN d_tb t ON d.budget_month = t.budget_month
-  LEFT JOIN d_mp p ON d.budget_month = p.pay_month),
+  SELECT budget_month, {", ".join(f"{'round(' * (c == 'difference')}{_signed(t)}{', 2)' * (c == 'difference')} AS {c}" for c, _, t in REPORT)}
+  FROM d_dates LEFT JOIN (FROM on_spine UNION ALL FROM paid) ON month = budget_month GROUP BY ALL),
 d_yearly AS (
-  SELECT CAST(year(budget_month) AS BIGINT) AS budget_year, {", ".join(f"sum({c}) AS {c}" for c in LEVEL_MEASURES)}
+  SELECT CAST(year(budget_month) AS BIGINT) AS budget_year, {", ".join(f"sum({c}) AS {c}" for c in LINES)}
   FROM d_monthly GROUP BY 1),
+planned AS (
+  SELECT CAST(year(budget_month) AS BIGINT) AS budget_year, category_group_name_mapping,
+         subcategory_group_name AS subcategory_group, category_name, sum(activity) AS spend, sum(budgeted) AS assigned
+  FROM cb_budg GROUP BY ALL),
 cb_yb AS (
-  SELECT o.order_id, a.budget_year, o.category_group, a.category_group_name_mapping, a.subcategory_group,
-         a.category_name, a.spend, a.assigned
-  FROM (SELECT CAST(year(budget_month) AS BIGINT) AS budget_year, category_group_name_mapping,
-               subcategory_group_name AS subcategory_group, category_name,
-               sum(activity) AS spend, sum(budgeted) AS assigned
-        FROM cb_budg
-        WHERE year(budget_month) <= (SELECT max(budget_year) FROM d_yearly)
-          AND category_group_name_mapping NOT IN ('Credit Card Payments', 'Income')
-        GROUP BY 1, 2, 3, 4) a
-  LEFT JOIN c_ord o ON a.category_name = o.category_name),
+  SELECT o.order_id, p.budget_year, o.category_group, p.category_group_name_mapping, p.subcategory_group,
+         p.category_name, p.spend, p.assigned
+  FROM c_ord o RIGHT JOIN planned p ON p.category_name = o.category_name
+  WHERE p.category_group_name_mapping <> 'Income' AND p.category_group_name_mapping <> 'Credit Card Payments'
+    AND make_date(p.budget_year, 1, 1) <= (SELECT max(budget_month) FROM d_dates)),
 d_ycg AS (
   SELECT category_group_name_mapping, budget_year, min(order_id) AS order_id, sum(spend) AS spend,
          sum(assigned) AS assigned
@@ -306,7 +326,7 @@ d_ysg AS (
 d_lines AS (
   {" UNION ALL ".join(f"SELECT budget_year, '{label}' AS paycheck_column, "
                       f"CAST({col} AS DECIMAL(38,3)) AS paycheck_value FROM d_yearly"
-                      for label, col in PAYCHECK_LINES)}),
+                      for label, col in PAYCHECK)}),
 d_pay AS (
   SELECT l.budget_year, l.paycheck_column, l.paycheck_value, o.order_id
   FROM d_lines l
@@ -358,7 +378,7 @@ def _overview(level: str) -> str:
         first, src = "strftime(budget_month, '%-m/%Y') AS \"Month\"", "d_monthly"
     else:
         first, src = "budget_year AS \"Year\"", "d_yearly"
-    cols = ", ".join(f"{D(c)} AS \"{t}\"" for c, t in zip(LEVEL_MEASURES, OVERVIEW_TITLES))
+    cols = ", ".join(f"{D(c)} AS \"{t}\"" for c, t, _ in REPORT)
     return _with(f"SELECT {first}, {cols} FROM {src}")
 
 
@@ -386,7 +406,7 @@ SQL = {
                CAST(month(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH) AS BIGINT),
                CAST(year(date_trunc('month', o_orderdate) + INTERVAL 1 MONTH) AS BIGINT)
         FROM orders""",
-    "row_ids": "SELECT row_number() OVER (ORDER BY o_orderkey) AS row_id, o_orderkey FROM orders",
+    "row_ids": "SELECT row_number() OVER () AS row_id, o_orderkey FROM orders",
     "typed_from_text": _with(
         "SELECT file_name, pay_period_start_date, pay_period_end_date, pay_date, "
         + _money(["net_pay_total", "earnings_total", "earnings_salary", "earnings_bonus", "pre_tax_401k",
@@ -437,11 +457,11 @@ SQL = {
     "date_range": _with("SELECT budget_month FROM d_dates"),
     "record_spine": _with("SELECT budget_month, category_id, category_name, category_group_name_mapping, "
                           "subcategory_group_name FROM cb_spine"),
-    "dense_rollup": _with(f"SELECT budget_month, {_money(TB_COLS)} FROM d_tb"),
+    "dense_rollup": _with(f"SELECT budget_month, {_money([*TB_COLS, 'spent'])} FROM d_tb"),
     "pay_measures": _with(f"SELECT pay_date, {_money(STUB_OUT)} FROM cb_stub"),
     "pay_monthly": _with(f"SELECT pay_month, {_money(PAY_COLS)} FROM d_mp"),
-    "monthly_level": _with(f"SELECT budget_month, {_money(LEVEL_MEASURES)} FROM d_monthly"),
-    "yearly_level": _with(f"SELECT budget_year, {_money(LEVEL_MEASURES)} FROM d_yearly"),
+    "monthly_level": _with(f"SELECT budget_month, {_money(LINES)} FROM d_monthly"),
+    "yearly_level": _with(f"SELECT budget_year, {_money(LINES)} FROM d_yearly"),
     "yearly_budgeted": _with("SELECT order_id, budget_year, category_group, category_group_name_mapping, "
                              "subcategory_group, category_name, " + _money(["spend", "assigned"]) + " FROM cb_yb"),
     "yearly_group": _with("SELECT category_group_name_mapping, budget_year, order_id, "
@@ -464,8 +484,8 @@ SQL = {
     "chart_yearly_income": _chart("yearly", "yearly_income"),
     "chart_yearly_paycheck": _chart("yearly", "paycheck_breakdown"),
     "chart_yearly_spending": _chart("yearly", "spending_breakdown"),
-    "dash_extract_monthly": _with(f"SELECT budget_month, {_money(EXTRACT_MEASURES)} FROM d_monthly"),
-    "dash_extract_yearly": _with(f"SELECT budget_year, {_money(EXTRACT_MEASURES)} FROM d_yearly"),
+    "dash_extract_monthly": _with(f"SELECT budget_month, {_money(LINES)} FROM d_monthly"),
+    "dash_extract_yearly": _with(f"SELECT budget_year, {_money(LINES)} FROM d_yearly"),
     "overview_labels_monthly": _overview("monthly"),
     "overview_labels_yearly": _overview("yearly"),
     "serve_year_slice": _with("SELECT budget_year, paycheck_column AS \"Paycheck Value\", "
@@ -506,6 +526,110 @@ SQL = {
                   f"FROM orders",
 }
 
+# The declared grains, as model -> (table of the chain above, key).
+GRAIN_KEYS = {
+    "raw.accounts": ("l_acct", "id"), "raw.category_groups": ("l_grp", "id"), "raw.subtransactions": ("l_sub", "id"),
+    "raw.transactions": ("l_tx", "id"), "raw.paystubs": ("l_stub", "file_name, pay_period_start_date"),
+    "raw.monthly_categories": ("l_month", "id"), "cleaned.accounts": ("c_acct", "id"),
+    "cleaned.category_groups": ("c_grp", "id"), "cleaned.sub_transactions": ("c_sub", "id"),
+    "cleaned.transactions": ("c_tx", "id"), "cleaned.paystubs": ("c_stub_typed", "file_name, pay_period_start_date"),
+    "cleaned.monthly_categories": ("c_month", "id"), "cleaned.categories": ("c_cat", "id"),
+    "cleaned.category_orders": ("c_ord", "order_id"), "combined.budgeted": ("cb_budg", "budget_month, category_id"),
+    "combined.paystubs": ("cb_stub", "pay_date"), "combined.record_spine": ("cb_spine", "budget_month, category_id"),
+    "combined.transactions": ("cb_tx", "id"), "combined.yearly_budgeted": ("cb_yb", "order_id, budget_year"),
+    "dashboards.monthly_level": ("d_monthly", "budget_month"), "dashboards.yearly_level": ("d_yearly", "budget_year"),
+    "dashboards.yearly_category_group": ("d_ycg", "category_group_name_mapping, budget_year"),
+    "dashboards.yearly_subcategory_group": ("d_ysg", "subcategory_group, budget_year"),
+    "dashboards.yearly_needs": ("(FROM cb_yb WHERE category_group = 'Needs')", "category_name, budget_year"),
+    "dashboards.yearly_wants": ("(FROM cb_yb WHERE category_group = 'Wants')", "category_name, budget_year"),
+    "dashboards.yearly_other": ("(FROM cb_yb WHERE category_group = 'Other')", "category_name, budget_year"),
+    "dashboards.yearly_paychecks": ("d_pay", "budget_year, paycheck_column"),
+}
+
+# The columns of each raw model; '=' gives the analog's value where the table above has no such column,
+# a leading '-' marks a column that the analog does not fill.
+RAW_LISTS = {
+    "accounts": ("l_acct", "id name type on_budget closed -note balance cleared_balance=balance uncleared_balance=0 "
+                           "-transfer_payee_id -last_reconciled_at"),
+    "category_groups": ("l_grp", "id name hidden=false deleted=false"),
+    "subtransactions": ("l_sub", "id transaction_id amount memo -payee_id category_id -transfer_account_id -deleted"),
+    "transactions": ("l_tx", "id date amount memo -cleared -approved -flag_color account_id -payee_id category_id "
+                             "-transfer_account_id -transfer_transaction_id -matched_transaction_id -import_id "
+                             "import_payee_name=payee_name -import_payee_name_original -debt_transaction_type -deleted"),
+    "paystubs": ("l_stub", "file_name employer pay_period_start_date pay_period_end_date pay_date "
+                           + " ".join(STUB_TEXT_COLS)),
+    "monthly_categories": ("l_month", "id category_group_id name hidden -original_category_group_id -note budgeted "
+                                      "activity balance -goal_type -goal_needs_whole_amount -goal_day -goal_cadence "
+                                      "-goal_cadence_frequency -goal_creation_month -goal_target -goal_target_month "
+                                      "-goal_percentage_complete -goal_months_to_budget -goal_under_funded "
+                                      "-goal_overall_funded -goal_overall_left -deleted month year"),
+}
+
+
+def _raw_columns() -> str:
+    rows = []
+    for model, (source, columns) in RAW_LISTS.items():
+        for place, c in enumerate(columns.split(), 1):
+            name, _, value = c.lstrip("-").partition("=")
+            value = "NULL" if c.startswith("-") else value or name
+            rows.append(f"SELECT '{model}' AS model, {place} AS place, '{name}' AS column_name, count(*) AS n_rows, "
+                        f"count({value}) AS n_values FROM {source}")
+    return _with("\nUNION ALL\n".join(rows))
+
+
+# Served orders: key -> (table, columns shown, total order).
+ORDERS = {
+    "ordered_transactions": ("c_tx", "id, transaction_date", "transaction_date DESC, amount DESC, id"),
+    "ordered_category_orders": ("c_ord", "order_id, category_name", "order_id"),
+    "ordered_budgeted": ("cb_budg", "budget_month, category_id", "budget_month DESC, category_id DESC"),
+    "ordered_paystubs": ("cb_stub", "pay_date, net_pay::DOUBLE AS net_pay", "pay_date DESC, net_pay"),
+    "ordered_combined_transactions": ("cb_tx", "id, transaction_date, amount::DOUBLE AS amount",
+                                      "transaction_date DESC, id, amount"),
+    "ordered_monthly_level": ("d_monthly", "budget_month, spent::DOUBLE AS spent", "budget_month DESC"),
+    "ordered_yearly_level": ("d_yearly", "budget_year, spent::DOUBLE AS spent", "budget_year DESC"),
+    "ordered_yearly_paychecks": ("d_pay", "budget_year, order_id, paycheck_column", "budget_year, order_id, paycheck_column"),
+}
+
+
+def _ordered(table: str, shown: str, order: str) -> str:
+    keys = ", ".join(f"{k} NULLS LAST" for k in order.split(", "))
+    return _with(f"SELECT {shown}, row_number() OVER (ORDER BY {keys}) AS position FROM {table}")
+
+
+# Report blocks: block -> (table, condition, columns with their titles).
+BLOCKS = {
+    "needs": ("cb_yb", "category_group = 'Needs'", 'subcategory_group AS "Subcategory Group", category_name AS "Needs", spend::DOUBLE AS "Spend"'),
+    "wants": ("cb_yb", "category_group = 'Wants'", 'subcategory_group AS "Subcategory Group", category_name AS "Wants", spend::DOUBLE AS "Spend"'),
+    "other": ("cb_yb", "category_group = 'Other'", 'category_name AS "Other", assigned::DOUBLE AS "Assigned", spend::DOUBLE AS "Spend"'),
+    "category_group": ("d_ycg", "true", 'category_group_name_mapping AS "Category Group", assigned::DOUBLE AS "Assigned", spend::DOUBLE AS "Spend"'),
+    "subcategory_group": ("d_ysg", "true", 'subcategory_group AS "Subcategory Group", assigned::DOUBLE AS "Assigned", spend::DOUBLE AS "Spend"'),
+    "paychecks": ("d_pay", "true", 'paycheck_column AS "Paycheck Value", paycheck_value::DOUBLE AS "Amount"'),
+}
+
+SQL |= {f"serve_year_{block}": _with(f"SELECT budget_year, {cols} FROM {table} WHERE {where} AND budget_year = {REPORT_YEAR}")
+        for block, (table, where, cols) in BLOCKS.items()}
+SQL |= {key: _ordered(*spec) for key, spec in ORDERS.items()}
+SQL |= {
+    "serve_where": _with("SELECT order_id, budget_year, category_name, " + _money(["spend", "assigned"])
+                         + " FROM cb_yb WHERE category_group = 'Needs' AND spend < -100"),
+    "raw_columns": _raw_columns(),
+    "grain_report": _with("\nUNION ALL\n".join(
+        f"SELECT '{model}' AS model, count(*) AS duplicate_keys, CAST(coalesce(sum(n), 0) AS BIGINT) AS duplicate_rows "
+        f"FROM (SELECT count(*) AS n FROM {table} GROUP BY {key} HAVING n > 1)"
+        for model, (table, key) in GRAIN_KEYS.items())),
+    "pipeline_monthly": _with(f"SELECT budget_month, {_money(LINES)} FROM d_monthly"),
+    "flatten_groups": _with("SELECT CAST(id AS VARCHAR) AS id, name FROM l_grp"),
+    "flatten_accounts": _with("SELECT CAST(id AS VARCHAR) AS id, name, type, on_budget, closed, balance FROM l_acct"),
+    "flatten_subtransactions": _with("SELECT id, CAST(transaction_id AS VARCHAR) AS transaction_id, amount, memo, "
+                                     "CAST(category_id AS VARCHAR) AS category_id FROM l_sub"),
+    "ingest_latest": "SELECT CAST(o_custkey AS VARCHAR) AS budget_id, CAST(o_orderkey AS VARCHAR) AS id, "
+                     "strftime(o_orderdate, '%Y-%m-%d') AS date, CAST(round(o_totalprice * 1000) AS BIGINT) AS amount FROM orders",
+    "sheet_csv_roundtrip": "SELECT row_number() OVER (ORDER BY p_partkey) AS row_id, p_type AS category_group, "
+                           "CASE WHEN p_type = 'PROMO' THEN '' ELSE p_brand END AS subcategory_group, "
+                           "'say \"' || p_name || '\", ' || p_brand || chr(10) || '#' || CAST(p_partkey AS VARCHAR) AS category_name "
+                           "FROM part",
+}
+
 # Date columns leave every query as ISO text, as on the Spark side (``catalogue._dates_as_text``).
 DATE_OUTPUTS = {
     "typed_from_text": ["pay_period_start_date", "pay_period_end_date", "pay_date"],
@@ -516,7 +640,9 @@ DATE_OUTPUTS = {
     "pay_measures": ["pay_date"], "pay_monthly": ["pay_month"], "monthly_level": ["budget_month"],
     "chart_monthly_overview": ["budget_month"], "chart_monthly_income": ["budget_month"],
     "chart_monthly_paycheck": ["budget_month"], "chart_monthly_spending": ["budget_month"],
-    "dash_extract_monthly": ["budget_month"],
+    "dash_extract_monthly": ["budget_month"], "pipeline_monthly": ["budget_month"],
+    "ordered_transactions": ["transaction_date"], "ordered_budgeted": ["budget_month"], "ordered_paystubs": ["pay_date"],
+    "ordered_combined_transactions": ["transaction_date"], "ordered_monthly_level": ["budget_month"],
 }
 
 
@@ -561,6 +687,22 @@ INT_OUTPUTS = {
     'dropped_facts': ['rows'],
     'sanitize_nonfinite': ['event_id'],
     'sink_count': ['written_rows'],
+    **{f'serve_year_{block}': ['budget_year'] for block in BLOCKS},
+    'serve_where': ['order_id', 'budget_year'],
+    'raw_columns': ['place', 'n_rows', 'n_values'],
+    'grain_report': ['duplicate_keys', 'duplicate_rows'],
+    'flatten_accounts': ['balance'],
+    'flatten_subtransactions': ['amount'],
+    'ingest_latest': ['amount'],
+    'sheet_csv_roundtrip': ['row_id'],
+    'ordered_transactions': ['id', 'position'],
+    'ordered_category_orders': ['order_id', 'position'],
+    'ordered_budgeted': ['category_id', 'position'],
+    'ordered_paystubs': ['position'],
+    'ordered_combined_transactions': ['id', 'position'],
+    'ordered_monthly_level': ['position'],
+    'ordered_yearly_level': ['budget_year', 'position'],
+    'ordered_yearly_paychecks': ['budget_year', 'order_id', 'position'],
 }
 
 

@@ -7,7 +7,7 @@ and partitions the output), never a driver loop of one query per year and block.
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -92,18 +92,10 @@ def overview_labels(level: DataFrame, grain: str) -> DataFrame:
                         *[to_units(m).alias(t) for m, t in zip(LEVEL_MEASURES, OVERVIEW_TITLES)])
 
 
-# Columns of the chart extracts (salary and bonus included: the monthly income chart uses them).
-EXTRACT_MEASURES = [
-    "earnings_actual", "salary", "bonus", "pre_tax_deductions", "taxes", "retirement_fund", "hsa",
-    "post_tax_deductions", "total_deductions", "net_pay", "income_for_reimbursements", "misc_income",
-    "total_income", "needs_spend", "wants_spend", "savings_spend", "emergency_fund_spend",
-    "savings_saved", "emergency_fund_saved", "investments_saved", "emergency_fund_in_hsa", "spent",
-    "difference",
-]
-
-
 def dashboard_extract(level: DataFrame, key: str) -> DataFrame:
-    return level.select(key, *[to_units(m).alias(m) for m in EXTRACT_MEASURES])
+    """Every measure of the chart pages (salary and bonus included: the monthly income chart uses them)."""
+    from abacus.plans.models import LEVEL_MEASURES
+    return level.select(key, *[to_units(m).alias(m) for m in LEVEL_MEASURES])
 
 
 def _c(name: str) -> Column:
@@ -181,10 +173,12 @@ def year_block(model_df: DataFrame, block: str, year: int | None = None) -> Data
     return df.select("budget_year", *[F.col(c).alias(t) for c, t in cols])
 
 
-def write_year_blocks(models: dict[str, DataFrame], out_root: str, fmt: str = "parquet") -> dict[str, str]:
-    """Write every block for every year: one job per block, partitioned by ``budget_year``."""
+def write_year_blocks(models: Mapping[str, DataFrame], out_root: str, fmt: str = "parquet",
+                      blocks: Sequence[str] | None = None) -> dict[str, str]:
+    """Write every block (or the named ones) for every year: one job per block, partitioned by ``budget_year``."""
     paths = {}
-    for block, (model, _) in YEAR_BLOCKS.items():
+    for block in YEAR_BLOCKS if blocks is None else blocks:
+        model, _ = YEAR_BLOCKS[block]
         path = os.path.join(out_root, block)
         writer = year_block(models[model], block).write.mode("overwrite").partitionBy("budget_year")
         if fmt == "csv":

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from abacus import schemas
 from abacus.functions.dates import iso_date
+from abacus.operators.latest import latest_per_key
 
 # Landing name of each flat entity.
 ENTITY_LANDING = {
@@ -52,6 +53,17 @@ def current_budget(budgets: DataFrame, budget_id: str | None = None) -> DataFram
     return budgets.where(F.struct("saved_at", "source", "place") == newest).select("budget")
 
 
+def current_budgets(budgets: DataFrame) -> DataFrame:
+    """The newest document of every budget, with its ``budget_id`` next to it (documents without
+    an id count as one budget). Flattened rows carry the id, as one budget's ids may recur in another.
+
+    A partial aggregate: each task keeps one document per budget. Expects the columns of
+    ``read_budget_documents(..., with_source=True)``.
+    """
+    named = budgets.withColumn("budget_id", F.col("budget.id"))
+    return latest_per_key(named, ["budget_id"], ["saved_at", "source", "place"]).select("budget_id", "budget")
+
+
 def parse_budget_documents(df: DataFrame, text_col: str) -> DataFrame:
     """Documents held as JSON text in a column -> the same ``budget`` struct column."""
     doc = F.from_json(F.col(text_col), schemas.DOCUMENT)

