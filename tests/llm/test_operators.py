@@ -211,6 +211,29 @@ def test_mixing_meets_weights_and_budget(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mixing_takes_any_number_of_sources(spark):
+    df = spark.range(16_000).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('w ', 1 + int(id % 9))").alias("text"),
+        F.expr("case when id < 4000 then 'hot' else concat('site', id % 10500) end").alias("source")).cache()
+    sizes = df.groupBy("source").agg(F.sum(mixing.n_tokens(F.col("text"))).alias("t")).collect()
+    assert len(sizes) > 10_000
+    for share in (None, 1.0):
+        size = None if share is None else float(sum(r.t for r in sizes))
+        want = mixing.plan([float(r.t) for r in sizes], 0.99, budget=size)
+        got = mixing.mix(df, 0.99, budget_share=share, block_tokens=500).cache()
+        visits = {r.source: r.t for r in got.groupBy("source").agg(F.sum("n_tokens").alias("t")).collect()}
+        assert want.exponent < 1
+        for r, p in zip(sizes, want.passes, strict=True):
+            assert p * r.t - 11 <= visits.get(r.source, 0) <= p * r.t + 1e-6
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        shuffled = mixing.mix(df, 0.99, block_tokens=500).select("doc_id", "pass").collect()
+        assert sorted(shuffled) == sorted(got.select("doc_id", "pass").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_toxicity_learns_and_ignores_held_out(spark):
     rng = random.Random(8)
     rows, labels = [], []
