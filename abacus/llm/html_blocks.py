@@ -32,7 +32,14 @@ SEED = 3
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr img".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template svg math iframe object select canvas".split())
+RAW = frozenset("script style textarea iframe".split())
+# Inline elements that leave a token in the path of a leaf that lies in them altogether.
+EMBEDS = frozenset("svg math object select canvas template noscript".split())
+# What they hold are leaves of their own, after the block around them.
+ASIDE = frozenset("svg select".split())
+# Tags of HTML that end svg and math, closed or not.
+BREAKS = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+                   "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header "
                      "hr main menu nav ol p pre section table ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -52,26 +59,56 @@ class Leaf:
 
 
 def leaves(page: str) -> list[Leaf]:
-    """The text blocks of a page in order, white space collapsed and references decoded."""
+    """The text blocks of a page in order, white space collapsed and references decoded.
+
+    Only comments and raw text (RAW) are left out, to the end of the page if its end tag is
+    missing, as browsers do. Other embedded elements are read; a missing end tag loses nothing:
+    svg and math end at the next tag of HTML, select at the next block, others are passed over.
+    """
     out: list[Leaf] = []
+    inside: list[tuple[str, int]] = []  # open EMBEDS and how deep the stack was
+    common: tuple[str, ...] | None = None  # those around all that is held
+    around: list[tuple] = []  # what was held where an ASIDE element began
+    later: list[Leaf] = []
+    unclosed: set[str] = set()  # no end tag from here on
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
     links, linked, at = 0, 0, 0
 
     def flush():
-        nonlocal linked
+        nonlocal linked, common
         if held:
             text = " ".join(html.unescape("".join(held)).split())
             if text:
-                out.append(Leaf(tuple(t for _, tokens in stack for t in tokens), text, linked))
+                path = (*(t for _, tokens in stack for t in tokens), *(common or ()))
+                (later if around else out).append(Leaf(path, text, linked))
             held.clear()
-        linked = 0
+        linked, common = 0, None
+        if not around and later:
+            out.extend(later)
+            later.clear()
 
     def say(text):
-        nonlocal linked
+        nonlocal linked, common
         held.append(text)
         if links:
             linked += len(text)
+        if (inside or common) and not text.isspace():
+            names = tuple(n for n, _ in inside)
+            same = sum(x == y for x, y in zip(names, common)) if common is not None else len(names)
+            common = names[:same]
+        elif common is None and not text.isspace():
+            common = ()
+
+    def leave(i):
+        """Close inside[i:]."""
+        nonlocal linked, common
+        while len(inside) > i:
+            if inside[-1][0] in ASIDE:
+                flush()
+                kept, linked, common = around.pop()
+                held[:] = kept
+            inside.pop()
 
     while True:
         tag = _TAG.search(page, at)
@@ -85,12 +122,38 @@ def leaves(page: str) -> list[Leaf]:
         if not name:
             continue
         name = name.lower()
-        if name in RAW or name in ("textarea", "noscript"):
+        if name in RAW:
             if not closing and not rest.endswith("/"):
-                flush()
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
             continue
+        if name in EMBEDS:
+            if closing:
+                for i in range(len(inside) - 1, -1, -1):
+                    if inside[i][0] == name:
+                        leave(i)
+                        break
+            elif not rest.endswith("/") and name not in unclosed:
+                if name not in ASIDE and name != "math" and not re.compile(rf"</{name}\b", re.I).search(page, at):
+                    unclosed.add(name)
+                    continue
+                if name in ASIDE:
+                    if inside and inside[-1][0] == name:
+                        leave(len(inside) - 1)
+                    around.append((held[:], linked, common))
+                    held.clear()
+                    linked, common = 0, None
+                inside.append((name, len(stack)))
+            continue
+        if inside and inside[-1][0] in ("svg", "math"):
+            if name in BREAKS if not closing else name in ("p", "br") or any(name == n for n, _ in stack):
+                leave(next(i for i, (n, _) in enumerate(inside) if n in ("svg", "math")))
+            elif name != "a":
+                if inside[-1][0] == "svg":
+                    held.append(" ")
+                continue
+        elif around and name not in INLINE and name not in ("option", "optgroup", "hr", "br"):
+            leave(next(i for i, (n, _) in enumerate(inside) if n in ASIDE))
         if name in INLINE:
             if name == "a":
                 links = 0 if closing else 1
@@ -100,10 +163,14 @@ def leaves(page: str) -> list[Leaf]:
             continue
         flush()
         links = 0
+        if around:
+            continue  # options
         if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
                     del stack[i:]
+                    while inside and inside[-1][1] > i:
+                        inside.pop()
                     break
             continue
         if name in VOID:
@@ -126,6 +193,7 @@ def leaves(page: str) -> list[Leaf]:
             for k, *v in _NAMED.findall(rest):
                 tokens += [w for w in _PART.findall("".join(v).lower())]
         stack.append((name, tuple(tokens)))
+    leave(0)
     flush()
     return out
 
@@ -318,11 +386,14 @@ AFTER = ("<footer>{}</footer>", '<div class="footer">{}</div>', "<aside>{}</asid
          '<div class="subscribe">{}</div>', '<div class="sponsored">{}</div>', '<div class="author-bio">{}</div>')
 INSIDE = ('<aside>{}</aside>', '<div class="ad">{}</div>', '<div class="share">{}</div>', '<div class="related">{}</div>',
           '<form>{}</form>', '<div class="newsletter">{}</div>', '<nav class="toc">{}</nav>', '<div class="comments">{}</div>')
+EMBEDDED = ("<object><p>{}</p></object>", "<noscript><p>{}</p></noscript>", "<canvas><p>{}</p></canvas>", "<template><p>{}</p></template>",
+            "<p><math><mi>{}</mi></math></p>", "<p>{} <svg><title>{}</title></svg></p>", "<p>{} <select><option>{}</option></select></p>")
 _MARK = "\ue000"
 
 
-def compose(rng: np.random.Generator, pool: list[str]) -> str:
-    """A training page; texts of its article begin with a mark."""
+def compose(rng: np.random.Generator, pool: list[str], embeds: float = 0.0) -> str:
+    """A training page; texts of its article begin with a mark. So large a part of the
+    article's blocks, ``embeds``, has embedded elements."""
     def text() -> str:
         return html.escape(pool[rng.integers(len(pool))])
 
@@ -343,6 +414,8 @@ def compose(rng: np.random.Generator, pool: list[str]) -> str:
         return str(rng.choice(shapes)).format(inner)
 
     def block() -> str:
+        if embeds and rng.random() < embeds:
+            return EMBEDDED[rng.integers(len(EMBEDDED))].format(_MARK + text(), short())
         kind = rng.random()
         if kind < 0.68:
             return f"<p>{_MARK}{text() if rng.random() < 0.8 else short()}</p>"
@@ -382,6 +455,7 @@ def fit(pages: list[str], composed: int = COMPOSED, seed: int = SEED) -> Net:
     pool = sorted({leaf.text.replace(_MARK, "") for page in pages for leaf in leaves(page)} - {""}) or ["word"]
     rng = np.random.default_rng(seed)
     found = [labelled(compose(rng, pool)) for _ in range(composed)]
+    found += [labelled(compose(rng, pool, embeds=0.4)) for _ in range(composed // 5)]
     net = Net(PATH_SIZE + WORD_SIZE + FIGURES)
     net.fit([p for p in found if len(p[0])])
     return net
@@ -418,7 +492,7 @@ def extract(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, html_col: str =
     """Add ``out``, the main text of each page, and n_chars, its code points.
 
     Null and empty pages, and pages without a block of main text, have an empty text. Pages are
-    read whole and judged one by one, repeated ones alike; columns of these names are replaced.
+    read whole but for comments and raw text (script, style, textarea, iframe) and judged one by one, repeated ones alike; columns of these names are replaced.
     """
     bounded_batches(pages.sparkSession)
     shared = share(pages.sparkSession, train(pages, sample_pages, html_col))

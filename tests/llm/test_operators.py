@@ -272,6 +272,29 @@ def test_html_blocks_extract_the_article(spark):
     assert got[2].text == got[3].text == "" and got[2].n_chars == 0 and got[5].text.count("\n") == 4999
 
 
+def test_html_embedded_elements_lose_nothing():
+    def read(page):
+        return [(leaf.path[-1], leaf.text) for leaf in html_blocks.leaves(page)]
+
+    for name in ("svg", "math", "object", "select", "canvas", "template", "noscript"):
+        assert [t for _, t in read(f"<article><p>One</p><{name}><p>Two</p><p>Three</p></article>")] == ["One", "Two", "Three"]
+    assert read('<p>One <svg class="i"><path d="M0"/><title>Icon</title></svg> two <math><mi>x</mi></math> <noscript><img></noscript>three</p>') == [
+        ("p", "One two x three"), ("svg", "Icon")]
+    assert read("<p>Pick <select><option>A<option>B</select> now</p>") == [("p", "Pick now"), ("select", "A"), ("select", "B")]
+    assert read("<div><canvas>x</div><p>y</p><p>a<script><p>no</p></script>b</p><style>gone <p>z</p>") == [
+        ("div", "x"), ("p", "y"), ("p", "ab")]
+    pool = [t for t in texts(3) if t.strip() and len(t) < 900]
+    net = html_blocks.fit([f"<p>{t}</p>" for t in pool], composed=400)
+    page = f"<nav><ul><li><a>Home</a></li></ul></nav><article><p>{pool[3]}.</p>{{}}<p>{pool[5]}.</p><p>{pool[6]}.</p></article>"
+    whole, *others = html_blocks.main_text([page.format(e) for e in ("", "<svg>", "<canvas>", "<object>", "<noscript>")], net)
+    assert whole.count("\n") == 2 and others == [whole] * 4
+    rng = np.random.default_rng(5)
+    test = [html_blocks.labelled(html_blocks.compose(rng, pool, embeds=0.4)) for _ in range(80)]
+    test = [t for t in test if len(t[0])]
+    right = np.concatenate([p == (y > 0) for p, (_, y) in zip(net.predict([x for x, _ in test]), test, strict=True)])
+    assert right.mean() > 0.9
+
+
 def test_url_rules_and_trees(spark):
     urls = ["https://A.example.NET/en/x?y=1", "http://b.net", "http://b.net/", "http://net/x", "http://xnet/x", "http://a.example.com/de/9", "http://c.org/fr/",
             "http://c.org/en/", "no scheme", None, "", "http://é.net/q#/en/"] + [f"http://s{i}.example.net/{'en' if i % 2 else 'de'}/{i}" for i in range(80)]
