@@ -28,6 +28,7 @@ REPEAT_LIMIT = 4.0
 BLOCK_TOKENS = 1_000_000
 SEED = 17
 MAX_BLOCKS = 65_536
+DETAILS = ("n_tokens", "pass", "block", "block_order", "doc_order")
 # Exponents judged in one pass over the sources' sizes, and passes: 8 ** 16 is 2 ** 48.
 PLACES, ROUNDS = 7, 16
 
@@ -139,13 +140,15 @@ def n_tokens(text: Column) -> Column:
 def mix(docs: DataFrame, target: float = ENTROPY, limit: float = REPEAT_LIMIT, budget_share: float | None = 1.0,
         block_tokens: int = BLOCK_TOKENS, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", details: bool = True) -> DataFrame:
-    """Rows of ``docs`` as often as the mix visits them, with ``pass`` (0, 1, ...) and ``n_tokens``.
+    """Rows of ``docs`` as often as the mix visits them, with DETAILS: ``pass`` (0, 1, ...), the
+    document's ``block``, and where both stand: a pass of a source visits its blocks by
+    (block_order, block) and a block's documents by doc_order, hashed anew for every pass.
 
     ``budget_share`` is the budget as a part of the corpus's tokens; None is the smallest budget
     that visits every document at least once. Null sources form a source of their own. Empty
     and null texts count one token. Rows that share id and text are visited or left out of a
     partial pass together; the budget is met to within one such group per source. An empty
-    table gives an empty one. Columns named pass and n_tokens are replaced; without ``details``
+    table gives an empty one. Columns named like DETAILS are replaced; without ``details``
     the rows have the columns of ``docs`` and no others.
 
     What a partial pass takes is told by the block it ends in and, in that block, by the
@@ -169,7 +172,15 @@ def mix(docs: DataFrame, target: float = ENTROPY, limit: float = REPEAT_LIMIT, b
         (F.greatest(F.lit(0.0), F.col("__passes") - F.col("__whole")) * F.col("t")).alias("__owed"))
 
     block = F.pmod(F.xxhash64("__key", F.lit(seed)), F.col("__blocks"))
-    turn = F.struct(F.xxhash64("__source", "__whole", "__block", F.lit(seed)).alias("order"), F.col("__block").alias("block"))
+
+    def turn_of(visit):
+        return F.struct(F.xxhash64("__source", visit, "__block", F.lit(seed)).alias("order"), F.col("__block").alias("block"))
+
+    def order_of(visit):
+        return F.struct(F.xxhash64("__key", visit, F.lit(seed + 1)).alias("order"), F.col("__key").alias("key"))
+
+    # The partial pass comes after the whole ones, so its number is theirs.
+    turn, order = turn_of("__whole"), order_of("__whole")
     placed = rows.join(sources, "__source").withColumn("__block", block)
     blocks = placed.groupBy("__source", "__block", "__whole", "__owed").agg(F.sum("__tokens").alias("size"))
     before = F.sum("size").over(Window.partitionBy("__source").orderBy(turn)
@@ -177,9 +188,8 @@ def mix(docs: DataFrame, target: float = ENTROPY, limit: float = REPEAT_LIMIT, b
     cuts = written(blocks.withColumn("room", F.col("__owed") - before).where("room > 0").withColumn("turn", turn)
                    .groupBy("__source").agg(F.max("turn").alias("__cut"), F.min("room").alias("room")), "mixing-cuts")
 
-    order = F.struct(F.xxhash64("__key", F.lit(seed + 1)).alias("order"), F.col("__key").alias("key"))
     groups = (placed.join(cuts, "__source").where("__block = __cut.block")
-              .groupBy("__source", "room", "__key").agg(F.sum("__tokens").alias("size")))
+              .groupBy("__source", "__whole", "room", "__key").agg(F.sum("__tokens").alias("size")))
     upto = F.sum("size").over(Window.partitionBy("__source").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
     last = (groups.withColumn("upto", upto).where("upto <= room").groupBy("__source").agg(F.max(order).alias("__last")))
     plans = written(sources.drop("__owed").join(cuts.drop("room"), "__source", "left").join(last, "__source", "left"), "mixing-plans")
@@ -190,5 +200,6 @@ def mix(docs: DataFrame, target: float = ENTROPY, limit: float = REPEAT_LIMIT, b
         "__pass", F.explode(F.sequence(F.lit(0), F.col("__visits") - 1)))
     if not details:
         return out.select(*docs.columns)
-    names = [c for c in docs.columns if c not in ("pass", "n_tokens")]
-    return out.select(*names, F.col("__tokens").alias("n_tokens"), F.col("__pass").alias("pass"))
+    names = [c for c in docs.columns if c not in DETAILS]
+    return out.select(*names, F.col("__tokens").alias("n_tokens"), F.col("__pass").alias("pass"), F.col("__block").alias("block"),
+                      turn_of("__pass")["order"].alias("block_order"), order_of("__pass")["order"].alias("doc_order"))

@@ -44,7 +44,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, source, n_tokens, pass) of every visit of the mix."""
+    """(doc_id, source, n_tokens, pass, block, block_order, doc_order) of every visit of the mix."""
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("text")
 
 

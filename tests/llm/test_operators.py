@@ -211,6 +211,24 @@ def test_mixing_meets_weights_and_budget(spark):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mixing_orders_every_pass_anew(spark):
+    rows = [(i, "w " * 9, "big" if i < 900 else "small") for i in range(1000)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), block_tokens=50).collect()
+    passes = {}
+    for r in sorted(got, key=lambda r: (r.block_order, r.block, r.doc_order)):
+        passes.setdefault((r.source, r["pass"]), []).append(r)
+    whole = [p for (s, _), p in sorted(passes.items(), key=lambda kv: kv[0]) if s == "small" and len(p) == 100]
+    assert len(whole) > 1
+    for p in whole:
+        assert len({(r.block, r.block_order) for r in p}) == len({r.block for r in p}) == len({r.block_order for r in p}) > 1
+    first, second = ([list(dict.fromkeys(r.block for r in p)), [r.doc_id for r in p]] for p in whole[:2])
+    assert first[0] != second[0] and sorted(first[0]) == sorted(second[0]) and sorted(first[1]) == sorted(second[1])
+    # A partial pass takes whole blocks in its order and a part of the last.
+    (part,) = [p for (s, n), p in passes.items() if s == "big"]
+    blocks = list(dict.fromkeys(r.block for r in part))
+    assert 1 < len(blocks) < 180 and len(part) < 900
+
+
 def test_mixing_takes_any_number_of_sources(spark):
     df = spark.range(16_000).select(
         F.col("id").alias("doc_id"), F.expr("repeat('w ', 1 + int(id % 9))").alias("text"),
