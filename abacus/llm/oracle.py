@@ -77,4 +77,44 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_links, class_id, doc_id = class_id AS
 FROM documents JOIN least ON doc_id = least.a LEFT JOIN many ON doc_id = many.a
 """
 
-SQL = {"op2_substring_dedup": _OP2, "op3_decontamination": _OP3, "op5_warc": _OP5, "op9_embedding_forest": _OP9, "op10_ngram_join": _OP10}
+_WHOLE = "list_transform(embedding, lambda x: floor(256 * x::DOUBLE))"
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+# Every anchor against every row; doubles hold these integers exactly.
+_OP12 = f"""
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, {_WHOLE} AS e
+  FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id))::INTEGER AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+"""
+
+
+def _lloyd(rounds: int) -> str:
+    """Every distance of every round; doubles hold these integers exactly."""
+    parts = [f"""v AS MATERIALIZED (SELECT vec_id, {_WHOLE} AS e FROM embeddings WHERE len(embedding) = 64 AND {_FINITE})""",
+             """c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1)::INTEGER AS cluster, e FROM v
+  QUALIFY cluster < 40)"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (SELECT vec_id, v.e AS e, cluster,
+  (list_dot_product(v.e, v.e) + list_dot_product(c.e, c.e) - 2 * list_dot_product(v.e, c.e))::BIGINT AS distance
+  FROM v CROSS JOIN c{r} c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, cluster) = 1)""")
+        if r < rounds:
+            parts.append(f"""m{r} AS (SELECT cluster, i, floor(sum(e[i]) / count(*)) AS x
+  FROM (SELECT cluster, e, unnest(range(1, 65)) AS i FROM a{r}) GROUP BY cluster, i)""")
+            parts.append(f"""c{r + 1} AS MATERIALIZED (SELECT cluster, coalesce(n.e, c.e) AS e FROM c{r} c
+  LEFT JOIN (SELECT cluster, list(x ORDER BY i) AS e FROM m{r} GROUP BY cluster) n USING (cluster))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+  (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(list_transform(c.e, lambda x: x::BIGINT), ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} c USING (cluster)
+"""
+
+
+SQL = {"op2_substring_dedup": _OP2, "op3_decontamination": _OP3, "op5_warc": _OP5, "op9_embedding_forest": _OP9, "op10_ngram_join": _OP10,
+       "op12_kronecker_negatives": _OP12, "op13_ns_kmeans": _lloyd(5)}

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from abacus.llm import (
-    decontaminate, html_blocks, lsh_forest, mixing, rp_forest, substring_dedup, token_blocks, toxicity, url_trees, warc,
+    decontaminate, html_blocks, kk_shards, kronecker_negatives, lsh_forest, mixing, ns_kmeans, rp_forest, substring_dedup, token_blocks,
+    toxicity, url_trees, warc,
 )
+from abacus.llm._vectors import integers
 from abacus.session import scratch_path
 
 
@@ -65,5 +67,29 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lsh_forest.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op11_kk_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of near-equal bytes; read back from the written files."""
+    path = scratch_path(spark, "shards")
+    kk_shards.write_shards(_table(spark, sf_dir, "documents"), path)
+    text = F.coalesce("row.text", F.lit(""))
+    rows = kk_shards.read_rows(spark, path).select(
+        "row.doc_id", kk_shards.size_of(text).alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("bytes").alias("law"),
+        "shard", "file", "place")
+    return kk_shards.with_slots(rows, path).select("doc_id", "size", "text_crc32", "law", "shard", "slot",
+                                                   F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = integers(_table(spark, sf_dir, "embeddings"), "embedding", 256, "x", F.col("label").isNotNull())
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    points = rows.select(F.col("vec_id").alias("id"), moved.cast("long").alias("label"), "x")
+    return kronecker_negatives.mine(points, F.col("id") % 100 == 0)
+
+
+def op13_ns_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ns_kmeans.cluster_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_toxicity, op2_substring_dedup, op3_decontamination, op4_token_blocks, op5_warc, op6_mixing,
-                                   op7_html_extraction, op8_url_filter, op9_embedding_forest, op10_ngram_join)}
+                                   op7_html_extraction, op8_url_filter, op9_embedding_forest, op10_ngram_join, op11_kk_shards,
+                                   op12_kronecker_negatives, op13_ns_kmeans)}
