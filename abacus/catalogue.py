@@ -34,9 +34,8 @@ from abacus.plans import models as m
 from abacus.plans import serve
 from abacus.plans.build import GRAINS, build, grain_report, model_steps, raw_tables
 from abacus.session import scratch_path
-from abacus.sources import (flatten_entity, flatten_monthly_categories, landing, parse_budget_documents,
-                            read_budget_documents, read_with_row_ids)
-from abacus.sources.budget_document import current_budgets
+from abacus.sources import (current_budgets, flatten_entity, flatten_monthly_categories, landing, parse_budget_documents,
+                            read_budget_documents, read_with_row_ids, saved_documents)
 
 # The year whose report blocks are served.
 REPORT_YEAR = 1998
@@ -244,7 +243,7 @@ class Ledger:
              "raw.monthly_categories", "raw.paystubs", "raw.category_orders"]
 
     def __init__(self, spark: SparkSession, sf: str, materialize: bool = True):
-        self.spark, self.sf, self.materialize, self._t = spark, sf, materialize, {}
+        self.spark, self.sf, self.materialize, self._t, self._steps = spark, sf, materialize, {}, None
 
     @classmethod
     def of(cls, spark: SparkSession, sf: str) -> "Ledger":
@@ -283,8 +282,9 @@ class Ledger:
         }
         if name in raw:
             return raw[name]()
-        steps = dict(model_steps(_as_of(s, sf)))
-        return steps[name](t)
+        if self._steps is None:
+            self._steps = dict(model_steps(_as_of(s, sf)))
+        return self._steps[name](t)
 
 
 # ------------------------------------------------------------------ queries
@@ -437,7 +437,8 @@ def q_record_spine(spark, sf):
 def q_dense_rollup(spark, sf):
     led = Ledger.of(spark, sf)
     mt, mb, _ = _monthly_parts(led)
-    return _out(m.dense_monthly(led["combined.record_spine"], mt, mb))
+    spine = m.month_spine(led["cleaned.transactions"], led["cleaned.categories"], _as_of(spark, sf))
+    return _out(m.dense_monthly(spine, mt, mb))
 
 
 def q_pay_measures(spark, sf):
@@ -530,10 +531,9 @@ def q_sanitize_nonfinite(spark, sf):
 
 def q_sink_count(spark, sf):
     path = scratch_path(spark, "sink-count")
-    write_counted(landing_transactions(spark, sf), path)
+    rows = write_counted(landing_transactions(spark, sf), path)
     back = spark.read.parquet(path)
-    return _out(back.agg(F.count(F.lit(1)).alias("written_rows"),
-                         to_units(F.sum("amount")).alias("written_amount")))
+    return _out(back.agg(F.lit(rows).alias("written_rows"), to_units(F.sum("amount")).alias("written_amount")))
 
 
 # ------------------------------------------------------------------ documents and sheets in files
@@ -566,40 +566,50 @@ def q_flatten_accounts(spark, sf):
 
 
 def q_flatten_subtransactions(spark, sf):
-    """One document per order, holding its parts."""
+    """Documents of an order's parts; an order of many parts has one for every thousand or so."""
     s = landing_subtransactions(spark, sf)
     one = F.struct("id", F.col("transaction_id").cast("string").alias("transaction_id"), "amount", "memo",
                    F.col("category_id").cast("string").alias("category_id"))
-    docs = s.groupBy("transaction_id").agg(F.collect_list(one).alias("parts"))
+    sizes = s.groupBy("transaction_id").agg(F.ceil(F.count(F.lit(1)) / 1000).alias("documents"))
+    deal = F.pmod(F.xxhash64("id", "amount", "memo", "category_id"), F.col("documents"))
+    docs = (s.join(sizes, "transaction_id").withColumn("document", deal)
+            .groupBy("transaction_id", "document").agg(F.collect_list(one).alias("parts")))
     flat = _flattened(spark, docs.select(_document(F.col("transaction_id"), subtransactions=F.col("parts"))),
                       "subtransactions")
     return flat.select("id", "transaction_id", "amount", "memo", "category_id")
 
 
 def q_ingest_latest(spark, sf):
-    """Two snapshots of every customer's budget in files; only the newer one counts, though it
-    is written in a folder that sorts first and the older one holds rows of other amounts."""
-    tx = landing_transactions(spark, sf)
+    """Two snapshots of every customer's budgets in files (one budget for each thousand order
+    numbers, so that none is large); only the newer one counts, though it is written in a
+    folder that sorts first and the older one holds rows of other amounts."""
+    tx = landing_transactions(spark, sf).withColumn("budget", F.concat_ws("-", "account_id", F.floor(F.col("id") / 1000)))
     path = scratch_path(spark, "snapshots")
     for folder, amount in (("b", F.lit(-1).cast("bigint")), ("a", F.col("amount"))):
         one = F.struct(F.col("id").cast("string").alias("id"), "date", amount.alias("amount"))
-        docs = tx.groupBy("account_id").agg(F.collect_list(one).alias("rows"))
-        docs.select(_document(F.col("account_id"), transactions=F.col("rows"))).write.text(os.path.join(path, folder))
-    saved = read_budget_documents(spark, os.path.join(path, "*"), multi_line=False, with_source=True)
+        docs = tx.groupBy("budget").agg(F.collect_list(one).alias("rows"))
+        docs.select(_document(F.col("budget"), transactions=F.col("rows"))).write.text(os.path.join(path, folder))
+    saved = saved_documents(spark, os.path.join(path, "*"), multi_line=False)
     return flatten_entity(current_budgets(saved), "transactions").select("budget_id", "id", "date", "amount")
 
 
 def q_sheet_csv_roundtrip(spark, sf):
-    """The part table as a sheet export with quotes, line breaks, moved and added columns."""
+    """The part table as a sheet export of two folders whose files have other headers, with
+    quotes, line breaks, moved and added columns."""
     p = _t(spark, sf, "part")
     name = F.concat(F.lit('say "'), F.col("p_name"), F.lit('", '), F.col("p_brand"), F.lit("\n#"),
                     F.col("p_partkey").cast("string"))
-    sheet = p.orderBy("p_partkey").select(
-        name.alias("category_name"), F.col("p_size").cast("string").alias("added"), F.col("p_type").alias("category_group"),
+    sheet = p.select(
+        "p_partkey", name.alias("category_name"), F.col("p_size").cast("string").alias("added"), F.col("p_type").alias("category_group"),
         F.when(F.col("p_type") == "PROMO", F.lit("")).otherwise(F.col("p_brand")).alias("subcategory_group"))
     path = scratch_path(spark, "sheet")
-    sheet.write.options(header=True, quote='"', escape='"', quoteAll=True).csv(path)
-    return read_with_row_ids(spark, path, "csv", "row_id", ["category_group", "subcategory_group", "category_name"])
+    middle = p.agg(F.avg("p_partkey")).scalar()
+    halves = {"a": (F.col("p_partkey") <= middle, ["category_name", "added", "category_group", "subcategory_group"]),
+              "b": (F.col("p_partkey") > middle, ["subcategory_group", "category_name", "category_group"])}
+    for folder, (part, header) in halves.items():
+        sheet.where(part).orderBy("p_partkey").select(*header).write.options(header=True, quote='"', escape='"', quoteAll=True).csv(
+            os.path.join(path, folder))
+    return read_with_row_ids(spark, os.path.join(path, "*"), "csv", "row_id", ["category_group", "subcategory_group", "category_name"])
 
 
 # ------------------------------------------------------------------ whole layers
@@ -638,7 +648,7 @@ def q_pipeline_monthly(spark, sf):
 
 
 def _served_year(block):
-    """One block written for all years, then one year read back."""
+    """One block written for all years, then one year read back with the stored positions."""
     def run(spark, sf):
         root = scratch_path(spark, "year-blocks")
         serve.write_year_blocks(Ledger.of(spark, sf), root, blocks=[block])

@@ -606,8 +606,21 @@ BLOCKS = {
     "paychecks": ("d_pay", "true", 'paycheck_column AS "Paycheck Value", paycheck_value::DOUBLE AS "Amount"'),
 }
 
-SQL |= {f"serve_year_{block}": _with(f"SELECT budget_year, {cols} FROM {table} WHERE {where} AND budget_year = {REPORT_YEAR}")
-        for block, (table, where, cols) in BLOCKS.items()}
+# A block's order: its table's order number (nulls last), then its columns as they stand.
+BLOCK_TIES = {
+    "needs": "subcategory_group, category_name, spend", "wants": "subcategory_group, category_name, spend",
+    "other": "category_name, assigned, spend", "category_group": "category_group_name_mapping, assigned, spend",
+    "subcategory_group": "subcategory_group, assigned, spend", "paychecks": "paycheck_column, paycheck_value",
+}
+
+
+def _placed(block: str, table: str, where: str, cols: str) -> str:
+    keys = ", ".join(f"{k} NULLS LAST" for k in ("order_id, " + BLOCK_TIES[block]).split(", "))
+    return _with(f"SELECT budget_year, row_number() OVER (ORDER BY {keys}) AS position, {cols} "
+                 f"FROM {table} WHERE {where} AND budget_year = {REPORT_YEAR}")
+
+
+SQL |= {f"serve_year_{block}": _placed(block, *spec) for block, spec in BLOCKS.items()}
 SQL |= {key: _ordered(*spec) for key, spec in ORDERS.items()}
 SQL |= {
     "serve_where": _with("SELECT order_id, budget_year, category_name, " + _money(["spend", "assigned"])
@@ -622,7 +635,7 @@ SQL |= {
     "flatten_accounts": _with("SELECT CAST(id AS VARCHAR) AS id, name, type, on_budget, closed, balance FROM l_acct"),
     "flatten_subtransactions": _with("SELECT id, CAST(transaction_id AS VARCHAR) AS transaction_id, amount, memo, "
                                      "CAST(category_id AS VARCHAR) AS category_id FROM l_sub"),
-    "ingest_latest": "SELECT CAST(o_custkey AS VARCHAR) AS budget_id, CAST(o_orderkey AS VARCHAR) AS id, "
+    "ingest_latest": "SELECT concat(o_custkey, '-', o_orderkey // 1000) AS budget_id, CAST(o_orderkey AS VARCHAR) AS id, "
                      "strftime(o_orderdate, '%Y-%m-%d') AS date, CAST(round(o_totalprice * 1000) AS BIGINT) AS amount FROM orders",
     "sheet_csv_roundtrip": "SELECT row_number() OVER (ORDER BY p_partkey) AS row_id, p_type AS category_group, "
                            "CASE WHEN p_type = 'PROMO' THEN '' ELSE p_brand END AS subcategory_group, "
@@ -687,7 +700,7 @@ INT_OUTPUTS = {
     'dropped_facts': ['rows'],
     'sanitize_nonfinite': ['event_id'],
     'sink_count': ['written_rows'],
-    **{f'serve_year_{block}': ['budget_year'] for block in BLOCKS},
+    **{f'serve_year_{block}': ['budget_year', 'position'] for block in BLOCKS},
     'serve_where': ['order_id', 'budget_year'],
     'raw_columns': ['place', 'n_rows', 'n_values'],
     'grain_report': ['duplicate_keys', 'duplicate_rows'],

@@ -41,9 +41,7 @@ def amount_from_text(c: Column | str) -> Column:
     """
     text = as_col(c)
     zero = F.lit(0).cast(MILLI)
-    # A decimal of three places spelled without its point is the amount in thousandths;
-    # multiplying it would leave the 18 digits that decimals handle without objects.
-    parsed = F.translate(text.try_cast(TEXT_AMOUNT).cast("string"), ".", "").cast(MILLI)
+    parsed = (text.try_cast(TEXT_AMOUNT) * F.lit(1000).cast("decimal(4,0)")).cast(MILLI)
     return F.when(_may_be_number(text), F.coalesce(parsed, zero)).otherwise(zero)
 
 

@@ -1,7 +1,7 @@
 """Run the warehouse: landing -> raw -> cleaned -> combined -> dashboards.
 
-The build order is a plain list. Each model is written once (full overwrite) and
-read back by its consumers, so lineage is cut at every model: a lost executor
+The build order is a plain list. Each model is written once, to a new version of the
+warehouse, and read back by its consumers, so lineage is cut at every model: a lost executor
 recomputes at most one model's stages, and models with several consumers are not
 recomputed per consumer.
 """
@@ -9,13 +9,14 @@ recomputed per consumer.
 from __future__ import annotations
 
 import datetime as dt
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from abacus.operators import assert_audits, audit_forall, grain_check
+from abacus.operators import (CoBuckets, assert_audits, audit_forall, grain_check, raise_on, write_cobucketed,
+                              write_observed)
 from abacus.plans import models as m
+from abacus.plans import publish
 from abacus.sources import landing
 
 # Declared grain of each model (report-only: several are not unique by design).
@@ -40,10 +41,12 @@ GRAINS = {
 }
 
 
-def model_steps(as_of: dt.date | str | None) -> list[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]]:
+def model_steps(as_of: dt.date | str | None, split: Callable[[], CoBuckets | None] = lambda: None,
+                ) -> list[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]]:
     """(model name, function of the already-built models) in build order.
 
     ``combined.yearly_budgeted`` reads ``dashboards.yearly_level``, so it comes after it.
+    ``split`` gives the co-bucketed inputs of the split expansion, if they were written.
     """
     return [
         ("cleaned.accounts", lambda t: m.cleaned_accounts(t["raw.accounts"])),
@@ -61,10 +64,10 @@ def model_steps(as_of: dt.date | str | None) -> list[tuple[str, Callable[[dict[s
             t["cleaned.transactions"], t["cleaned.categories"], t["cleaned.category_groups"], as_of)),
         ("combined.transactions", lambda t: m.combined_transactions(
             t["cleaned.transactions"], t["cleaned.sub_transactions"], t["cleaned.categories"],
-            t["cleaned.category_groups"], t["cleaned.accounts"])),
+            t["cleaned.category_groups"], t["cleaned.accounts"], split())),
         ("dashboards.monthly_level", lambda t: m.dashboards_monthly_level(
             t["combined.transactions"], t["combined.budgeted"], t["combined.paystubs"],
-            t["combined.record_spine"])),
+            m.month_spine(t["cleaned.transactions"], t["cleaned.categories"], as_of))),
         ("dashboards.yearly_level", lambda t: m.dashboards_yearly_level(t["dashboards.monthly_level"])),
         ("combined.yearly_budgeted", lambda t: m.combined_yearly_budgeted(
             t["combined.budgeted"], t["cleaned.category_orders"], t["dashboards.yearly_level"])),
@@ -88,26 +91,8 @@ def raw_tables(spark: SparkSession, landing_root: str, category_orders: DataFram
     return tables
 
 
-# The one fact-to-fact join (split expansion) joins these models on these keys.
-CO_BUCKETED = {"cleaned.transactions": "id", "cleaned.sub_transactions": "transaction_id"}
-
-
-def _write_model(spark: SparkSession, df: DataFrame, name: str, path: str, buckets: int | None) -> DataFrame:
-    """Write one model (full overwrite) and read it back.
-
-    With ``buckets``, the split-expansion inputs are written as bucketed tables over
-    ``path`` (same bucket count, bucketed and sorted on their join keys), so the
-    transaction-to-part join and its anti join read co-partitioned data without a
-    shuffle on either side.
-    """
-    key = CO_BUCKETED.get(name)
-    if buckets and key:
-        table = "abacus_" + name.replace(".", "_")
-        (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
-         .option("path", path).saveAsTable(table))
-        return spark.table(table)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+# The one fact-to-fact join (split expansion) joins these models.
+SPLIT_PARENTS, SPLIT_PARTS = "cleaned.transactions", "cleaned.sub_transactions"
 
 
 # Models worth writing when not every model must be stored: aggregates, joins, the text
@@ -124,22 +109,33 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], warehouse_root: str |
           buckets: int | None = None, materialize: frozenset[str] | set[str] | None = None) -> dict[str, DataFrame]:
     """Build every model in order.
 
-    With ``warehouse_root`` each model is written to ``{root}/{layer}/{model}`` and
-    re-read, cutting lineage; without it the models stay lazy (one plan per
+    With ``warehouse_root`` each model is written to a new version of the warehouse and
+    re-read, cutting lineage, and the version is published when all of it is written
+    (``plans.publish``: readers see whole builds only). Without it the models stay lazy (one plan per
     consumer, for tests and small inputs). ``materialize`` limits the written models to a
     subset (e.g. ``HEAVY_MODELS``); the others stay lazy. ``buckets`` co-buckets the two inputs of
-    the split expansion (needs a session catalog). The paystub audits run after
-    ``cleaned.paystubs`` and stop the build on a violation.
+    the split expansion, hot transactions dealt over several buckets (needs a session catalog). The
+    paystub audits are counted while ``cleaned.paystubs`` is written, and stop the build on a violation.
     """
-    tables = dict(raw)
-    for name, make in model_steps(as_of):
+    tables, rows = dict(raw), {}
+    version = publish.new_version() if warehouse_root else None
+    split: CoBuckets | None = None
+    for name, make in model_steps(as_of, lambda: split):
         df = make(tables)
-        if warehouse_root and (materialize is None or name in materialize or name in CO_BUCKETED and buckets):
-            layer, model = name.split(".")
-            df = _write_model(spark, df, name, os.path.join(warehouse_root, layer, model), buckets)
+        audits = m.paystub_audits() if audit and name == "cleaned.paystubs" else []
+        if warehouse_root and (materialize is None or name in materialize):
+            path = publish.version_path(warehouse_root, version, name)
+            rows[name], broken = write_observed(df, lambda d: d.write.parquet(path), audits)
+            raise_on(broken)
+            df = spark.read.schema(df.schema).parquet(path)
+        elif audits:
+            assert_audits(audit_forall(df, audits))
         tables[name] = df
-        if audit and name == "cleaned.paystubs":
-            assert_audits(audit_forall(df, m.paystub_audits()))
+        if warehouse_root and buckets and {SPLIT_PARENTS, SPLIT_PARTS} <= tables.keys() and split is None:
+            split = write_cobucketed(tables[SPLIT_PARENTS], tables[SPLIT_PARTS], "id", "transaction_id", buckets,
+                                     publish.version_path(warehouse_root, version, "split.buckets"))
+    if warehouse_root:
+        publish.publish(spark, warehouse_root, version, rows)
     return tables
 
 

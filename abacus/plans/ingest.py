@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from abacus import schemas
 from abacus.operators import write_counted
 from abacus.plans.build import build, raw_tables
-from abacus.sources.budget_document import current_budget
-from abacus.sources import landing, landing_frames, read_budget_documents, read_sheet_csv, read_with_row_ids
+from abacus.sources import (current_budget, landing, landing_frames, read_sheet_csv, read_with_row_ids, saved_documents,
+                            stored)
 
 PAYSTUBS_LANDING = "raw-paystubs"
 
@@ -18,10 +18,13 @@ PAYSTUBS_LANDING = "raw-paystubs"
 def ingest(spark: SparkSession, documents: str, paystubs_csv: str, landing_root: str,
            multi_line: bool = True, budget_id: str | None = None) -> dict[str, int]:
     """Flatten the newest document of one budget and the paystub sheet into landing Parquet;
-    row counts read back. A folder of daily snapshots gives the same tables as its newest one."""
+    rows written to each. A folder of daily snapshots gives the same tables as its newest one.
+
+    The newest document is found by its id, time and place, parsed once and stored; the
+    five tables read their own part of it.
+    """
     counts = {}
-    saved = read_budget_documents(spark, documents, multi_line=multi_line, with_source=True)
-    budgets = current_budget(saved, budget_id)
+    budgets = stored(current_budget(saved_documents(spark, documents, multi_line), budget_id))
     for name, df in landing_frames(budgets).items():
         counts[name] = write_counted(df, landing.landing_path(landing_root, name))
     stubs = read_sheet_csv(spark, paystubs_csv, schemas.PAYSTUB_COLUMNS)

@@ -9,6 +9,8 @@ ordering happens when a report is served (``plans.serve.ordered``).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +18,9 @@ from pyspark.sql import functions as F
 from abacus import schemas
 from abacus.functions import (amount_from_text, clean_label, group_mapping, iso_date, make_month, milli,
                               month_start, round_milli, subgroup, us_date, year_of)
-from abacus.operators import (bounded_by_max, bounded_month_spine, conditional_columns,
-                              conditional_sums, expand_months, latest_per_key, lookup,
-                              scalar_min, split_expand, sum_measures, to_series)
+from abacus.operators import (CoBuckets, bounded_by_max, conditional_columns, conditional_sums, expand_cobucketed,
+                              expand_months, latest_per_key, lookup, month_sequence, scalar_min, split_expand,
+                              sum_measures, to_series)
 
 # ---------------------------------------------------------------- money columns
 
@@ -199,11 +201,21 @@ def paystub_audits() -> list[tuple[str, Column]]:
     ]
 
 
+def _small_methods(c: str, parse: Callable[[Column], Column]) -> Column:
+    """``parse`` of one column inside a higher-order function, which whole-stage code leaves out.
+
+    A projection of thirty parsers inlined in one stage makes a generated method too large for
+    the JVM to compile, so it is interpreted. With one such expression the projection is generated
+    on its own, cut into small methods that are compiled.
+    """
+    return F.get(F.transform(F.array(F.col(c)), parse), 0)
+
+
 def cleaned_paystubs(raw: DataFrame) -> DataFrame:
     """Text paystubs -> typed amounts (unparsable -> 0) and dates, plus derived pay measures."""
     typed = raw.select(
         "file_name", "employer",
-        *[us_date(c).alias(c) for c in PAYSTUB_DATES],
+        *[_small_methods(c, us_date).alias(c) for c in PAYSTUB_DATES],
         *[amount_from_text(src).alias(dst) for src, dst in PAYSTUB_TOTALS.items()],
         *[amount_from_text(c).alias(c) for c in PAYSTUB_COMPONENTS],
     )
@@ -280,40 +292,70 @@ def combined_paystubs(paystubs: DataFrame) -> DataFrame:
     )
 
 
-def combined_record_spine(transactions: DataFrame, categories: DataFrame, category_groups: DataFrame,
-                          as_of: dt.date | str | Column | None = None) -> DataFrame:
-    """Every category for every month from the first transaction's month to ``as_of``.
+@dataclass(frozen=True)
+class Spine:
+    """Every category for every month from ``first`` to ``last``, without the grid itself."""
 
-    A generator, not a join: each category row expands into the month list, whose
-    start is a scalar aggregate over the transactions. ``as_of`` defaults to today.
-    """
+    first: Column
+    last: Column
+    categories: DataFrame  # category_id, unique
+
+    def months(self, month_col: str = "budget_month") -> DataFrame:
+        """One row per month; its size is the number of months between two dates."""
+        one = self.categories.sparkSession.range(1, numPartitions=1)
+        return one.select(F.explode(month_sequence(self.first, self.last)).alias(month_col))
+
+    def holds(self, df: DataFrame, month: str) -> DataFrame:
+        """``df`` with a column ``__on_spine``: the row's month and category_id are on the spine.
+
+        The range is two scalars; the categories are an outer join whose fact side adaptive execution
+        can split, as it is the preserved one.
+        """
+        known = self.categories.select("category_id", F.lit(True).alias("__known"))
+        inside = F.coalesce(F.col("__known") & F.col(month).between(self.first, self.last), F.lit(False))
+        return df.join(known, "category_id", "left").withColumn("__on_spine", inside).drop("__known")
+
+
+def month_spine(transactions: DataFrame, categories: DataFrame, as_of: dt.date | str | Column | None = None) -> Spine:
+    """The spine's bounds and categories: months from the first transaction's to ``as_of``'s (default: today's)."""
     if as_of is None:
         end = F.current_date()
     elif isinstance(as_of, Column):
         end = as_of
     else:
         end = F.lit(str(as_of)).cast("date")
-    start = scalar_min(transactions, month_start("transaction_date"))
+    first = scalar_min(transactions, month_start("transaction_date"))
+    return Spine(first, month_start(end), categories.select(F.col("id").alias("category_id")))
+
+
+def combined_record_spine(transactions: DataFrame, categories: DataFrame, category_groups: DataFrame,
+                          as_of: dt.date | str | Column | None = None) -> DataFrame:
+    """Every category for every month from the first transaction's month to ``as_of``.
+
+    A generator, not a join: each category row expands into the month list, whose
+    start is a scalar aggregate over the transactions. ``as_of`` defaults to today.
+    """
+    spine = month_spine(transactions, categories, as_of)
     cats = lookup(categories.select("id", "category_name", "category_group_id"),
                   _groups_for_join(category_groups), "category_group_id", "__group_id")
     return expand_months(
         cats.select(F.col("id").alias("category_id"), "category_name",
                     "category_group_name_mapping", "subcategory_group_name"),
-        start, end)
+        spine.first, spine.last)
 
 
 def combined_transactions(transactions: DataFrame, sub_transactions: DataFrame, categories: DataFrame,
-                          category_groups: DataFrame, accounts: DataFrame) -> DataFrame:
+                          category_groups: DataFrame, accounts: DataFrame, split: CoBuckets | None = None) -> DataFrame:
     """Split transactions expanded into their parts, enriched with category, group and account.
 
     A part overrides its parent's category, amount and memo. The output category id
-    is the *categories* table's: NULL when the category is unknown there.
+    is the *categories* table's: NULL when the category is unknown there. ``split`` holds the first two
+    tables in co-buckets, which expand without a shuffle.
     """
-    expanded = split_expand(
-        transactions, sub_transactions, parent_key="id", child_key="transaction_id",
-        overrides={"category_id": "category_id", "amount": "amount", "memo": "memo"},
-        carry=["account_id", "transaction_date"],
-    )
+    columns = dict(parent_key="id", child_key="transaction_id",
+                   overrides={"category_id": "category_id", "amount": "amount", "memo": "memo"},
+                   carry=["account_id", "transaction_date"])
+    expanded = expand_cobucketed(split, **columns) if split else split_expand(transactions, sub_transactions, **columns)
     cats = categories.select(F.col("id").alias("__cat_key"), F.col("category_group_id"), "category_name")
     with_cat = lookup(expanded.withColumnRenamed("category_id", "__cat_ref"), cats, "__cat_ref", "__cat_key",
                       dim_key_as="category_id")
@@ -443,36 +485,28 @@ def _per_month(rows: DataFrame) -> DataFrame:
     )
 
 
-def dense_monthly(record_spine: DataFrame, month_tx: DataFrame, month_budget: DataFrame) -> DataFrame:
-    """Per-month sums of the facts that fall on the (month, category) spine, without joining the grid.
+_ASSIGNED = ["savings_assigned", "emergency_fund_assigned", "investments_assigned"]
+
+
+def _missing(columns: Sequence[str]) -> list[Column]:
+    return [F.lit(None).cast("bigint").alias(c) for c in columns]
+
+
+def dense_monthly(spine: Spine, month_tx: DataFrame, month_budget: DataFrame) -> DataFrame:
+    """Per-month sums of the facts that fall on the (month, category) spine, without its grid.
 
     The spine is every category for every month of one range, so a fact row lies on it
-    exactly when its month is inside the spine's range and its category is one of the
-    spine's categories. The facts are filtered by that range (two scalar subqueries) and
-    a semi join against the spine's distinct categories, then summed per month and attached to the spine's month list (one row per
-    month, generated from the same bounds). Same rows as ``dense_monthly_grid``, but the
-    work is proportional to the facts, not to months x categories, and nothing joins
-    on a grid key.
+    exactly when its month is inside the range and its category is one of the
+    spine's. The facts that are on it are summed per month and attached to the list of months.
+    Same rows as ``dense_monthly_grid``, but the work is proportional to the facts, not to
+    months x categories; each fact is scanned once and the grid is never read.
     """
-    first = record_spine.select(F.min("budget_month")).scalar()
-    last = record_spine.select(F.max("budget_month")).scalar()
-    cats = record_spine.select("category_id").distinct()
-
-    def on_spine(df: DataFrame, month: str) -> DataFrame:
-        inside = df.where(F.col(month).between(first, last))
-        return inside.join(cats, "category_id", "left_semi")
-
-    t = on_spine(month_tx, "transaction_month").select(
-        F.col("transaction_month").alias("budget_month"), *TRANSACTION_MEASURES,
-        *[F.lit(None).cast("bigint").alias(c) for c in
-          ("savings_assigned", "emergency_fund_assigned", "investments_assigned")])
-    b = on_spine(month_budget, "budget_month").select(
-        "budget_month", *[F.lit(None).cast("bigint").alias(c) for c in TRANSACTION_MEASURES],
-        "savings_assigned", "emergency_fund_assigned", "investments_assigned")
-    sums = _per_month(t.unionByName(b))
+    t = spine.holds(month_tx, "transaction_month").where("__on_spine").select(
+        F.col("transaction_month").alias("budget_month"), *TRANSACTION_MEASURES, *_missing(_ASSIGNED))
+    b = spine.holds(month_budget, "budget_month").where("__on_spine").select(
+        "budget_month", *_missing(TRANSACTION_MEASURES), *_ASSIGNED)
     # every spine month appears once, as in the grid form (months without facts get NULL sums)
-    months = record_spine.agg(F.min("budget_month").alias("s"), F.max("budget_month").alias("e"))
-    return bounded_month_spine(months, "s", "e").join(sums, "budget_month", "left")
+    return spine.months().join(_per_month(t.unionByName(b)), "budget_month", "left")
 
 
 def report_date_bounds(transactions: DataFrame, budgeted: DataFrame, paystubs: DataFrame) -> DataFrame:
@@ -489,19 +523,34 @@ def report_date_bounds(transactions: DataFrame, budgeted: DataFrame, paystubs: D
 
 
 def dashboards_monthly_level(transactions: DataFrame, budgeted: DataFrame, paystubs: DataFrame,
-                             record_spine: DataFrame) -> DataFrame:
-    """One row per month between the report bounds, zero-filled."""
-    mt = monthly_transactions(transactions)
-    mb = monthly_budgeted(budgeted)
-    mp = monthly_paystubs(paystubs)
-    dense = dense_monthly(record_spine, mt, mb)
-    months = bounded_month_spine(report_date_bounds(transactions, budgeted, paystubs), "min_date", "max_date")
-    joined = (months.join(dense, "budget_month", "left")
-              .join(mp, F.col("budget_month") == mp["pay_month"], "left"))
+                             spine: Spine) -> DataFrame:
+    """One row per month between the report bounds, zero-filled.
+
+    Each fact is scanned once: its monthly rows carry their measures where they are on the spine (pay
+    always does) and, on the spine or not, the month that the bounds need. Summed per month they
+    are a table of one row a month, gathered into a single row from which bounds and months are read.
+    """
+    facts = ["income", "emergency_fund_in_hsa", "needs_spend", "wants_spend", "savings_spend", "emergency_fund_spend", *_ASSIGNED]
+    on = lambda columns: [F.when(F.col("__on_spine"), F.col(c)).alias(c) for c in columns]
+    mt, mb = monthly_transactions(transactions), monthly_budgeted(budgeted)
+    rows = (spine.holds(mt, "transaction_month").select(
+                F.col("transaction_month").alias("budget_month"), F.lit(True).alias("ends"), *on(TRANSACTION_MEASURES),
+                *_missing(_ASSIGNED), *_missing(PAY_MEASURES))
+            .unionByName(spine.holds(mb, "budget_month").select(
+                "budget_month", F.lit(False).alias("ends"), *_missing(TRANSACTION_MEASURES), *on(_ASSIGNED), *_missing(PAY_MEASURES)))
+            .unionByName(monthly_paystubs(paystubs).select(
+                F.col("pay_month").alias("budget_month"), F.lit(True).alias("ends"), *_missing(facts), *PAY_MEASURES)))
+    measures = [*facts, *PAY_MEASURES]
+    per_month = rows.where(F.col("budget_month").isNotNull()).groupBy("budget_month").agg(
+        F.max("ends").alias("ends"), *[F.sum(c).alias(c) for c in measures])
+    one = per_month.agg(F.min("budget_month").alias("first"), F.max(F.when(F.col("ends"), F.col("budget_month"))).alias("last"),
+                        F.map_from_entries(F.collect_list(F.struct("budget_month", F.struct(*measures)))).alias("by_month"))
+    months = F.transform(month_sequence(F.col("first"), F.col("last")), lambda d: F.struct(
+        d.alias("budget_month"), F.try_element_at("by_month", d).alias("m")))
+    joined = one.select(F.inline(months)).select("budget_month", "m.*")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     total_income = z("income")
-    spent = F.coalesce(F.col("needs_spend") + F.col("wants_spend") + F.col("savings_spend")
-                       + F.col("emergency_fund_spend"), F.lit(0))
+    spent = z("needs_spend") + z("wants_spend") + z("savings_spend") + z("emergency_fund_spend")
     return joined.select(
         "budget_month",
         z("earnings_actual").alias("earnings_actual"), z("salary").alias("salary"), z("bonus").alias("bonus"),
@@ -517,7 +566,7 @@ def dashboards_monthly_level(transactions: DataFrame, budgeted: DataFrame, payst
         z("investments_assigned").alias("investments_saved"),
         z("emergency_fund_in_hsa").alias("emergency_fund_in_hsa"),
         spent.alias("spent"),
-        round_milli(total_income + z("spent"), 2).alias("difference"),
+        round_milli(total_income + spent, 2).alias("difference"),
     )
 
 

@@ -173,14 +173,34 @@ def year_block(model_df: DataFrame, block: str, year: int | None = None) -> Data
     return df.select("budget_year", *[F.col(c).alias(t) for c, t in cols])
 
 
+def placed_year_block(model_df: DataFrame, block: str) -> DataFrame:
+    """``year_block`` of every year with each row's ``position`` in its year.
+
+    The order is the model's stored one, ties by the block's columns. Positions come from one
+    distributed sort of all years; a year's first position, one row a year, is taken off.
+    """
+    model, cols = YEAR_BLOCKS[block]
+    whole = with_position(served(model_df), model, "__at", [c for c, _ in cols])
+    first = whole.groupBy(F.col("budget_year").alias("__year")).agg(F.min("__at").alias("__first"))
+    placed = whole.join(first, F.col("budget_year").eqNullSafe(F.col("__year")))
+    return placed.select("budget_year", (F.col("__at") - F.col("__first") + 1).alias("position"),
+                         *[F.col(c).alias(t) for c, t in cols])
+
+
 def write_year_blocks(models: Mapping[str, DataFrame], out_root: str, fmt: str = "parquet",
                       blocks: Sequence[str] | None = None) -> dict[str, str]:
-    """Write every block (or the named ones) for every year: one job per block, partitioned by ``budget_year``."""
+    """Write every block (or the named ones) for every year: one job per block, partitioned by ``budget_year``.
+
+    Rows carry their ``position`` in the year and are range-partitioned by it, so the files of a
+    year are sorted and follow each other.
+    """
     paths = {}
     for block in YEAR_BLOCKS if blocks is None else blocks:
         model, _ = YEAR_BLOCKS[block]
         path = os.path.join(out_root, block)
-        writer = year_block(models[model], block).write.mode("overwrite").partitionBy("budget_year")
+        placed = placed_year_block(models[model], block)
+        in_order = placed.repartitionByRange("budget_year", "position").sortWithinPartitions("budget_year", "position")
+        writer = in_order.write.mode("overwrite").partitionBy("budget_year")
         if fmt == "csv":
             writer.option("header", True).csv(path)
         else:
@@ -189,13 +209,15 @@ def write_year_blocks(models: Mapping[str, DataFrame], out_root: str, fmt: str =
     return paths
 
 
-def read_year_block(spark, out_root: str, block: str, year: int | None = None, fmt: str = "parquet") -> DataFrame:
-    """One written report block, optionally for one year.
+def read_year_block(spark, out_root: str, block: str, year: int | None = None, fmt: str = "parquet",
+                    in_order: bool = False) -> DataFrame:
+    """One written report block, optionally for one year and in its stored order.
 
     The year predicate is on the partition column, so the scan reads only that
     year's folder (partition pruning) instead of filtering every row.
     """
     path = os.path.join(out_root, block)
     reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-    df = reader.format(fmt).load(path)
-    return df if year is None else df.where(F.col("budget_year") == F.lit(year))
+    df = reader.format(fmt).load(path).withColumn("position", F.col("position").cast("bigint"))
+    df = df if year is None else df.where(F.col("budget_year") == F.lit(year))
+    return df.orderBy(F.col("budget_year").asc_nulls_last(), "position") if in_order else df

@@ -173,7 +173,7 @@ def test_year_blocks_as_csv_with_headers(models, tmp_path):
     paths = serve.write_year_blocks(models, str(tmp_path / "csv"), fmt="csv")
     spark = models["dashboards.yearly_paychecks"].sparkSession
     pay = spark.read.option("header", True).csv(paths["paychecks"])
-    assert set(pay.columns) == {"Paycheck Value", "Amount", "budget_year"}
+    assert set(pay.columns) == {"Paycheck Value", "Amount", "budget_year", "position"}
     assert pay.count() == 15
     net = pay.where("`Paycheck Value` = 'Net Pay'").first()
     assert float(net["Amount"]) == 2700.0 and int(net["budget_year"]) == 2024
@@ -243,7 +243,8 @@ def test_heavy_only_materialization_gives_the_same_reports(spark, models, tmp_pa
     wh = str(tmp_path / "wh")
     light = run(spark, doc, stubs, orders, str(tmp_path / "landing"), wh, as_of=golden.AS_OF,
                 materialize=HEAVY_MODELS)
-    assert sorted(os.listdir(os.path.join(wh, "cleaned"))) == ["categories", "paystubs"]
+    (version,) = os.listdir(os.path.join(wh, "versions"))
+    assert sorted(os.listdir(os.path.join(wh, "versions", version, "cleaned"))) == ["categories", "paystubs"]
     for name in ("dashboards.monthly_level", "combined.yearly_budgeted", "dashboards.yearly_needs"):
         got = sorted(map(tuple, light[name].collect()), key=repr)
         want = sorted(map(tuple, models[name].collect()), key=repr)

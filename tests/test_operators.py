@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from abacus.functions import (amount_from_text, clean_label, group_mapping, iso_date, month_label, round_milli,
                               split_part, strip_emoji, subgroup, to_units, us_date)
-from abacus.operators import (audit_forall, conditional_sums, grain_check, latest_per_key,
-                              month_sequence, nonfinite_to_null, positions, split_expand, to_series,
-                              write_counted)
+from abacus.operators import (AuditFailure, audit_forall, conditional_sums, grain_check, latest_per_key,
+                              month_sequence, nonfinite_to_null, positions, raise_on, split_expand, to_series,
+                              write_counted, write_observed)
 from abacus.sources import read_sheet_csv, read_with_row_ids
 
 
@@ -156,6 +156,32 @@ def test_positions_are_dense_and_ordered(spark):
 
 def test_write_counted(spark, tmp_path):
     assert write_counted(spark.range(123), str(tmp_path / "out")) == 123
+    assert write_counted(spark.range(0), str(tmp_path / "none")) == 0
+    parts = spark.range(40).withColumn("part", F.col("id") % 3)
+    assert write_counted(parts, str(tmp_path / "parts"), partition_by=["part"]) == 40
+    assert write_counted(spark.range(7), str(tmp_path / "out"), mode="append") == 7
+
+
+def test_audits_are_counted_while_writing(spark, tmp_path):
+    """One scan: the rows pass a counter on their way, which a second pass would raise."""
+    seen = spark.sparkContext.accumulator(0)
+    source = str(tmp_path / "source")
+    spark.range(100).repartition(4).write.parquet(source)
+    rows = spark.read.parquet(source).withColumn("maybe", F.when(F.col("id") > 97, None).otherwise(F.col("id")))
+    counted = rows.rdd.map(lambda r: (seen.add(1), r)[1]).toDF(rows.schema)
+    n, broken = write_observed(counted, lambda d: d.write.parquet(str(tmp_path / "out")),
+                               [("small", F.col("id") < 90), ("all", F.col("id") >= 0), ("null holds", F.col("maybe") < 96)])
+    assert (n, broken) == (100, {"small": 10, "all": 0, "null holds": 2}) and seen.value == 100
+    with pytest.raises(AuditFailure, match="small: 10 rows; null holds: 2 rows"):
+        raise_on(broken)
+    assert write_observed(rows.limit(0), lambda d: d.write.parquet(str(tmp_path / "no")), [("a", F.col("id") > 5)]) == (0, {"a": 0})
+
+
+def test_counted_write_compares_with_the_files(spark, tmp_path, monkeypatch):
+    from abacus.operators import quality
+    monkeypatch.setattr(quality, "write_observed", lambda df, write, audits=(): (write(df), (9, {}))[1])
+    with pytest.raises(quality.CountMismatch, match="9 rows were written, its files hold 10"):
+        write_counted(spark.range(10), str(tmp_path / "out"))
 
 
 def test_dense_monthly_equals_grid_join(spark):
@@ -171,12 +197,15 @@ def test_dense_monthly_equals_grid_join(spark):
         [(mo, c, 7, 8, 9) for mo in months[:3] for c in (2, 3)],
         "budget_month date, category_id long, savings_assigned long, emergency_fund_assigned long, "
         "investments_assigned long")
-    fast = sorted(map(tuple, m.dense_monthly(spine, tx, bud).collect()))
-    grid = sorted(map(tuple, m.dense_monthly_grid(spine, tx, bud).select(*m.dense_monthly(spine, tx, bud).columns)
+    cats = spark.createDataFrame([(1,), (2,)], "category_id long")
+    pair = m.Spine(F.lit(months[1]), F.lit(months[3]), cats)
+    fast = sorted(map(tuple, m.dense_monthly(pair, tx, bud).collect()))
+    grid = sorted(map(tuple, m.dense_monthly_grid(spine, tx, bud).select(*m.dense_monthly(pair, tx, bud).columns)
                       .collect()))
     assert fast == grid and len(fast) == 3  # the last spine month has no facts: a NULL row
-    empty = spine.limit(0)
-    assert m.dense_monthly(empty, tx, bud).count() == 0
+    for first, last in ((months[3], months[1]), (None, months[1])):
+        nothing = m.Spine(F.lit(first).cast("date"), F.lit(last), cats)
+        assert m.dense_monthly(nothing, tx, bud).count() == 0
 
 
 def test_scale_settings():
