@@ -354,10 +354,20 @@ def q_clean_label(spark, sf):
                     clean_label(_label(p), keep_plus=False).alias("label_without_plus"))
 
 
+# Emoji put into labels, each of another kind: plain, styled, keycaps, flags, skin tones, joined, tagged, and old symbols.
+EMOJI_SAMPLES = ["\U0001F6E0\uFE0F", "\u2600", "1\uFE0F\u20E3", "#\u20E3", "\U0001F1E9\U0001F1EA", "\U0001F44D\U0001F3FD",
+                 "\U0001F468\u200D\U0001F469\u200D\U0001F467", "\U0001F3F4\U000E0067\U000E0062\U000E0065\U000E006E\U000E0067\U000E007F",
+                 "\u2B50", "\u231A", "\u2139\uFE0F", "\u00A9", "\u2B06", "\u2764\uFE0F\u200D\U0001F525", "\U0001FAE9", "\u3299"]
+
+
 def q_strip_emoji(spark, sf):
+    """Every kind of emoji before and after labels that hold digits and symbols which are none."""
     p = _t(spark, sf, "part")
-    return p.select("p_partkey", strip_emoji(F.concat(F.lit("\U0001F6E0\uFE0F "), p["p_name"], F.lit(" \u2600")))
-                    .alias("category_name"))
+    kinds = F.array(*[F.lit(e) for e in EMOJI_SAMPLES])
+    before = F.get(kinds, F.pmod(F.col("p_partkey"), F.lit(len(EMOJI_SAMPLES))).cast("int"))
+    after = F.get(kinds, F.pmod(F.col("p_partkey") * 7 + 3, F.lit(len(EMOJI_SAMPLES))).cast("int"))
+    label = F.concat(before, F.lit(" "), p["p_name"], after, F.lit(" \u2605 7#"), after, before)
+    return p.select("p_partkey", strip_emoji(label).alias("category_name"))
 
 
 def q_group_mapping(spark, sf):

@@ -67,7 +67,6 @@ def AMT(x: str) -> str:
     return f"coalesce(TRY_CAST({x} AS DECIMAL(18,3)), CAST(0 AS DECIMAL(18,3)))"
 
 
-EMOJI = r"[\x{1F000}-\x{1FAFF}\x{2600}-\x{27BF}\x{FE0F}\x{200D}]"
 LABEL_LIST = "[" + ", ".join(f"'{title}'" for title, _ in PAYCHECK) + "]"
 STUB_TEXT_COLS = ["net_pay", "earnings_total", "pre_tax_deductions", "taxes", "post_tax_deductions",
                   "earnings_salary", "earnings_bonus", "earnings_meal_allowance", "earnings_pto_payout",
@@ -177,14 +176,18 @@ l_acct AS (
   SELECT c_custkey AS id, c_name AS name, c_mktsegment AS type, c_acctbal >= 0 AS on_budget, false AS closed,
          CAST(round(c_acctbal * 1000) AS BIGINT) AS balance
   FROM customer),
+region_group (r_name, title) AS (
+  VALUES ('AFRICA', 'Needs'), ('AMERICA', 'Wants'), ('ASIA', 'Savings'), ('EUROPE', 'Emergency Fund'), ('MIDDLE EAST', 'Investments')),
+special_nation (n_nationkey, title, top) AS (
+  VALUES (0, 'Internal Master Category', 'Income'), (5, 'Credit Card Payments', 'Credit Card Payments'),
+         (10, 'Net Zero Expenses', 'Net Zero Expenses')),
 l_grp AS (
-  SELECT CAST(n_nationkey AS BIGINT) AS id,
-         CASE n_nationkey WHEN 0 THEN 'Internal Master Category' WHEN 5 THEN 'Credit Card Payments'
-              WHEN 10 THEN 'Net Zero Expenses'
-              ELSE (CASE r_name WHEN 'AFRICA' THEN 'Needs' WHEN 'AMERICA' THEN 'Wants' WHEN 'ASIA' THEN 'Savings'
-                    WHEN 'EUROPE' THEN 'Emergency Fund' WHEN 'MIDDLE EAST' THEN 'Investments' END)
-                   || ' - ' || n_name END AS name
-  FROM nation LEFT JOIN region ON n_regionkey = r_regionkey),
+  SELECT CAST(n.n_nationkey AS BIGINT) AS id, coalesce(s.title, g.title || ' - ' || n.n_name) AS name,
+         coalesce(s.top, g.title) AS top, CASE WHEN s.title IS NULL THEN n.n_name END AS sub
+  FROM nation n
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+  LEFT JOIN region_group g ON r.r_name = g.r_name
+  LEFT JOIN special_nation s ON n.n_nationkey = s.n_nationkey),
 l_month AS (
   SELECT g.l_partkey AS id, CAST(p.p_size AS BIGINT) AS category_group_id,
          {DECORATED('g.l_partkey', 'p.p_name', 'p.p_type')} AS name, false AS hidden,
@@ -217,10 +220,7 @@ c_acct AS (
   SELECT id, name, type, on_budget AS is_on_budget, closed AS is_closed, {U('balance')} AS balance,
          {U('balance')} AS cleared_balance, {U('0')} AS uncleared_balance
   FROM l_acct),
-c_grp AS (
-  SELECT id, name, coalesce(MAP {{'Internal Master Category': 'Income'}}[name], parts[1]) AS category_group_name_mapping,
-         parts[2] AS subcategory_group_name
-  FROM (SELECT id, name, split(name, ' - ') AS parts FROM l_grp)),
+c_grp AS (SELECT id, name, top AS category_group_name_mapping, sub AS subcategory_group_name FROM l_grp),
 c_month AS (
   SELECT id, category_group_id, {CLEAN('name', False)} AS category_name, make_date(year, month, 1) AS budget_month,
          {U('budgeted')} AS budgeted, {U('balance')} AS balance, {U('activity')} AS activity
@@ -229,6 +229,9 @@ c_cat AS (
   SELECT id, category_group_id, {CLEAN('name', True)} AS category_name, hidden AS is_hidden
   FROM l_month
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY month DESC, year DESC) = 1),
+grouped_cat AS (
+  SELECT c.id, c.category_group_id, c.category_name, g.category_group_name_mapping, g.subcategory_group_name
+  FROM c_cat c LEFT JOIN c_grp g ON c.category_group_id = g.id),
 c_ord AS (
   SELECT row_number() OVER () AS order_id,
          CASE p_type WHEN 'STANDARD' THEN 'Needs' WHEN 'ECONOMY' THEN 'Wants' WHEN 'PROMO' THEN 'Paycheck'
@@ -246,7 +249,7 @@ cb_stub AS (SELECT pay_date, {", ".join(f"{e} AS {c}" for c, e in PAY.items())}
 cb_budg AS (
   SELECT m.id AS category_id, m.budget_month, m.category_name, g.category_group_name_mapping,
          g.subcategory_group_name, m.budgeted, m.activity, m.balance
-  FROM c_grp g RIGHT JOIN c_month m ON g.id = m.category_group_id),
+  FROM c_month m LEFT JOIN c_grp g ON m.category_group_id = g.id),
 last_day AS (SELECT CAST(max(t) AS DATE) AS d
              FROM (SELECT max(o_orderdate) AS t FROM orders UNION ALL SELECT max(l_shipdate) FROM lineitem)),
 months AS (
@@ -254,18 +257,21 @@ months AS (
                                      (SELECT d FROM last_day), INTERVAL 1 MONTH)) AS DATE) AS budget_month),
 cb_spine AS (
   SELECT budget_month, id AS category_id, category_name, category_group_name_mapping, subcategory_group_name
-  FROM months, (SELECT c_cat.id, category_name, category_group_name_mapping, subcategory_group_name
-                FROM c_cat LEFT JOIN c_grp ON c_grp.id = category_group_id)),
+  FROM months CROSS JOIN grouped_cat),
+facts AS (
+  SELECT t.id, t.account_id, t.transaction_date, coalesce(s.category_id, t.category_id) AS category_id,
+         coalesce(s.amount, t.amount) AS amount, coalesce(s.memo, t.memo) AS memo
+  FROM c_sub s JOIN c_tx t ON s.transaction_id = t.id
+  UNION ALL
+  SELECT id, account_id, transaction_date, category_id, amount, memo
+  FROM c_tx t WHERE NOT EXISTS (SELECT 1 FROM c_sub s WHERE s.transaction_id = t.id)),
 cb_tx AS (
-  SELECT x.id, x.transaction_date, c.id AS category_id, c.category_group_id, c.category_name,
-         g.category_group_name_mapping, g.subcategory_group_name, x.amount, x.memo,
+  SELECT f.id, f.transaction_date, c.id AS category_id, c.category_group_id, c.category_name,
+         c.category_group_name_mapping, c.subcategory_group_name, f.amount, f.memo,
          a.name AS account_name, a.type AS account_type
-  FROM (SELECT t.id, t.account_id, t.transaction_date, coalesce(s.category_id, t.category_id) AS category_id,
-               coalesce(s.amount, t.amount) AS amount, coalesce(s.memo, t.memo) AS memo
-        FROM c_tx t LEFT JOIN c_sub s ON t.id = s.transaction_id) x
-  LEFT JOIN c_cat c ON x.category_id = c.id
-  LEFT JOIN c_grp g ON c.category_group_id = g.id
-  LEFT JOIN c_acct a ON x.account_id = a.id),
+  FROM facts f
+  LEFT JOIN grouped_cat c ON f.category_id = c.id
+  LEFT JOIN c_acct a ON f.account_id = a.id),
 d_mt AS (
   SELECT CAST(date_trunc('month', transaction_date) AS DATE) AS transaction_month, category_id,
          {", ".join(f"coalesce(sum(amount) FILTER (category_group_name_mapping = '{g}'), 0) AS {m}" for m, g in SPENT.items())},
@@ -313,9 +319,10 @@ planned AS (
 cb_yb AS (
   SELECT o.order_id, p.budget_year, o.category_group, p.category_group_name_mapping, p.subcategory_group,
          p.category_name, p.spend, p.assigned
-  FROM c_ord o RIGHT JOIN planned p ON p.category_name = o.category_name
-  WHERE p.category_group_name_mapping <> 'Income' AND p.category_group_name_mapping <> 'Credit Card Payments'
-    AND make_date(p.budget_year, 1, 1) <= (SELECT max(budget_month) FROM d_dates)),
+  FROM planned p
+  LEFT JOIN c_ord o ON p.category_name = o.category_name
+  WHERE p.category_group_name_mapping NOT IN ('Income', 'Credit Card Payments')
+    AND p.budget_year <= (SELECT max(year(budget_month)) FROM d_dates)),
 d_ycg AS (
   SELECT category_group_name_mapping, budget_year, min(order_id) AS order_id, sum(spend) AS spend,
          sum(assigned) AS assigned
@@ -415,8 +422,8 @@ SQL = {
                    + CLEAN("('#' || p_name || ' + ' || p_type || '! \U0001F3E0')", True) + " AS label_with_plus, "
                    + CLEAN("('#' || p_name || ' + ' || p_type || '! \U0001F3E0')", False) + " AS label_without_plus "
                    "FROM part",
-    "strip_emoji": "SELECT p_partkey, trim(regexp_replace('\U0001F6E0\uFE0F ' || p_name || ' \u2600', "
-                   f"'{EMOJI}', '', 'g')) AS category_name FROM part",
+    # Whatever is put around the labels is emoji and goes.
+    "strip_emoji": "SELECT p_partkey, p_name || ' \u2605 7#' AS category_name FROM part",
     "group_mapping": """
         SELECT p_partkey, name,
                CASE WHEN name = 'Internal Master Category' THEN 'Income' ELSE split(name, ' - ')[1] END

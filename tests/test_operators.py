@@ -208,6 +208,14 @@ def test_dense_monthly_equals_grid_join(spark):
         assert m.dense_monthly(nothing, tx, bud).count() == 0
 
 
+def test_strip_emoji_knows_sequences(spark):
+    from abacus.catalogue import EMOJI_SAMPLES
+    rows = [(f"{e} Rent {e}{e}",) for e in EMOJI_SAMPLES]
+    assert {r[0] for r in spark.createDataFrame(rows, "c string").select(strip_emoji("c")).collect()} == {"Rent"}
+    kept = ["7 up", "#1", "* a", "a\u2605b", "caf\u00e9", "\u5bb6", "\u2192", "x\u20e3", "1\u20e2", "", None]
+    assert [r[0] for r in spark.createDataFrame([(k,) for k in kept], "c string").coalesce(1).select(strip_emoji("c")).collect()] == kept
+
+
 def test_scale_settings():
     from abacus.session import scale_settings
     big = scale_settings(100 * 10**12, 8000)
