@@ -707,7 +707,7 @@ INT_OUTPUTS = {
     'dropped_facts': ['rows'],
     'sanitize_nonfinite': ['event_id'],
     'sink_count': ['written_rows'],
-    **{f'serve_year_{block}': ['budget_year', 'position'] for block in BLOCKS},
+    **{f'serve_year_{block}': ['position', 'budget_year'] for block in BLOCKS},
     'serve_where': ['order_id', 'budget_year'],
     'raw_columns': ['place', 'n_rows', 'n_values'],
     'grain_report': ['duplicate_keys', 'duplicate_rows'],
