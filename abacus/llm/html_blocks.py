@@ -12,6 +12,7 @@ from __future__ import annotations
 import html
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,41 +47,89 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "option": {"option"}, "body": {"head", "title"}}
 STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+# What follows a tag's name up to its end; quoted values may hold a >.
+_REST = r"""((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+_TAG = re.compile(rf"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*){_REST}|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])(?:{_REST}|[^>]*>|.*)", re.I | re.S) for name in RAW}
+# A / that ends an unquoted value is part of it.
+_UNQUOTED = re.compile(r"""=\s*[^\s"'>]*/\Z""")
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _PART = re.compile(r"[a-z]+")
 
 
+class Path:
+    """The tokens of the tags around a leaf. Paths share their beginnings, and each knows how often
+    every hashed token lies on it (up to 3, beyond which its vector no longer grows)."""
+
+    __slots__ = ("parent", "token", "counts", "kids", "known")
+
+    def __init__(self, parent: Path | None = None, token: str = ""):
+        self.parent, self.token, self.kids, self.known = parent, token, {}, None
+        self.counts = bytearray(PATH_SIZE if parent is None else parent.counts)
+        if parent is not None:
+            code = zlib.crc32(token.encode()) % PATH_SIZE
+            self.counts[code] = min(self.counts[code] + 1, 3)
+
+    def with_token(self, token: str) -> Path:
+        if token not in self.kids:
+            self.kids[token] = Path(self, token)
+        return self.kids[token]
+
+    def vector(self) -> np.ndarray:
+        """Counts of hashed tokens, the nearest four weighing more, up to 2."""
+        if self.known is None:
+            found, node = np.frombuffer(self.counts, np.uint8).astype(np.float32) * np.float32(0.7), self
+            for _ in range(4):
+                if node.parent is None:
+                    break
+                found[zlib.crc32(node.token.encode()) % PATH_SIZE] += np.float32(0.3)
+                node = node.parent
+            self.known = np.minimum(found, 2)
+        return self.known
+
+
 @dataclass
 class Leaf:
-    path: tuple[str, ...]
+    path: Path
     text: str
     linked: int  # characters inside links
 
 
+def _closes_itself(rest: str) -> bool:
+    """The tag of an svg or math element ends it, too."""
+    return rest.endswith("/") and not _UNQUOTED.search(rest)
+
+
 def leaves(page: str) -> list[Leaf]:
     """The text blocks of a page in order, white space collapsed and references decoded.
 
-    Only comments and raw text (RAW) are left out, to the end of the page if its end tag is
-    missing, as browsers do. Other embedded elements are read; a missing end tag loses nothing:
+    Comments and raw text (RAW) are left out as browsers do: raw text ends at its end tag, whatever
+    follows the name there, or with the page; a comment ends at --> or --!>, and at once in
+    <!--> and <!--->. Other embedded elements are read; a missing end tag loses nothing:
     svg and math end at the next tag of HTML, select at the next block, others are passed over.
+    References are decoded in each run of text between tags. The work is in proportion to the
+    page, however deep its elements are nested.
     """
     out: list[Leaf] = []
     inside: list[tuple[str, int]] = []  # open EMBEDS and how deep the stack was
     common: tuple[str, ...] | None = None  # those around all that is held
     around: list[tuple] = []  # what was held where an ASIDE element began
     later: list[Leaf] = []
-    unclosed: set[str] = set()  # no end tag from here on
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    ends: dict[str, int] = {}  # where the last end tag of an element begins
+    stack: list[tuple[str, Path]] = []
+    opened: Counter = Counter()  # names on the stack
+    root = Path()
     held: list[str] = []
     links, linked, at = 0, 0, 0
 
     def flush():
         nonlocal linked, common
         if held:
-            text = " ".join(html.unescape("".join(held)).split())
+            text = " ".join("".join(held).split())
             if text:
-                path = (*(t for _, tokens in stack for t in tokens), *(common or ()))
+                path = stack[-1][1] if stack else root
+                for name in common or ():
+                    path = path.with_token(name)
                 (later if around else out).append(Leaf(path, text, linked))
             held.clear()
         linked, common = 0, None
@@ -90,6 +139,8 @@ def leaves(page: str) -> list[Leaf]:
 
     def say(text):
         nonlocal linked, common
+        if "&" in text:
+            text = html.unescape(text)
         held.append(text)
         if links:
             linked += len(text)
@@ -100,6 +151,17 @@ def leaves(page: str) -> list[Leaf]:
         elif common is None and not text.isspace():
             common = ()
 
+    def close(i):
+        """Close stack[i:]."""
+        for name, _ in stack[i:]:
+            opened[name] -= 1
+        del stack[i:]
+
+    def ends_after(name):
+        if name not in ends:
+            ends[name] = max((m.start() for m in re.finditer(rf"</{name}\b", page, re.I)), default=-1)
+        return ends[name] >= at
+
     def leave(i):
         """Close inside[i:]."""
         nonlocal linked, common
@@ -123,8 +185,9 @@ def leaves(page: str) -> list[Leaf]:
             continue
         name = name.lower()
         if name in RAW:
-            if not closing and not rest.endswith("/"):
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            foreign = inside and inside[-1][0] in ("svg", "math")
+            if not closing and not (foreign and _closes_itself(rest)):
+                end = _RAW_END[name].search(page, at)
                 at = end.end() if end else len(page)
             continue
         if name in EMBEDS:
@@ -133,9 +196,8 @@ def leaves(page: str) -> list[Leaf]:
                     if inside[i][0] == name:
                         leave(i)
                         break
-            elif not rest.endswith("/") and name not in unclosed:
-                if name not in ASIDE and name != "math" and not re.compile(rf"</{name}\b", re.I).search(page, at):
-                    unclosed.add(name)
+            elif not (name in ("svg", "math") and _closes_itself(rest)):
+                if name not in ASIDE and name != "math" and not ends_after(name):
                     continue
                 if name in ASIDE:
                     if inside and inside[-1][0] == name:
@@ -146,7 +208,7 @@ def leaves(page: str) -> list[Leaf]:
                 inside.append((name, len(stack)))
             continue
         if inside and inside[-1][0] in ("svg", "math"):
-            if name in BREAKS if not closing else name in ("p", "br") or any(name == n for n, _ in stack):
+            if name in BREAKS if not closing else name in ("p", "br") or opened[name]:
                 leave(next(i for i, (n, _) in enumerate(inside) if n in ("svg", "math")))
             elif name != "a":
                 if inside[-1][0] == "svg":
@@ -166,9 +228,9 @@ def leaves(page: str) -> list[Leaf]:
         if around:
             continue  # options
         if closing:
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1 if opened[name] else -1, -1, -1):
                 if stack[i][0] == name:
-                    del stack[i:]
+                    close(i)
                     while inside and inside[-1][1] > i:
                         inside.pop()
                     break
@@ -178,47 +240,36 @@ def leaves(page: str) -> list[Leaf]:
         if name in CLOSES_P:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i][0] not in ("dd", "dt"):
                     break
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] in STOPS.get(name, ()):
-                break
-            if stack[i][0] in CLOSES.get(name, ()):
-                del stack[i:]
-                break
-        tokens = [name]
+        if any(opened[n] for n in CLOSES.get(name, ())):
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][0] in STOPS.get(name, ()):
+                    break
+                if stack[i][0] in CLOSES[name]:
+                    close(i)
+                    break
+        path = (stack[-1][1] if stack else root).with_token(name)
         if rest:
             for k, *v in _NAMED.findall(rest):
-                tokens += [w for w in _PART.findall("".join(v).lower())]
-        stack.append((name, tuple(tokens)))
+                for w in _PART.findall("".join(v).lower()):
+                    path = path.with_token(w)
+        stack.append((name, path))
+        opened[name] += 1
     leave(0)
     flush()
     return out
 
 
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    vector = np.zeros(PATH_SIZE, np.float32)
-    for depth, token in enumerate(reversed(path)):
-        code = zlib.crc32(token.encode())
-        vector[code % PATH_SIZE] += 1.0 if depth < 4 else 0.7
-    return np.minimum(vector, 2)
-
-
-def vectors(found: list[Leaf], paths: dict | None = None) -> np.ndarray:
+def vectors(found: list[Leaf]) -> np.ndarray:
     """One row per leaf."""
-    paths = {} if paths is None else paths
     out = np.zeros((len(found), PATH_SIZE + WORD_SIZE + FIGURES), np.float32)
     if not found:
         return out
-    if len(paths) > 20_000:
-        paths.clear()
     for i, leaf in enumerate(found):
-        known = paths.get(leaf.path)
-        if known is None:
-            known = paths[leaf.path] = _path_vector(leaf.path)
-        out[i, :PATH_SIZE] = known
+        out[i, :PATH_SIZE] = leaf.path.vector()
     at = 0
     for _, _, data, offsets in text_slices(pa.array([leaf.text for leaf in found], pa.string())):
         words = Words(data, offsets, SPACED)
@@ -461,9 +512,9 @@ def fit(pages: list[str], composed: int = COMPOSED, seed: int = SEED) -> Net:
     return net
 
 
-def main_text(pages: list[str], net: Net, paths: dict | None = None) -> list[str]:
+def main_text(pages: list[str], net: Net) -> list[str]:
     found = [leaves(page) for page in pages]
-    flat = vectors([leaf for own in found for leaf in own], paths)
+    flat = vectors([leaf for own in found for leaf in own])
     ends = np.cumsum([len(own) for own in found])
     kept = net.predict([_placed(flat[e - len(own):e]) for own, e in zip(found, ends, strict=True)])
     return ["\n".join(leaf.text for leaf, k in zip(own, keep, strict=True) if k) for own, keep in zip(found, kept, strict=True)]
@@ -496,13 +547,12 @@ def extract(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, html_col: str =
     """
     bounded_batches(pages.sparkSession)
     shared = share(pages.sparkSession, train(pages, sample_pages, html_col))
-    paths: dict = {}
 
     @F.arrow_udf("string")
     def text_of(column: pa.Array) -> pa.Array:
         found: list[str] = []
         for at in range(0, len(column), 256):
-            found += main_text([p or "" for p in column.slice(at, 256).to_pylist()], shared(), paths)
+            found += main_text([p or "" for p in column.slice(at, 256).to_pylist()], shared())
         return pa.array(found, pa.string())
 
     return pages.withColumn(out, text_of(F.col(html_col))).withColumn("n_chars", F.length(out).cast("long"))

@@ -35,6 +35,8 @@ END_ID = 0
 SLICE_BYTES = 4 << 20
 TOKENIZER = "byte_bpe_50k.json"
 # The encoder forgets the pieces it knows beyond this many pieces or characters.
+# Words that the library encodes as one text.
+WORDS_AT_ONCE = 100
 KNOWN_PIECES = 500_000
 KNOWN_CHARS = 16_000_000
 # Ahead of a block's bytes: ids, minimum, width, exceptions.
@@ -76,10 +78,10 @@ class Encoder:
         self.by_piece = (isinstance(self.tokenizer.model, BPE) and self.tokenizer.normalizer is None and isinstance(split, ByteLevel)
                          and split.use_regex and not split.add_prefix_space)
         if self.by_piece:
-            # How the model spells the bytes of a word, by code point of the bytes read as Latin-1.
-            plain = ByteLevel(add_prefix_space=False, use_regex=False)
-            self.spelling = {b: spelled for c in map(chr, range(0x80, 0x250))
-                             for b, spelled in zip(c.encode(), plain.pre_tokenize_str(c)[0][0], strict=True)}
+            space = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(" ")[0][0]
+            vocabulary = self.tokenizer.get_vocab()
+            self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.opens[[i for token, i in vocabulary.items() if token.startswith(space)]] = True
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special)) or r"(?!)")
         self.cut = re.compile(r"(?= \S)")
@@ -170,14 +172,15 @@ class Encoder:
             at += 1
         for name in ("first", "size", "uses"):
             self._grow(name, len(keys))
-        # A word of plain letters is one piece of the split: it goes to the model at once.
+        # A word of plain letters is one piece of the split: many go through the library as one
+        # text, and the ids whose token begins with the space tell where each word's begin.
         if letters:
-            tokenize, spelling = self.tokenizer.model.tokenize, self.spelling
             words = [keys[i] for i in letters]
-            ids = [[t.id for t in tokenize("\u0120" + (w if w.isascii() else w.encode().decode("latin-1").translate(spelling)))]
-                   for w in words]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-            self._keep(letters, sizes, np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())))
+            texts = [" " + " ".join(words[i:i + WORDS_AT_ONCE]) for i in range(0, len(words), WORDS_AT_ONCE)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(found), np.uint32, sum(map(len, found)))
+            first = np.flatnonzero(self.opens[ids])
+            self._keep(letters, np.diff(np.append(first, len(ids))), ids)
             self.chars += sum(map(len, words))
         for low in range(0, len(whole), 20_000):
             own = whole[low:low + 20_000]
