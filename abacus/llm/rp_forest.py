@@ -152,7 +152,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, trees:
     table gives an empty one; other columns are ignored.
     """
     spark = embeddings.sparkSession
-    rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<float>").alias("embedding"),
+    element = embeddings.schema[vector_col].dataType.elementType.simpleString()
+    # Floats stay as they are; any other numbers are compared as doubles.
+    vector = "array<float>" if element == "float" else "array<double>"
+    rows = embeddings.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(vector).alias("embedding"),
                              F.col(label_col).cast("string").alias("label"))
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     good = F.coalesce(F.col("id").isNotNull() & F.col("label").isNotNull() & finite
@@ -189,7 +192,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, trees:
                     ["label", "embedding", "rep", "copies", "dim", "codes"]).to_batches()
 
     indexed = written(classes.select("label", "embedding", "rep", "copies", "dim").mapInArrow(
-        index, "label string, embedding array<float>, rep long, copies long, dim int, codes array<int>"), "embedding-leaves")
+        index, f"label string, embedding {vector}, rep long, copies long, dim int, codes array<int>"), "embedding-leaves")
     leaf_of = ["dim", "label", "code"]
     sizes = (grouped(indexed.select("dim", "label", F.explode("codes").alias("code")), *leaf_of).count().where("count > 1")
              .withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).drop("count", "__deal"))

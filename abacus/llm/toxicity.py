@@ -2,8 +2,8 @@
 
 A text's features are the hashed n-grams of its lower-cased UTF-8 bytes, each counted and
 divided by the square root of the text's length. Training multiplies every feature by its
-log-count ratio (its smoothed share of the toxic texts' n-grams over its share of the
-others') and fits a logistic regression on the scaled features. Scoring folds ratio and
+log-count ratio (the toxic texts that hold it, smoothed, for each toxic text, over the same of the
+others) and fits a logistic regression on the scaled features. Scoring folds ratio and
 coefficient into one weight per bucket, so a text costs one look-up per n-gram.
 """
 
@@ -27,7 +27,7 @@ TRAIN_PER_CLASS = 1500
 SMOOTHING = 1.0
 PENALTY = 2e-4
 MIN_TEXTS = 5
-MIN_RATIO = 0.7
+MIN_RATIO = 0.25
 STEPS = 100
 
 
@@ -96,18 +96,27 @@ def fit(texts: pa.Array, toxic: np.ndarray, orders=ORDERS, bits: int = BUCKET_BI
     # A bucket seen in very few texts, or as often in both classes, says nothing about others.
     keep = (seen.sum(0) >= MIN_TEXTS) & (np.abs(ratio) >= MIN_RATIO)
     ratio = np.where(keep, ratio, 0)
-    parts = [(row[keep[column]], column[keep[column]], value[keep[column]]) for row, column, value in _features(texts, orders, bits)]
-    rows, columns, values = (np.concatenate(c) for c in zip(*parts, strict=True))
-    values *= ratio[columns].astype(np.float32)
+    scale = ratio.astype(np.float32)
+    parts = [(row[keep[column]], column[keep[column]], (value * scale[column])[keep[column]])
+             for row, column, value in _features(texts, orders, bits)]
     weight, bias, n = np.zeros(size), 0.0, len(toxic)
     # Balanced classes; Adam steps on the whole sample.
     balance = np.where(toxic > 0, n / (2 * (toxic > 0).sum()), n / (2 * (toxic == 0).sum()))
-    mean, square = np.zeros(size + 1), np.zeros(size + 1)
+    mean, square, covered = np.zeros(size + 1), np.zeros(size + 1), np.zeros(n, bool)
     for step in range(1, STEPS + 1):
-        margin = np.bincount(rows, weights=weight[columns] * values, minlength=n) + bias
-        error = balance * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic) / n
-        slope = np.append(np.bincount(columns, weights=error[rows] * values, minlength=size) + PENALTY * weight / n ** 0.5,
-                          error.sum())
+        # Slice by slice, so that no array of all features is made beside the slices.
+        slope = np.append(PENALTY * weight / n ** 0.5, 0.0)
+        for rows, columns, values in parts:
+            if not len(rows):
+                continue
+            low, high = rows[0], rows[-1] + 1
+            margin = np.bincount(rows - low, weights=weight[columns] * values, minlength=high - low) + bias
+            error = balance[low:high] * (1 / (1 + np.exp(-np.clip(margin, -30, 30))) - toxic[low:high]) / n
+            slope[:-1] += np.bincount(columns, weights=error[rows - low] * values, minlength=size)
+            covered[low:high] = True
+            slope[-1] += error.sum()
+        # Texts without a kept feature have the bias alone.
+        slope[-1] += (balance * (1 / (1 + np.exp(-bias)) - toxic) / n)[~covered].sum()
         mean = 0.9 * mean + 0.1 * slope
         square = 0.99 * square + 0.01 * slope ** 2
         move = 0.1 * (mean / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.99 ** step)) + 1e-8)
@@ -125,7 +134,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER
     """(doc_id, text, toxic) of a bounded sample of labelled rows that are not held out.
 
     Rows without an id, a text or a label of 0 or 1 are not used; of several labels of one id
-    the largest counts. The chosen ids are bounded by ``per_class``, so they are broadcast.
+    the largest counts, and of several texts the least. The chosen ids, and so the rows, are bounded
+    by ``per_class``; the ids are broadcast.
     """
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
@@ -134,7 +144,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER
     share = F.lit(float(per_class)) / F.col("count")
     chosen = (known.join(F.broadcast(found), "toxic")
               .where(F.pmod(F.xxhash64("doc_id"), F.lit(places)) < share * places).select("doc_id", "toxic"))
-    return docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
 
 
 def train(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_PER_CLASS) -> Model:

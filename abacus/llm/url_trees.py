@@ -160,9 +160,9 @@ def raw_scores(urls: list[str | None], model: Model) -> np.ndarray:
 
 
 def train(ruled: DataFrame, per_class: int = TRAIN_PER_CLASS, url_col: str = "url") -> Model:
-    """Fit on a bounded sample, in one task, of the URLs that a rule decides."""
+    """Fit on a bounded sample, in one task, of the different URLs that a rule decides."""
     labelled = ruled.where(F.col("rule_verdict").isNotNull()).select(
-        F.col(url_col).alias("url"), (F.col("rule_verdict") == "block").cast("int").alias("blocked"))
+        F.col(url_col).alias("url"), (F.col("rule_verdict") == "block").cast("int").alias("blocked")).distinct()
     found = labelled.groupBy("blocked").count()
     places = 1 << 30
     sample = labelled.join(F.broadcast(found), "blocked").where(
@@ -186,7 +186,8 @@ def judge(urls: DataFrame, rules=RULES, per_class: int = TRAIN_PER_CLASS, url_co
 
     The verdict is the rule's, or where none fits ``block`` from a score of one half. A null
     URL, or one without ``://``, has empty host and path and is scored on its text alone.
-    Rows are judged one by one; repeated ones alike. Columns of these names are replaced.
+    Rows are judged one by one; repeated ones alike. Columns of these names, and one named
+    rule_verdict, are replaced or dropped.
     """
     ruled = with_rule(urls, rules, url_col)
     shared = share(urls.sparkSession, train(ruled, per_class, url_col))

@@ -147,7 +147,42 @@ def test_embedding_forest_equals_brute_force(spark):
                 links[i] += 1
     assert sum(links.values()) > 50
     assert {i: r.n_links for i, r in got.items()} == links
-    assert all(r.component_id == r.vec_id for r in got.values() if not r.n_links)
+    reached = {i: i for i, _, _ in rows}
+    changed = True
+    while changed:  # the smallest id that links reach
+        changed = False
+        for i, v, a in ok:
+            for j, w, b in ok:
+                if a == b and len(v) == len(w) and v @ w / np.sqrt((v @ v) * (w @ w)) >= 0.98 and reached[j] < reached[i]:
+                    reached[i], changed = reached[j], True
+    assert {i: r.component_id for i, r in got.items()} == reached
+    assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
+
+
+def test_embedding_forest_compares_doubles(spark):
+    vecs = [[1e300, 0.0], [2e300, 0.0], [1.0, 0.0], [1e-60, 0.0], [0.0, 1e-60], [0.0, -1e300], [5e-324, 0.0]]
+    df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(vecs)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in rp_forest.near_duplicates(df).collect()}
+    assert got == {0: (4, 0, True), 1: (4, 0, False), 2: (4, 0, False), 3: (4, 0, False), 4: (0, 4, True), 5: (0, 5, True), 6: (4, 0, False)}
+
+
+def test_embedding_forest_finds_pairs_outside_its_sample():
+    """Recall of one forest at the threshold, over vectors that did not train it."""
+    rng = np.random.default_rng(8)
+    dim, n = 64, 3000
+    fitted = rp_forest.fit({dim: rng.standard_normal((6000, dim))}, 0.98)[dim]
+    a = rp_forest.unit(rng.standard_normal((n, dim)))
+    side = rng.standard_normal((n, dim))
+    side -= (side * a).sum(1, keepdims=True) * a
+    b = 0.9801 * a + np.sqrt(1 - 0.9801 ** 2) * rp_forest.unit(side)
+    width, met = rp_forest.spill_width(dim, 0.98), np.zeros(n, bool)
+    for tree in fitted:
+        leaves = [[set() for _ in range(n)] for _ in range(2)]
+        for kept, vectors in zip(leaves, (a, b)):
+            for row, leaf in zip(*(x.tolist() for x in rp_forest.leaves_of(tree, vectors, width))):
+                kept[row].add(leaf)
+        met |= np.array([bool(x & y) for x, y in zip(*leaves)])
+    assert met.mean() >= 0.99
 
 
 def test_tokens_round_trip_and_order(spark, docs):
