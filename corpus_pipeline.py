@@ -13,8 +13,6 @@ from abacus.llm import decontaminate, lsh_forest, mixing, token_blocks, toxicity
 from abacus.llm._store import written
 from abacus.session import scratch_path
 
-# Every document stays; small sources are repeated up to this often.
-MIX_REPEAT_LIMIT = 1.5
 # Workers of the token stage go on to other stages, so they keep few pieces.
 KEPT_PIECES = 100_000
 
@@ -45,7 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix visits them; the budget is the least that visits all."""
-    return mixing.mix(docs, limit=MIX_REPEAT_LIMIT, budget_share=None, details=False)
+    return mixing.mix(docs, budget_share=None, details=False)
 
 
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
