@@ -91,14 +91,14 @@ class Encoder:
         self.flat, self.chars = np.zeros(1 << 16, np.uint32), 0
         self.first, self.size, self.uses = (np.zeros(0, np.int64) for _ in range(3))
         self.used, self.known = 0, 0
-        self.between_tasks = KNOWN_PIECES
+        self.most = self.between_tasks = KNOWN_PIECES
 
     def encode(self, texts: pa.Array, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a string array without nulls, each text's followed by ``end_id``, and how many each has."""
         if not self.by_piece:
             ids = [[*e.ids, end_id] for e in self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.array(list(chain.from_iterable(ids)), np.uint32), np.array(list(map(len, ids)), np.int64)
-        if len(self.slots) > KNOWN_PIECES or self.chars > KNOWN_CHARS:
+        if len(self.slots) > self.most or self.chars > KNOWN_CHARS:
             self._forget()
         careful = pc.match_substring_regex(texts, self.loose).to_numpy(zero_copy_only=False)
         split = pc.split_pattern(pc.if_else(pa.array(careful), "", texts), " ")
@@ -201,7 +201,7 @@ class Encoder:
 
     def _forget(self) -> None:
         uses = self.uses[:len(self.slots)]
-        kept = np.flatnonzero(uses > max(1, np.sort(uses)[-(KNOWN_PIECES // 2)] if len(uses) > KNOWN_PIECES // 2 else 1))
+        kept = np.flatnonzero(uses > max(1, np.sort(uses)[-(self.most // 2)] if len(uses) > self.most // 2 else 1))
         keys = self.slots.keys_in_order
         kept = kept[[len(keys[k]) < 64 for k in kept]] if len(kept) else kept
         sizes, self.flat = self.size[kept], self._gather(kept)
@@ -285,20 +285,21 @@ _CHUNKS = "shard int, chunk int, start long, doc_ids array<long>, counts array<i
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_col: str = "doc_id",
                  text_col: str = "text", end_id: int = END_ID, chunk: int = CHUNK,
-                 between_tasks: int = KNOWN_PIECES) -> None:
+                 between_tasks: int = KNOWN_PIECES, most: int = KNOWN_PIECES, slice_bytes: int = SLICE_BYTES) -> None:
     """Encode every whole text and write the ids at ``path`` in ascending id order.
 
     Null and empty texts hold the end id alone. Null ids come first; rows of one id are all
     kept, in the order of their texts. ``tokenizer`` is a file of the tokenizers library. A worker
-    keeps its pieces from task to task, unless it knows more than ``between_tasks``: fewer
-    leave more memory to other work on the same executors.
+    keeps its pieces from task to task, unless it knows more than ``between_tasks``, and knows
+    about ``most`` of them within one; texts are encoded ``slice_bytes`` at a time. Less of these leaves more
+    memory to other work on the same executors and gives the same ids.
     """
     tokenizer = tokenizer or tokenizer_path()
     bounded_batches(docs.sparkSession)
 
     def run(batches):
         encoder = _encoder(tokenizer)
-        encoder.between_tasks = between_tasks
+        encoder.between_tasks, encoder.most = between_tasks, most
         shard, number, start = TaskContext.get().partitionId(), 0, 0
         ids, counts, names = [], [], []
 
@@ -313,7 +314,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, id_co
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary()]
         labels = ["shard", "chunk", "start", "doc_ids", "counts", "index", "payload"]
         for batch in batches:
-            for low, high, _, _ in text_slices(batch["text"], SLICE_BYTES):
+            for low, high, _, _ in text_slices(batch["text"], slice_bytes):
                 part = batch.slice(low, high - low)
                 flat, lengths = encoder.encode(part["text"].fill_null(""), end_id)
                 ends = np.cumsum(lengths)
