@@ -13,8 +13,9 @@ from abacus.llm import decontaminate, lsh_forest, mixing, token_blocks, toxicity
 from abacus.llm._store import written
 from abacus.session import scratch_path
 
-# Workers of the token stage go on to other stages, so they keep few pieces.
-KEPT_PIECES = 100_000
+# Workers of the token stage share their executors with what other stages left, so they hold few
+# pieces and encode little at a time.
+TOKEN_MEMORY = {"between_tasks": 50_000, "most": 150_000, "slice_bytes": 1 << 20}
 
 
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,7 +50,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of each row, read back from the written ids."""
     path = scratch_path(spark, "pipeline-tokens")
-    token_blocks.write_tokens(docs, path, between_tasks=KEPT_PIECES)
+    token_blocks.write_tokens(docs, path, **TOKEN_MEMORY)
     return token_blocks.digests(token_blocks.read_tokens(spark, path))
 
 
