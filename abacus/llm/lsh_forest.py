@@ -1,11 +1,14 @@
 """Near-duplicate join on word n-grams: a MinHash LSH forest, then exact Jaccard.
 
-Texts with the same set of shingles are one class. A class's signature is cut into one prefix
-per tree; classes that share a prefix in some tree are in one bucket of that tree's sorted
-trie. Prefixes start at their full length and are shortened until a pair at the threshold
-shares a bucket with the target probability. In a bucket, pairs whose signatures agree enough
-tie families together; every pair of classes in a family is then compared on whole shingle
-sets, block against block, and only counts and spanning links leave the task.
+Texts with the same set of shingles are one class. A class's signature is cut into one string
+of minima per tree, and a tree is the trie of these strings. Classes first meet where they share
+the whole string in some tree. Then the matched prefixes are shortened by one minimum at a time,
+in all trees at once: a node is opened again only if it joins several of its children, and only
+pairs of different children that have not met in any tree are compared. Shortening ends when the
+least similar pairs met so far meet with the target probability, so the lengths follow the data.
+Pairs that met and whose signatures agree enough tie families together; every pair of classes in
+a family is then compared on whole shingle sets, block against block, and only counts and
+spanning links leave the task.
 """
 
 from __future__ import annotations
@@ -30,15 +33,14 @@ SLACK_SIGMAS = 3.7
 # Rows of a bucket or family that are compared at once with another block; bytes of sets in a block.
 BLOCK = 512
 BLOCK_BYTES = 8 << 20
+# Minima of two rows that are compared at once.
+COMPARED = 4 << 20
 SEED = 11
 
 
-def depth(threshold: float, recall: float, trees: int = TREES, deepest: int = DEEPEST) -> int:
-    """The longest prefix at which a pair at the threshold meets in a tree with the target probability."""
-    length = deepest
-    while length > 1 and 1 - (1 - threshold ** length) ** trees < recall:
-        length -= 1
-    return length
+def meeting(similarity: float, length: int, trees: int = TREES) -> float:
+    """The probability that a pair of this similarity shares the first ``length`` minima of some tree."""
+    return 1 - (1 - similarity ** length) ** trees
 
 
 def shingles(words: Words, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -121,15 +123,24 @@ def _across(group: pa.Table, linked: np.ndarray) -> np.ndarray:
     return linked
 
 
-def _tie(group: pa.Table, places: int, agree: float) -> pa.Table | None:
-    reps = group["rep"].to_numpy()
-    sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(len(reps), places)
-    same = np.zeros((len(reps), len(reps)), np.uint8)
-    for j in range(places):
-        same += sigs[:, j][:, None] == sigs[:, j][None, :]
-    least = _spans(reps, _across(group, same >= agree))
+def _tie(group: pa.Table, trees: int, length: int, agree: float) -> pa.Table | None:
+    """Ties among the rows of one node, by pairs whose longest common prefix of all trees is of
+    this length; such a pair is taken in the first tree where it is."""
+    reps, tree = group["rep"].to_numpy(), group["tree"][0].as_py()
+    sigs = np.frombuffer(b"".join(group["sig"].to_pylist()), np.uint32).reshape(len(reps), trees, -1)
+    same, met = np.zeros((len(reps), len(reps)), np.uint16), np.zeros((len(reps), len(reps)), bool)
+    step = max(1, COMPARED // sigs.size)
+    for i in range(0, len(reps), step):
+        equal = sigs[i:i + step, None] == sigs[None]
+        same[i:i + step] = equal.reshape(*equal.shape[:2], -1).sum(axis=2, dtype=np.uint16)
+        common = np.logical_and.accumulate(equal, axis=3).sum(axis=3, dtype=np.uint8)
+        met[i:i + step] = (common.max(axis=2) == length) & (common.argmax(axis=2) == tree)
+    linked = _across(group, met & (same >= agree))
+    least = _spans(reps, linked)
     tied = least != reps
-    return pa.table({"a": reps[tied], "b": least[tied]})
+    if not tied.any():
+        return None
+    return pa.table({"a": reps[tied], "b": least[tied], "agreed": np.full(int(tied.sum()), same[linked].min(), np.int32)})
 
 
 def overlaps(sets: list[np.ndarray], width: int = 2048) -> np.ndarray:
@@ -168,8 +179,49 @@ def _pairs_of_blocks(rows: DataFrame, id_col: str) -> DataFrame:
             .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other"))
 
 
+def _level(classes: DataFrame, trees: int, deepest: int, length: int, agree: float, block: int) -> DataFrame:
+    """(a, b, agreed): ties of pairs that meet at nodes ``length`` minima below the roots, and the
+    least agreement of the pairs of that node."""
+
+    def node(tree: int, minima: int):
+        return F.xxhash64(F.lit(tree), F.substring("sig", 4 * deepest * tree + 1, 4 * minima))
+
+    # Below the deepest nodes are the classes themselves.
+    nodes = classes.select("rep", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("tree"), node(t, length).alias("node"),
+                 (node(t, length + 1) if length < deepest else F.col("rep")).alias("child")) for t in range(trees)])).alias("at")).select("rep", "at.*")
+    joining = (grouped(nodes, "node").agg(F.count("*").alias("rows"), F.min("child").alias("low"), F.max("child").alias("high"))
+               .where("low <> high").select("node", F.ceil(F.col("rows") / (2 * block)).cast("int").alias("blocks")))
+    placed = nodes.drop("child").join(joining, "node").join(classes.select("rep", "sig"), "rep")
+    return by_run(_pairs_of_blocks(placed, "rep"), ["node", "low", "high"], lambda g: _tie(g, trees, length, agree),
+                  "a long, b long, agreed int")
+
+
+def forest(classes: DataFrame, threshold: float, recall: float, trees: int = TREES, deepest: int = DEEPEST,
+           block: int = BLOCK) -> tuple[DataFrame, int]:
+    """Ties (a, b) of the classes (rep, sig), and the prefix length at which shortening ended.
+
+    Recall is judged at the least similarity, by agreeing minima, of the pairs met so far; a pair met
+    with less than the threshold may still be a link, so it and a forest without any meeting are
+    judged at the threshold. Above the threshold, one more step must meet no weaker pair.
+    """
+    places = trees * deepest
+    agree = threshold * places - SLACK_SIGMAS * (threshold * (1 - threshold) * places) ** 0.5
+    ties, weakest = None, None
+    for length in range(deepest, 0, -1):
+        level = written(_level(classes, trees, deepest, length, agree, block), "forest-ties")
+        ties = level if ties is None else ties.unionByName(level)
+        least, before = level.agg(F.min("agreed")).first()[0], weakest
+        if least is not None:
+            weakest = min(max(least / places, threshold), 1.0 if before is None else before)
+        judged = threshold if weakest is None else weakest
+        if (judged == threshold or judged == before) and meeting(judged, length, trees) >= recall:
+            break
+    return ties.select("a", "b"), length
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, size: int = SHINGLE,
-                    trees: int = TREES, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    trees: int = TREES, deepest: int = DEEPEST, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_links, class_id, kept), a row per row of ``docs``.
 
     Documents link when the Jaccard similarity of their sets of ``size`` consecutive words
@@ -181,20 +233,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, recall: float
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    length = depth(threshold, recall, trees)
-    places = trees * length
-    agree = threshold * places - SLACK_SIGMAS * (threshold * (1 - threshold) * places) ** 0.5
-    sketched = written(sketch(docs, places, size, id_col, text_col), "shingle-sketch")
+    sketched = written(sketch(docs, trees * deepest, size, id_col, text_col), "shingle-sketch")
     classes = written(sketched.where("set_key is not null and id is not null").groupBy("set_key")
                       .agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("shingles").alias("shingles"),
                            F.first("sig").alias("sig")), "shingle-classes")
 
-    prefix = [F.xxhash64(F.lit(t), F.substring("sig", 4 * length * t + 1, 4 * length)) for t in range(trees)]
-    buckets = classes.select("rep", F.explode(F.array(*prefix)).alias("bucket"))
-    shared = (grouped(buckets, "bucket").count().where("count > 1")
-              .select("bucket", F.ceil(F.col("count") / (2 * block)).cast("int").alias("blocks")))
-    placed = buckets.join(shared, "bucket").join(classes.select("rep", "sig"), "rep")
-    ties = by_run(_pairs_of_blocks(placed, "rep"), ["bucket", "low", "high"], lambda g: _tie(g, places, agree), "a long, b long")
+    ties, _ = forest(classes, threshold, recall, trees, deepest, block)
     families = written(components(spark, ties).withColumnRenamed("node", "rep").withColumnRenamed("component", "family")
                        .join(classes.select("rep", "copies", "shingles"), "rep"), "shingle-families")
 

@@ -130,6 +130,60 @@ def test_ngram_join_equals_brute_force(spark, docs):
         assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def _classes_at(spark, shares, seed, size=400):
+    """Classes in pairs whose sets overlap in about the given shares; (table, links of at least 0.8)."""
+    rng = np.random.default_rng(seed)
+    sets, links = [], 0
+    for share in shares:
+        common = round(size * share)
+        alone = (size - common) // 2
+        values = rng.integers(1, 1 << 63, common + 2 * alone, dtype=np.uint64)
+        sets += [values[:common + alone], np.concatenate((values[:common], values[common + alone:]))]
+        links += common / len(values) >= 0.8
+    sigs = lsh_forest.signatures(np.concatenate(sets), np.array([len(s) for s in sets]), lsh_forest.TREES * lsh_forest.DEEPEST)
+    return spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sigs)], "rep long, sig binary"), links
+
+
+def test_forest_shortens_prefixes_as_the_data_ask(spark):
+    met = {}
+    for name, shares in (("close", [0.99] * 150), ("at the threshold", [0.8] * 400), ("none", [0.0] * 50)):
+        classes, links = _classes_at(spark, shares, 4)
+        ties, length = lsh_forest.forest(classes, 0.8, 0.99)
+        found = {(r.a, r.b) for r in ties.collect()}
+        assert found <= {(2 * i + 1, 2 * i) for i in range(len(shares))}
+        met[name] = length
+        if links:
+            assert len(found) >= 0.98 * links
+    assert met["close"] > met["at the threshold"] == met["none"] == 4
+    # With fewer trees, shorter prefixes are needed.
+    assert lsh_forest.forest(_classes_at(spark, [0.8] * 20, 5)[0], 0.8, 0.99, trees=5, deepest=12)[1] < 4
+
+
+def test_forest_meets_every_pair_once(spark):
+    # Nodes in blocks of two rows and whole nodes give the same families as plain prefix comparison.
+    rng = np.random.default_rng(6)
+    sigs = rng.integers(0, 2, (40, 60), dtype=np.uint32)
+    sigs[20:] = sigs[:20]
+    sigs[20:][rng.random((20, 60)) < 0.1] = 7
+    classes = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in enumerate(sigs)], "rep long, sig binary")
+    for block in (1, 512):
+        ties, length = lsh_forest.forest(classes, 0.8, 0.99, block=block)
+        near = (sigs[:, None] == sigs[None]).sum(axis=2)
+        agree = 48 - lsh_forest.SLACK_SIGMAS * (0.16 * 60) ** 0.5
+        prefix = (sigs[:, None] == sigs[None]).reshape(40, 40, 10, 6)[..., :length].all(axis=3).any(axis=2)
+        want = [set(np.flatnonzero(row)) for row in (prefix & (near >= agree))]
+        parent = list(range(40))
+        for r in ties.collect():
+            a, b = sorted((parent[r.a], parent[r.b]))
+            parent = [a if p == b else p for p in parent]
+        plain = list(range(40))
+        for i, row in enumerate(want):
+            for j in row:
+                a, b = sorted((plain[i], plain[j]))
+                plain = [a if p == b else p for p in plain]
+        assert parent == plain
+
+
 def test_embedding_forest_equals_brute_force(spark):
     rng = np.random.default_rng(2)
     base = rng.standard_normal((30, 16))
