@@ -4,7 +4,9 @@ Equal vectors of one label are one class. Trees are fitted on a bounded sample o
 each node splits at the median of a random projection, and vectors near the split go to both
 sides. Every class is then indexed in every tree, compared with the others of its leaf and
 label, and each pair is counted in the first leaf the two share, so counts add up without
-a list of pairs.
+a list of pairs. The sample bounds the trees that are fitted on the driver, not the depth:
+a leaf that holds too many rows is split on by Spark, level by level, at the median of all
+its rows, so leaves stay bounded at any size of the input.
 """
 
 from __future__ import annotations
@@ -28,6 +30,10 @@ BLOCK = 1024
 # Vectors within this many typical projected distances of a split go to both sides.
 SPILL = 0.6
 SEED = 5
+# A leaf's code is its level below the sampled tree, then tree, sampled leaf and sides taken.
+LEVEL_BITS, TREE_BITS, LEVELS = 48, 24, 20
+# Marks a leaf that no split would make much smaller.
+WHOLE = 1 << 60
 
 
 @dataclass
@@ -107,6 +113,59 @@ def fit(sample: dict[int, np.ndarray], threshold: float, trees: int = TREES, lea
     return out
 
 
+def _split_further(indexed: DataFrame, threshold: float, trees: int, most: int) -> DataFrame:
+    """``indexed`` with every leaf of more than ``most`` rows split again and again.
+
+    Each level has one random direction a tree. A leaf is cut at the median that Spark aggregates
+    over all its rows, with spill as in the sampled trees. A leaf whose larger side would keep
+    nine tenths of the rows stays as it is and is compared block against block.
+    """
+    leaf_of, row_of = ["dim", "label", "code"], ["dim", "label", "rep", "vector"]
+    for level in range(LEVELS):
+        codes = indexed.select("dim", "label", F.explode("codes").alias("code")).where(
+            F.shiftright("code", LEVEL_BITS) == level)
+        large = written(grouped(codes, *leaf_of).count().where(F.col("count") > most).drop("count", "__deal"), "embedding-large")
+        if large.isEmpty():
+            return indexed
+
+        def project(batches, level=level):
+            directions = {}
+            for batch in batches:
+                dims, data = batch["dim"].to_numpy(), pa.Table.from_batches([batch])
+                for dim in np.unique(dims).tolist():
+                    if dim not in directions:
+                        found = np.random.default_rng([SEED, dim, level]).standard_normal((dim, trees))
+                        directions[dim] = found / np.sqrt((found ** 2).sum(axis=0))
+                    part = data.take(pa.array(np.flatnonzero(dims == dim)))
+                    places = unit(_matrix(part["embedding"], dim)) @ directions[dim]
+                    lists = part["codes"].combine_chunks()
+                    row = np.repeat(np.arange(part.num_rows), np.diff(lists.offsets.to_numpy()))
+                    code = lists.flatten().to_numpy()
+                    own = code >> LEVEL_BITS == level
+                    row, code = row[own], code[own]
+                    tree = (code & (1 << LEVEL_BITS) - 1) >> TREE_BITS + level
+                    out = part.select(row_of).take(pa.array(row))
+                    yield from (out.append_column("code", pa.array(code, pa.int64()))
+                                .append_column("place", pa.array(places[row, tree], pa.float64())).to_batches())
+
+        placed = written(indexed.select(*row_of, "embedding", "codes")
+                         .mapInArrow(project, "dim int, label string, rep long, vector long, code long, place double")
+                         .join(large, leaf_of), "embedding-places")
+        cuts = (grouped(placed, *leaf_of).agg(F.percentile_approx("place", [0.1, 0.5, 0.9], 1000).alias("at")).drop("__deal"))
+        width = F.lit(SPILL) * F.sqrt(F.lit(2 * (1 - threshold)) / F.col("dim"))
+        cut, place = F.col("at")[1], F.col("place")
+        path = F.lit((level + 1) << LEVEL_BITS) + F.col("code").bitwiseAND(F.lit((1 << LEVEL_BITS) - 1)) * 2
+        sides = F.array_compact(F.array(F.when(place <= cut + width, path), F.when(place > cut - width, path + 1)))
+        splits = (F.col("at")[2] > cut + width) & (F.col("at")[0] <= cut - width)
+        moved = (placed.join(cuts, leaf_of)
+                 .withColumn("to", F.when(splits, sides).otherwise(F.array(F.col("code") + F.lit(WHOLE))))
+                 .groupBy(*row_of).agg(F.collect_set("code").alias("gone"), F.flatten(F.collect_set("to")).alias("more")))
+        none = F.array().cast("array<bigint>")
+        indexed = written(indexed.join(moved, row_of, "left").withColumn("codes", F.array_union(
+            F.array_except("codes", F.coalesce("gone", none)), F.coalesce("more", none))).drop("gone", "more"), "embedding-leaves")
+    return indexed
+
+
 def _compare(group: pa.Table, threshold: float) -> pa.Table:
     """Links between the rows of one pair of blocks of one leaf, counted only in their first leaf."""
     dim = group["dim"][0].as_py()
@@ -141,7 +200,7 @@ def _compare(group: pa.Table, threshold: float) -> pa.Table:
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, trees: int = TREES, sample: int = SAMPLE,
-                    leaf: int = LEAF, block: int = BLOCK, id_col: str = "vec_id", vector_col: str = "embedding",
+                    leaf: int = LEAF, block: int = BLOCK, most: int | None = None, id_col: str = "vec_id", vector_col: str = "embedding",
                     label_col: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept), a row per row of ``embeddings``.
 
@@ -149,7 +208,8 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, trees:
     ``threshold`` in double precision; vectors of different lengths never link. Null or zero
     vectors, vectors with null or non-finite components and rows without an id have no links
     and are their own component. Every row counts: a repeated row is a linked copy. An empty
-    table gives an empty one; other columns are ignored.
+    table gives an empty one; other columns are ignored. Leaves of more than ``most`` rows (twice
+    ``block``) are split further.
     """
     spark = embeddings.sparkSession
     element = embeddings.schema[vector_col].dataType.elementType.simpleString()
@@ -181,22 +241,24 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, trees:
                 for t, tree in enumerate(forest().get(int(dim), [])):
                     row, own = leaves_of(tree, vectors, width)
                     rows.append(row)
-                    codes.append(own + (t << 24))
-                if not rows:  # a dimension that the sample lacks: one leaf
-                    rows, codes = [np.arange(part.num_rows)], [np.zeros(part.num_rows, np.int64)]
+                    codes.append(own + (t << TREE_BITS))
+                if not rows:  # a dimension that the sample lacks: trees of one leaf
+                    rows = [np.arange(part.num_rows)] * trees
+                    codes = [np.full(part.num_rows, t << TREE_BITS) for t in range(trees)]
                 row, code = np.concatenate(rows), np.concatenate(codes)
                 order = np.lexsort((code, row))
                 offsets = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=part.num_rows))))
-                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(code[order], pa.int32()))
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(code[order], pa.int64()))
                 yield from part.append_column("codes", lists).select(
-                    ["label", "embedding", "rep", "copies", "dim", "codes"]).to_batches()
+                    ["label", "embedding", "rep", "copies", "dim", "vector", "codes"]).to_batches()
 
-    indexed = written(classes.select("label", "embedding", "rep", "copies", "dim").mapInArrow(
-        index, f"label string, embedding {vector}, rep long, copies long, dim int, codes array<int>"), "embedding-leaves")
+    indexed = written(classes.select("label", "embedding", "rep", "copies", "dim", F.xxhash64("embedding").alias("vector")).mapInArrow(
+        index, f"label string, embedding {vector}, rep long, copies long, dim int, vector long, codes array<long>"), "embedding-leaves")
+    indexed = _split_further(indexed, threshold, trees, most or 2 * block)
     leaf_of = ["dim", "label", "code"]
     sizes = (grouped(indexed.select("dim", "label", F.explode("codes").alias("code")), *leaf_of).count().where("count > 1")
              .withColumn("blocks", F.ceil(F.col("count") / block).cast("int")).drop("count", "__deal"))
-    placed = (indexed.withColumn("code", F.explode("codes")).join(sizes, leaf_of)
+    placed = (indexed.drop("vector").withColumn("code", F.explode("codes")).join(sizes, leaf_of)
               .withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).drop("other"))

@@ -213,6 +213,31 @@ def test_embedding_forest_equals_brute_force(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def test_embedding_forest_splits_large_leaves(spark):
+    """Leaves that the sampled trees leave too large, close and equal vectors among them."""
+    rng = np.random.default_rng(4)
+    dim, base = 32, np.random.default_rng(6).standard_normal((400, 32))
+    vecs = [(base[i % 400] + rng.standard_normal(dim) * 0.06 * (i % 3)).tolist() for i in range(1200)]
+    vecs += [(base[7] + rng.standard_normal(dim) * 0.01).tolist() for _ in range(150)]  # no cut parts these
+    df = spark.createDataFrame([(i, v, 0 if i % 50 else 1) for i, v in enumerate(vecs)], "vec_id long, embedding array<double>, label int")
+    label = np.array([0 if i % 50 else 1 for i in range(len(vecs))])
+    unit = rp_forest.unit(np.array(vecs))
+    near = (unit @ unit.T >= 0.98) & (label[:, None] == label[None, :])
+    want = near.sum(1) - 1
+    got = rp_forest.near_duplicates(df, leaf=10_000, block=32, most=64)
+    assert [r.n_links for r in got.orderBy("vec_id").collect()] == want.tolist() and want.sum() > 150 * 149
+
+    rows = df.selectExpr("label", "embedding", "vec_id as rep", "32 as dim", "xxhash64(embedding) as vector",
+                         f"array({', '.join(f'{t << rp_forest.TREE_BITS}L' for t in range(2))}) as codes")
+    split = rp_forest._split_further(rows.withColumn("label", F.col("label").cast("string")), 0.98, 2, 64)
+    sizes = split.select("rep", "label", F.explode("codes").alias("code")).groupBy("label", "code").count().collect()
+    assert max(r["count"] for r in sizes if r.code < rp_forest.WHOLE) <= 64
+    assert sum(r.code >= rp_forest.WHOLE for r in sizes) >= 1
+    for row in split.collect():  # every row stays in every tree
+        levels = [(c >> rp_forest.LEVEL_BITS) % 4096 for c in row.codes]
+        assert {c % (1 << rp_forest.LEVEL_BITS) >> rp_forest.TREE_BITS + d for c, d in zip(row.codes, levels)} == {0, 1}
+
+
 def test_embedding_forest_compares_doubles(spark):
     vecs = [[1e300, 0.0], [2e300, 0.0], [1.0, 0.0], [1e-60, 0.0], [0.0, 1e-60], [0.0, -1e300], [5e-324, 0.0]]
     df = spark.createDataFrame([(i, v, 1) for i, v in enumerate(vecs)], "vec_id long, embedding array<double>, label int")
