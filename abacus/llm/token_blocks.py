@@ -14,7 +14,8 @@ import os
 import re
 import struct
 import sys
-from itertools import chain
+from itertools import chain, compress
+from operator import not_
 from string import punctuation
 
 import numpy as np
@@ -105,13 +106,13 @@ class Encoder:
         ends = split.offsets.to_numpy()[1:].astype(np.int64)
         many = np.diff(split.offsets.to_numpy()).astype(np.int64)
         parts = split.flatten().dictionary_encode()
-        words = parts.dictionary.to_pylist()
+        words = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
         slots = self.slots
         number = np.fromiter(map(slots.__getitem__, words), np.int64, len(words))
         found = number[parts.indices.to_numpy(zero_copy_only=False)]
         # Heads have no space before them; an empty one is none.
         heads = ends - many
-        text_heads = parts.take(pa.array(heads)).cast(pa.string()).to_pylist()
+        text_heads = parts.take(pa.array(heads)).cast(pa.string()).to_numpy(zero_copy_only=False)
         found[heads] = [slots[(h,)] for h in text_heads]
         if careful.any():
             rest = [self._careful(t) if c else None for t, c in zip(texts.to_pylist(), careful.tolist(), strict=True)]
@@ -120,7 +121,7 @@ class Encoder:
             many = np.array([len(p) for p in pieces])
             found, ends = np.concatenate(pieces), np.cumsum(many)
         self._learn()
-        np.add.at(self.uses, found, 1)
+        self.uses += np.bincount(found, minlength=len(self.uses))
         sizes = self.size[found]
         before = np.concatenate(([0], np.cumsum(sizes)))
         lengths = before[ends] - before[ends - many] + 1
@@ -157,19 +158,17 @@ class Encoder:
         keys, at = slots.keys_in_order, self.known
         letters, whole, joined, halves = [], [], [], []
         while at < len(keys):  # which grows
-            key = keys[at]
-            if type(key) is not str:
-                whole.append(at)
-            elif key.isalpha() and (key.isascii() or max(key) < "\u0250"):
-                letters.append(at)
-            else:
-                core = key.rstrip(punctuation)
-                if core and core != key and core[-1].isalnum():
-                    joined.append(at)
+            new = keys[at:]
+            plain = [type(k) is str and k.isalpha() and (k.isascii() or max(k) < "\u0250") for k in new]
+            letters += compress(range(at, at + len(new)), plain)
+            for i, key in compress(enumerate(new, at), map(not_, plain)):
+                core = key.rstrip(punctuation) if type(key) is str else ""
+                if core and len(core) < len(key) and core[-1].isalnum():
+                    joined.append(i)
                     halves += (slots[core], slots[("tail", key[len(core):])])
                 else:
-                    whole.append(at)
-            at += 1
+                    whole.append(i)
+            at += len(new)
         for name in ("first", "size", "uses"):
             self._grow(name, len(keys))
         # A word of plain letters is one piece of the split: many go through the library as one
