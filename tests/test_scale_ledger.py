@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from abacus.catalogue import Ledger, landing_category_groups
-from abacus.functions import amount_from_text, us_date
+from abacus.functions import amount_from_text, clean_label, us_date, whole
 from abacus.plans import models as m
 
 
@@ -62,3 +62,30 @@ def test_accounts_join_parents_not_parts(spark):
         (3, 4, None, 100, None), (3, 4, None, 100, None), (None, 9, None, 100, "A"), (None, 9, None, 100, "A2")], key=str)
     plan = _plan(out)  # the accounts are below the expansion, a union
     assert plan.index("Union") < plan.index("__account_id")
+
+
+def test_blank_cells_and_plain_amounts_use_no_decimals_or_doubles(spark):
+    """Both were read by a pattern and a double each; blank cells need neither."""
+    df = spark.createDataFrame([("",), ("-0.05",), ("7.125",), ("12.5",), ("3",)], "t string")
+    plan = _plan(df.select(amount_from_text("t").alias("a")))
+    assert "as double" not in plan and plan.index("= )") < plan.index("RLIKE")
+    assert [r["a"] for r in df.select(amount_from_text("t").alias("a")).collect()] == [0, -50, 7125, 12500, 3000]
+
+
+def test_labels_are_cleaned_in_one_pass(spark):
+    texts = ["#a  b + c!", "\t x  y \n", "!! ", "a.b&c/d+e", "été \U0001F3E0 1", "", None, "a!\t!b", "+ +", "x   y"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for keep_plus, kept in ((True, r"[^\pL\pN\s.&/+]+"), (False, r"[^\pL\pN\s.&/]+")):
+        two_passes = F.trim(F.regexp_replace(F.regexp_replace("t", kept, " "), r"\s+", " "))
+        one = clean_label("t", keep_plus)
+        assert df.where(~one.eqNullSafe(two_passes)).collect() == []
+        assert _plan(df.select(one.alias("a"))).count("regexp_replace") == 1
+
+
+def test_whole_equals_round(spark):
+    values = [0.49999999999999994, 0.5, -0.5, 1.5, 2.5, -2.5, 0.0, -0.0, 1e15 + 0.5, 4503599627370495.5, -4503599627370495.5,
+              123456.4999999999, 9007199254740993.0, 1e18, None, *[i * 0.005 * 100 for i in range(-3000, 3000)],
+              *[round(i * 0.0005, 4) * 1000 for i in range(-3000, 3000)]]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert df.where(~whole("x").eqNullSafe(F.round("x").cast("bigint"))).collect() == []
+    assert "round(" not in _plan(df.select(whole("x").alias("a")))
