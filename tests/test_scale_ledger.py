@@ -89,3 +89,10 @@ def test_whole_equals_round(spark):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     assert df.where(~whole("x").eqNullSafe(F.round("x").cast("bigint"))).collect() == []
     assert "round(" not in _plan(df.select(whole("x").alias("a")))
+
+
+def test_ledger_stores_no_table_twice(spark):
+    """The parsed sheet was written whole beside its measures, and the monthly categories raw and looked up."""
+    stored = Ledger.MATERIALIZED
+    assert "combined.paystubs" in stored and "cleaned.paystubs" not in stored
+    assert "raw.monthly_categories" in stored and "combined.budgeted" not in stored
